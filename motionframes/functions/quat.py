@@ -127,24 +127,25 @@ def to_matrix(q: Column) -> Column:
     return F.struct(*[c.alias(f"m{i // 3}{i % 3}") for i, c in enumerate(cells)])
 
 
-def from_matrix(m: Column) -> Column:
+def with_quaternion(df: DataFrame, out: str, matrix: str) -> DataFrame:
     """F7. Unit quaternion of a rotation matrix: largest of the four divisors, scalar part >= 0."""
+    m = F.col(matrix)
     a, b, c = m["m00"], m["m11"], m["m22"]
     d32, d13, d21 = m["m21"] - m["m12"], m["m02"] - m["m20"], m["m10"] - m["m01"]
     s21, s31, s32 = m["m10"] + m["m01"], m["m02"] + m["m20"], m["m21"] + m["m12"]
-
-    def half(total: Column) -> Column:
-        return 2.0 * F.sqrt(F.greatest(F.lit(0.0), total))
-
-    sw, sx, sy, sz = half(1 + a + b + c), half(1 + a - b - c), half(1 - a + b - c), half(1 - a - b + c)
+    sums = {"_sw": 1 + a + b + c, "_sx": 1 + a - b - c, "_sy": 1 - a + b - c, "_sz": 1 - a - b + c}
+    df = df.withColumns({n: 2.0 * F.sqrt(F.greatest(F.lit(0.0), t)) for n, t in sums.items()})
+    sw, sx, sy, sz = (F.col(n) for n in sums)
     best = F.greatest(sw, sx, sy, sz)
     q = (
-        F.when(sw == best, quat(sw / 4, d32 / sw, d13 / sw, d21 / sw))
+        F.when(m["m00"].isNull(), None)
+        .when(sw == best, quat(sw / 4, d32 / sw, d13 / sw, d21 / sw))
         .when(sx == best, quat(d32 / sx, sx / 4, s21 / sx, s31 / sx))
         .when(sy == best, quat(d13 / sy, s21 / sy, sy / 4, s32 / sy))
         .otherwise(quat(d21 / sz, s31 / sz, s32 / sz, sz / 4))
     )
-    return shorter_arc(q)
+    df = df.withColumn("_q", q)
+    return df.withColumn(out, hold(shorter_arc(F.col("_q")), F.col("_q").isNotNull())).drop("_q", *sums)
 
 
 def apply_matrix(m: Column, v: Column) -> Column:
@@ -170,20 +171,6 @@ def specific_force(acceleration: Column, q: Column, gravity: Column) -> Column:
     return counter_rotate(q, sub(acceleration, gravity))
 
 
-def slerp(a: Column, b: Column, t: Column) -> Column:
-    """F5. Spherical interpolation along the shorter arc, with the near-parallel limit."""
-    raw = qdot(a, b)
-    d = F.abs(raw)
-    close = d > 1.0 - 1e-9
-    theta = F.acos(clip(d, -1.0, 1.0))
-    w0 = F.when(close, 1.0 - t).otherwise(F.sin((1.0 - t) * theta) / F.sin(theta))
-    w1 = F.when(close, t).otherwise(F.sin(t * theta) / F.sin(theta))
-    w1 = w1 * F.when(raw < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    return normalise(
-        quat(*[w0 * a[c] + w1 * b[c] for c in "wxyz"])
-    )
-
-
 def with_slerp(df: DataFrame, paths: dict[str, tuple[str, str]], t: str) -> DataFrame:
     """F5 for several columns at once: adds ``name = slerp(a, b, t)`` in steps, so that the angle,
     the weights and the length of each are computed once per row."""
@@ -254,37 +241,40 @@ def twist_y_deg(q: Column) -> Column:
     return F.degrees(2.0 * F.atan2(F.abs(q["y"]), F.abs(q["w"])))
 
 
-def frame_from_axes(primary: Column, secondary: Column) -> Column:
-    """F9. Right-handed orthonormal frame (columns x, y, z) with y along ``primary``.
-
-    z is along ``primary`` x (part of ``secondary`` across it), null when the two are parallel.
-    """
-    y = unit(primary)
-    x = unit(sub(secondary, scale(y, dot(secondary, y))))
-    z = cross(x, y)
-    return F.when(
-        x["x"].isNotNull() & y["x"].isNotNull(),
-        F.struct(
-            *[axis[c].alias(f"m{i}{j}") for i, c in enumerate("xyz") for j, axis in enumerate((x, y, z))]
-        ),
-    )
+def with_frame_from_axes(df: DataFrame, out: str, primary: str, secondary: str) -> DataFrame:
+    """F9. Right-handed orthonormal frame as a matrix with columns x, y, z: y along ``primary``, x along
+    the part of ``secondary`` across it, z = x cross y. Null when the two are parallel."""
+    y, x = F.col("_y"), F.col("_x")
+    across = sub(F.col(secondary), scale(y, dot(F.col(secondary), y)))
+    df = df.withColumn("_y", unit(F.col(primary)))
+    df = df.withColumn("_a", hold(across, y.isNotNull()))
+    df = df.withColumn("_x", unit(F.col("_a")))
+    df = df.withColumn("_z", hold(cross(x, y), x.isNotNull()))
+    cells = [
+        F.col(axis)[c].alias(f"m{i}{j}") for i, c in enumerate("xyz") for j, axis in enumerate(("_x", "_y", "_z"))
+    ]
+    return df.withColumn(out, hold(F.struct(*cells), x.isNotNull())).drop("_x", "_y", "_z", "_a")
 
 
-def shortest_to_axis(v: Column, axis: tuple[float, float, float]) -> Column:
+def with_shortest_to_axis(df: DataFrame, out: str, v: str, axis: tuple[float, float, float]) -> DataFrame:
     """F10. Smallest rotation taking the direction of ``v`` onto a fixed unit axis.
 
     Opposite directions turn by half a circle about a fixed perpendicular axis.
     """
-    u = unit(v)
     ax, ay, az = (float(c) for c in axis)
-    c = u["x"] * ax + u["y"] * ay + u["z"] * az
-    k = cross(u, vec(F.lit(ax), F.lit(ay), F.lit(az)))
     other = (0.0, 1.0, 0.0) if abs(ay) < 0.9 else (1.0, 0.0, 0.0)
     p = (ay * other[2] - az * other[1], az * other[0] - ax * other[2], ax * other[1] - ay * other[0])
     length = math.sqrt(sum(q * q for q in p))
     turn = quat(F.lit(0.0), *[F.lit(q / length) for q in p])
-    usual = normalise(quat(1.0 + c, k["x"], k["y"], k["z"]))
-    return F.when(c < -1.0 + TINY, turn).otherwise(usual)
+    u = F.col("_u")
+    df = df.withColumn("_u", unit(F.col(v)))
+    df = df.withColumn("_c", u["x"] * ax + u["y"] * ay + u["z"] * az)
+    k = cross(u, vec(F.lit(ax), F.lit(ay), F.lit(az)))
+    df = df.withColumn("_k", hold(quat(1.0 + F.col("_c"), k["x"], k["y"], k["z"]), u.isNotNull()))
+    df = df.withColumn("_n", F.sqrt(qdot(F.col("_k"), F.col("_k"))))
+    usual = hold(scale_quat(F.col("_k"), 1.0 / F.col("_n")), F.col("_n") > 0)
+    opposite = F.col("_c") < -1.0 + TINY
+    return df.withColumn(out, F.when(opposite, turn).otherwise(usual)).drop("_u", "_c", "_k", "_n")
 
 
 def components(v: Column, first: Column, third: Column, threshold: float) -> Column:

@@ -88,13 +88,14 @@ GAPPY_SQL = SERIES + f""", g AS (
 def quats(spark: SparkSession, folder: str) -> DataFrame:
     """Four embedding components as a unit quaternion per frame: take = label, frame = rank by id."""
     e = table(spark, folder, "embeddings").select("vec_id", F.col("label").alias("take"), "embedding")
-    parts = [F.col("embedding")[i].cast("double") for i in range(10)]
+    parts = [F.col("embedding")[i].cast("double") for i in range(14)]
     raw = e.select(
         "vec_id",
         "take",
         Q.normalise(Q.quat(*parts[:4])).alias("q"),
         Q.vec(*parts[4:7]).alias("v"),
         Q.vec(*parts[7:10]).alias("u"),
+        Q.normalise(Q.quat(*parts[10:14])).alias("p"),
     )
     return dense_frames(raw, keys=["take"], order=["vec_id"], bucket=F.expr("vec_id div 65536L"))
 
@@ -103,10 +104,12 @@ QUATS = """q0 AS (
   SELECT vec_id, label AS take, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame,
          embedding[1]::DOUBLE a, embedding[2]::DOUBLE b, embedding[3]::DOUBLE c, embedding[4]::DOUBLE d,
          embedding[5]::DOUBLE vx, embedding[6]::DOUBLE vy, embedding[7]::DOUBLE vz,
-         embedding[8]::DOUBLE ux, embedding[9]::DOUBLE uy, embedding[10]::DOUBLE uz FROM embeddings),
+         embedding[8]::DOUBLE ux, embedding[9]::DOUBLE uy, embedding[10]::DOUBLE uz,
+         embedding[11]::DOUBLE e, embedding[12]::DOUBLE f, embedding[13]::DOUBLE g, embedding[14]::DOUBLE h FROM embeddings),
 q AS (
-  SELECT vec_id, take, frame, a / n AS w, b / n AS x, c / n AS y, d / n AS z, vx, vy, vz, ux, uy, uz
-  FROM (SELECT *, sqrt(a * a + b * b + c * c + d * d) AS n FROM q0))"""
+  SELECT vec_id, take, frame, a / n AS w, b / n AS x, c / n AS y, d / n AS z, vx, vy, vz, ux, uy, uz,
+         e / m AS pw, f / m AS px, g / m AS py, h / m AS pz
+  FROM (SELECT *, sqrt(a * a + b * b + c * c + d * d) AS n, sqrt(e * e + f * f + g * g + h * h) AS m FROM q0))"""
 
 
 MARKERS = ("m0", "m1", "m2", "m3")
@@ -137,3 +140,62 @@ POINTS = """p AS (
          CASE WHEN vec_id % 23 = 5 THEN 0.0 ELSE embedding[6]::DOUBLE END AS y,
          CASE WHEN vec_id % 23 = 5 THEN 0.0 ELSE embedding[7]::DOUBLE END AS z
   FROM embeddings)"""
+
+
+SITES = (("hip", 1), ("knee", 4))
+
+
+def small_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """Two sites per frame, each with a rotation and a validity flag."""
+    e = table(spark, folder, "embeddings")
+    cells = [
+        F.struct(
+            F.lit(site).alias("site"),
+            Q.normalise(Q.quat(*[F.col("embedding")[16 + 4 * k + i].cast("double") for i in range(4)])).alias("q"),
+        )
+        for k, (site, _) in enumerate(SITES)
+    ]
+    raw = dense_frames(
+        e.select("vec_id", F.col("label").alias("take"), F.array(*cells).alias("c")),
+        keys=["take"],
+        order=["vec_id"],
+        bucket=F.expr("vec_id div 65536L"),
+    )
+    return raw.select("take", "frame", (F.col("vec_id") % 11 > 0).alias("valid"), F.inline("c"))
+
+
+def large_frames(spark: SparkSession, folder: str) -> DataFrame:
+    """Two joints per frame with their global rotation."""
+    e = table(spark, folder, "embeddings")
+    cells = [
+        F.struct(
+            F.lit(joint).alias("joint"),
+            Q.normalise(Q.quat(*[F.col("embedding")[24 + 4 * k + i].cast("double") for i in range(4)])).alias("g"),
+        )
+        for k, (_, joint) in enumerate(SITES)
+    ]
+    raw = dense_frames(
+        e.select("vec_id", F.col("label").alias("take"), F.array(*cells).alias("c")),
+        keys=["take"],
+        order=["vec_id"],
+        bucket=F.expr("vec_id div 65536L"),
+    )
+    return raw.select("take", "frame", F.inline("c"))
+
+
+def site_joint(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SITES), "site string, joint int")
+
+
+def _unit_sql(first: int, prefix: str) -> str:
+    cells = [f"embedding[{first + i}]::DOUBLE" for i in range(4)]
+    length = "sqrt(" + " + ".join(f"{c} * {c}" for c in cells) + ")"
+    return ", ".join(f"{c} / {length} AS {prefix}{a}" for c, a in zip(cells, "wxyz"))
+
+
+STREAMS = f"""st AS (
+  SELECT label AS take, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame, vec_id % 11 > 0 AS valid, 'hip' AS site,
+         {_unit_sql(17, 's')}, {_unit_sql(25, 'g')} FROM embeddings
+  UNION ALL
+  SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1, vec_id % 11 > 0, 'knee',
+         {_unit_sql(21, 's')}, {_unit_sql(29, 'g')} FROM embeddings)"""
