@@ -63,10 +63,13 @@ def mounting_rotation(df: DataFrame, *, keys: Sequence[str], a: str, b: str, min
 
     Keys with fewer than three such rows are left out.
     """
-    usable = df.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (Q.norm(F.col(a)) > min_rate))
-    sums = usable.groupBy(*keys).agg(
-        *[F.sum(F.col(a)[i] * F.col(b)[j]).alias(f"h{i}{j}") for i in "xyz" for j in "xyz"],
-        F.count(F.lit(1)).alias("used"),
+    # A condition inside the sums, not a filter: a pushed-down filter would repeat the whole
+    # derivation of the rates.
+    usable = F.col("_use")
+    marked = df.withColumn("_use", F.coalesce(Q.norm(F.col(a)) > min_rate, F.lit(False)) & F.col(b).isNotNull())
+    sums = marked.groupBy(*keys).agg(
+        *[F.sum(F.when(usable, F.col(a)[i] * F.col(b)[j])).alias(f"h{i}{j}") for i in "xyz" for j in "xyz"],
+        F.count_if(usable).alias("used"),
     )
     found = sums.where(F.col("used") >= 3).withColumn(
         "_r", rotation_of([F.col(f"h{i}{j}") for i in "xyz" for j in "xyz"])
