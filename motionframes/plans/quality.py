@@ -319,11 +319,16 @@ def require_known(unknown: DataFrame, *, name: str) -> None:
         raise ValueError(f"unknown {name}: {first[0]}")
 
 
-def cut_window(df: DataFrame, *, frame: str, time: str, start: int, stop: int) -> DataFrame:
-    """P21. Rows ``[start, stop)`` of each take with the clock from zero; window columns are computed
-    on the whole take before. ``time`` at the first row is ``start`` steps of the take's uniform grid."""
+def cut_window(df: DataFrame, *, keys: Sequence[str], frame: str, time: str, start: int, stop: int) -> DataFrame:
+    """P21. Rows ``[start, stop)`` of each take, with frames and clock from zero.
+
+    Window columns are computed on the whole take before the cut. A take keeps at most
+    ``stop - start`` rows, so the join on the take is even.
+    """
     inside = df.where((F.col(frame) >= start) & (F.col(frame) < stop))
-    return inside.withColumns({frame: F.col(frame) - start})
+    firsts = inside.groupBy(*keys).agg(F.min(time).alias("_t0"))
+    zeroed = {frame: F.col(frame) - start, time: F.col(time) - F.col("_t0")}
+    return inside.join(firsts, list(keys)).withColumns(zeroed).drop("_t0")
 
 
 def in_sample(df: DataFrame, patterns: Sequence[str], *, subject: str, take: str) -> DataFrame:

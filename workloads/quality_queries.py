@@ -532,13 +532,13 @@ def p18_without_glitches(spark, folder):
 @query(
     "p21_cut_window",
     f"""WITH {SERIES}, d AS (SELECT *, x - lag(x) OVER (PARTITION BY take ORDER BY frame) AS dx FROM s)
-    SELECT take, frame - 10 AS frame, round(0.01 * (frame - 10), 6) + 0.0 AS t, round(dx, 6) + 0.0 AS dx FROM d WHERE frame >= 10 AND frame < 30""",
+    SELECT take, frame - 10 AS frame, round(t_s - min(t_s) OVER (PARTITION BY take), 6) + 0.0 AS t_s, round(dx, 6) + 0.0 AS dx FROM d WHERE frame >= 10 AND frame < 30""",
 )
 def p21_cut_window(spark, folder):
     """Differences of the whole take, then the window, so its first row still knows the one before."""
     whole = windows.differences(series(spark, folder), keys=["take"], frame="frame", value="x", dt_s=1.0)
-    cut = quality.cut_window(whole, frame="frame", time="t_s", start=10, stop=30)
-    return cut.select("take", "frame", r6(F.col("frame") * 0.01).alias("t"), r6("backward").alias("dx"))
+    cut = quality.cut_window(whole, keys=["take"], frame="frame", time="t_s", start=10, stop=30)
+    return cut.select("take", "frame", r6("t_s").alias("t_s"), r6("backward").alias("dx"))
 
 
 @query("p22_column_aliases", "SELECT o_orderkey, o_orderkey AS code, o_totalprice AS amount FROM orders")
