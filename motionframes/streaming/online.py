@@ -52,26 +52,26 @@ def without_resent(df: DataFrame, *, keys: Sequence[str], time: str, delay: str)
 class _StepJudge(StatefulProcessor):
     """Keeps the last frame and value of a key and judges each new row against it."""
 
-    def __init__(self, frame: str, value: str, dt_s: float, max_speed: float) -> None:
-        self.frame, self.value, self.dt_s, self.max_speed = frame, value, dt_s, max_speed
+    def __init__(self, keys: Sequence[str], frame: str, value: str, dt_s: float, max_speed: float) -> None:
+        self.keys, self.frame, self.value, self.dt_s, self.max_speed = list(keys), frame, value, dt_s, max_speed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "frame bigint, value double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # One key's rows of one micro-batch, which the source's rate limit bounds.
+        batch = pd.concat(list(rows)).sort_values(self.frame)
         known = self.last.get()
-        for batch in rows:
-            batch = batch.sort_values(self.frame)
-            frames, values = batch[self.frame].tolist(), batch[self.value].tolist()
-            out = []
-            for f, v in zip(frames, values):
-                fast = known is not None and abs(v - known[1]) / ((f - known[0]) * self.dt_s) > self.max_speed if known and f > known[0] else False
-                out.append((*key, f, bool(fast)))
-                if known is None or f > known[0]:
-                    known = (f, v)
-            yield pd.DataFrame(out)
-        if known is not None:
-            self.last.update((int(known[0]), float(known[1])))
+        out = []
+        for frame, value in zip(batch[self.frame].tolist(), batch[self.value].tolist()):
+            fast = False
+            if known is not None and frame > known[0]:
+                fast = abs(value - known[1]) / ((frame - known[0]) * self.dt_s) > self.max_speed
+            out.append((*key, frame, fast))
+            if known is None or frame > known[0]:
+                known = (frame, value)
+        self.last.update((int(known[0]), float(known[1])))
+        yield pd.DataFrame(out, columns=[*self.keys, self.frame, "fast"])
 
     def close(self) -> None:
         pass
@@ -80,10 +80,10 @@ class _StepJudge(StatefulProcessor):
 def online_outliers(
     df: DataFrame, *, keys: Sequence[str], frame: str, value: str, dt_s: float, max_speed: float
 ) -> DataFrame:
-    """ST4. Steps too fast against the row before, which is kept in state."""
+    """ST4. Steps too fast against the row before, which is kept in state (RocksDB state store)."""
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(frame, T.LongType()), T.StructField("fast", T.BooleanType())])
     return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_StepJudge(frame, value, dt_s, max_speed), outputStructType=schema, outputMode="append", timeMode="none"
+        statefulProcessor=_StepJudge(keys, frame, value, dt_s, max_speed), outputStructType=schema, outputMode="append", timeMode="None"
     )
 
 
