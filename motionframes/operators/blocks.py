@@ -131,6 +131,37 @@ def running(
     return joined.withColumns(final).drop(*spent)
 
 
+def small(df: DataFrame, *, limit: int = 100_000) -> DataFrame:
+    """A configuration table for the broadcast side of a join, once its size has been checked.
+
+    Beyond ``limit`` rows it is joined like any other table.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def _split_hot_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Cut buckets with more than ``hot_rows`` rows at sketched quantiles of the order columns.
+
+    The order columns are tried in turn, so rows with one time are cut by their id. Only the hot
+    buckets' cut points - at most ``rows / hot_rows`` lists - are broadcast.
+    """
+    for column in order:
+        groups = [*keys, "_bkt"]
+        counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+        if counts.isEmpty():
+            break
+        hot = F.broadcast(counts.drop("_n"))
+        steps = [i / 256 for i in range(1, 256)]
+        cuts = df.join(hot, groups).groupBy(*groups).agg(F.percentile_approx(column, steps, 4096).alias("_cuts"))
+        piece = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c < F.col(column)))
+        df = (
+            df.join(F.broadcast(cuts), groups, "left")
+            .withColumn("_bkt", F.struct(F.col("_bkt").alias("b"), piece.alias("p")))
+            .drop("_cuts")
+        )
+    return df
+
+
 def dense_frames(
     df: DataFrame,
     *,
@@ -139,14 +170,17 @@ def dense_frames(
     bucket: Column,
     frame: str = "frame",
     minima: Mapping[str, Column] | None = None,
+    hot_rows: int = 4_000_000,
 ) -> DataFrame:
     """Number the rows of each key 0, 1, 2, ... in ``order``, without one task per key.
 
     ``bucket`` must not decrease along ``order``: rows are ranked inside (key, bucket) and shifted
-    by the row counts of the earlier buckets. ``minima`` adds per-key minimum columns.
+    by the row counts of the earlier buckets. Bucket sizes are counted first, and a bucket of more
+    than ``hot_rows`` rows is cut further. ``minima`` adds per-key minimum columns. The ``order``
+    columns are numeric and together unique per key.
     """
     minima = dict(minima or {})
-    prepared = df.withColumn("_bkt", bucket)
+    prepared = _split_hot_buckets(df.withColumn("_bkt", bucket), keys, order, hot_rows)
     counts = prepared.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(n) for n, c in minima.items()]
     )

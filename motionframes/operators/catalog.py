@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import running
-from .diff import group_digest
+
+# A sequence number after every real one.
+END = 2**62
 
 LINEAGE = ("source", "spec_id", "spec_version")
 
@@ -107,15 +109,16 @@ def journal_story(journal: DataFrame, current: DataFrame, *, file: str, rows: in
     whatever happened to it. So the state a record meets is the next record's ``before``, or the
     current digest for the newest: one look ahead, no fold.
     """
-    ahead = running(journal, keys=[file], frame="sequence", scans={"_next": ("following", F.struct("before"))}, rows=rows)
-    joined = ahead.join(current.select(file, F.col("digest").alias("_now")), file, "left")
-    state = F.when(F.col("_next").isNotNull(), F.col("_next.before")).otherwise(F.col("_now"))
-    return joined.withColumn("_state", state).withColumn(
+    # The file's present digest follows its last record on the same line of records, so nothing is joined.
+    end = current.select(file, F.lit(END).alias("sequence"), F.col("digest").alias("before"))
+    line = journal.withColumn("sequence", F.col("sequence").cast("bigint")).unionByName(end, allowMissingColumns=True)
+    ahead = running(line, keys=[file], frame="sequence", scans={"_state": ("following", F.col("before"))}, rows=rows)
+    return ahead.where(F.col("sequence") < END).withColumn(
         "story",
         F.when(F.col("after").eqNullSafe(F.col("_state")), "applied")
         .when(F.col("before").eqNullSafe(F.col("_state")), "unapplied")
         .otherwise("unexplained"),
-    ).drop("_next", "_now", "_state")
+    ).drop("_state")
 
 
 def split_by_trust(takes: DataFrame, ledger: DataFrame, *, key: str, digests: Sequence[str], full: bool) -> DataFrame:
@@ -196,18 +199,27 @@ def roll_back(current: DataFrame, journal: DataFrame, *, key: str, digest: Colum
     ).drop("_now", "_after")
 
 
+def column_digests(df: DataFrame, *, keys: Sequence[str], name: str, columns: Sequence[str], buckets: int) -> DataFrame:
+    """One digest per column and key over all rows in name order, in two levels as ``group_digest``."""
+    spread = F.pmod(F.crc32(F.col(name).cast("string")), F.lit(int(buckets)))
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias(c) for c in columns]
+
+    def digests(grouped, order: str):
+        rows = grouped.agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_k"), *columns))).alias("_rows"))
+        return {c: F.sha2(F.concat_ws("|", F.col("_rows")[c]), 256) for c in columns}, rows
+
+    cells, rows = digests(df.select(*keys, name, spread.alias("_b"), *text).groupBy(*keys, "_b"), name)
+    first = rows.select(*keys, "_b", *[d.alias(c) for c, d in cells.items()])
+    cells, rows = digests(first.groupBy(*keys), "_b")
+    return rows.select(*keys, *[d.alias(c) for c, d in cells.items()])
+
+
 def changed_columns(before: DataFrame, after: DataFrame, *, keys: Sequence[str], name: str, buckets: int) -> DataFrame:
-    """Q13. Which columns a rewrite changed, by one digest per column and key over all rows."""
-
-    def digests(df):
-        columns = [c for c in df.columns if c not in (*keys, name)]
-        cells = [
-            F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias("_v")) for c in columns
-        ]
-        long = df.select(*keys, name, F.inline(F.array(*cells)))
-        return group_digest(long, keys=[*keys, "column"], name=name, digest="_v", buckets=buckets)
-
-    a = digests(before).select(*keys, "column", F.col("digest").alias("_a"))
-    b = digests(after).select(*keys, "column", F.col("digest").alias("_b"))
-    joined = a.join(b, [*keys, "column"], "full_outer")
-    return joined.where(~F.col("_a").eqNullSafe(F.col("_b"))).groupBy("column").agg(F.count(F.lit(1)).alias("changed"))
+    """Q13. Which columns a rewrite changed, and for how many keys, by one digest per column and key."""
+    columns = [c for c in before.columns if c not in (*keys, name)]
+    a = column_digests(before, keys=keys, name=name, columns=columns, buckets=buckets)
+    b = column_digests(after, keys=keys, name=name, columns=columns, buckets=buckets)
+    joined = a.select(*keys, F.struct(*columns).alias("_a")).join(b.select(*keys, F.struct(*columns).alias("_b")), list(keys), "full_outer")
+    changed = [F.count_if(~F.col("_a")[c].eqNullSafe(F.col("_b")[c])).alias(c) for c in columns]
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("changed")) for c in columns]
+    return joined.agg(*changed).select(F.inline(F.array(*cells))).where("changed > 0")

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import running
+from .blocks import running, small
 from .quantiles import exact_quantiles
+from .stats import bounded_list
 
 
 def nearest_in_time(
@@ -124,7 +125,7 @@ def staging_exit(statuses: DataFrame, *, verify_only: bool, refused: int = 3, in
 
 def resolve(df: DataFrame, profiles: DataFrame, *, on: str, status: str) -> tuple[DataFrame, DataFrame]:
     """J14. Rows with their profile, and the rejected keys: unknown, or a profile still pending."""
-    joined = df.join(profiles.withColumn("_known", F.lit(True)), on, "left")
+    joined = df.join(small(profiles.withColumn("_known", F.lit(True))), on, "left")
     pending = F.col(status) == "pending"
     good = joined.where(F.col("_known") & ~pending).drop("_known")
     reason = F.when(F.col("_known").isNull(), "unknown").when(pending, "pending")
@@ -169,13 +170,10 @@ def files_by_stage(files: DataFrame, selection: DataFrame, *, owner: Column) ->
     """
     chosen = selection.select(F.col("owner").alias("_owner"), "stage").distinct()
     per_owner = chosen.groupBy("_owner").agg(F.array_join(F.sort_array(F.collect_list("stage")), ",").alias("stages"))
-    everyone = selection.select("stage").distinct().agg(F.array_join(F.sort_array(F.collect_list("stage")), ",").alias("_all"))
-    owned = files.withColumn("_owner", owner).join(per_owner, "_owner", "left")
-    # One row: the sorted list of stages.
-    with_all = owned.join(F.broadcast(everyone))
-    return with_all.withColumn("stages", F.when(F.col("_owner").isNull(), F.col("_all")).otherwise(F.col("stages"))).where(
-        F.col("stages").isNotNull()
-    ).drop("_owner", "_all")
+    everyone = F.lit(",".join(bounded_list(selection, "stage", limit=1000)))
+    owned = files.withColumn("_owner", owner).join(small(per_owner), "_owner", "left")
+    stages = F.when(F.col("_owner").isNull(), everyone).otherwise(F.col("stages"))
+    return owned.withColumn("stages", stages).where(F.col("stages").isNotNull()).drop("_owner")
 
 
 def correspondence(declared: DataFrame, targets: DataFrame, *, skeleton: str) -> DataFrame:
@@ -184,10 +182,9 @@ def correspondence(declared: DataFrame, targets: DataFrame, *, skeleton: str) ->
 
     ``targets`` (target, joint, fallback) is a fixed list; each skeleton appears once per target.
     """
-    rows = F.transform(
-        F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in row.asDict().items()]) for row in targets.collect()]), lambda t: t
-    )
-    wanted = declared.select(skeleton).distinct().select(skeleton, F.inline(rows))
+    fixed = targets.select(F.struct("target", "joint", "fallback").alias("t"))
+    cells = [F.struct(*[F.lit(t[n]).alias(n) for n in ("target", "joint", "fallback")]) for t in bounded_list(fixed, "t", limit=1000)]
+    wanted = declared.select(skeleton).distinct().select(skeleton, F.inline(F.array(*cells)))
     own = declared.select(skeleton, F.col("joint"), F.lit(True).alias("_own")).distinct()
     fall = declared.select(skeleton, F.col("joint").alias("fallback"), F.lit(True).alias("_fall")).distinct()
     joined = wanted.join(own, [skeleton, "joint"], "left").join(fall, [skeleton, "fallback"], "left")
@@ -197,6 +194,6 @@ def correspondence(declared: DataFrame, targets: DataFrame, *, skeleton: str) ->
 
 def restrict_to_driven(table: DataFrame, driven: DataFrame, *, body: str, provenance: str) -> DataFrame:
     """P12. Rows whose driving body is not instrumented become absent."""
-    joined = table.join(driven.select(F.col("body").alias(body), F.lit(True).alias("_d")).distinct(), body, "left")
+    joined = table.join(small(driven.select(F.col("body").alias(body), F.lit(True).alias("_d")).distinct()), body, "left")
     kept = F.when(F.col("_d"), F.col(provenance)).otherwise(F.lit("absent"))
     return joined.withColumn(provenance, kept).drop("_d")

@@ -8,20 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quat as Q
-from .blocks import BLOCK_ROWS, attach
+from .blocks import BLOCK_ROWS, attach, small
 from .quantiles import exact_quantiles
 from .rigid import CELLS, rotation_of, transposed
 from .windows import angular_rate, sign_continuous
 
 
 def join_streams(
-    small: DataFrame, large: DataFrame, site_joint: DataFrame, *, keys: Sequence[str], site: str, joint: str
+    frames: DataFrame, large: DataFrame, site_joint: DataFrame, *, keys: Sequence[str], site: str, joint: str
 ) -> DataFrame:
     """J1. Frames of two streams of one take, through a site to joint table.
 
     Meets on key, frame and joint, so a long take is spread over its frames.
     """
-    return small.join(site_joint, site).join(large, [*keys, joint])
+    return frames.join(small(site_joint), site).join(large, [*keys, joint])
 
 
 def mean_rotation(df: DataFrame, *, keys: Sequence[str], matrix: str, carry: Sequence[Column] = ()) -> DataFrame:
@@ -58,7 +58,9 @@ def dispersion_findings(spread: DataFrame, *, tolerant: Column, fail_deg: float,
     return spread.withColumn("severity", severity).where(F.col("severity").isNotNull())
 
 
-def mounting_rotation(df: DataFrame, *, keys: Sequence[str], a: str, b: str, min_rate: float) -> DataFrame:
+def mounting_rotation(
+    df: DataFrame, *, keys: Sequence[str], a: str, b: str, min_rate: float, carry: Sequence[Column] = ()
+) -> DataFrame:
     """A15. Constant rotation M with ``b_row = a_row M`` from the rows where ``a`` turns fast enough.
 
     Keys with fewer than three such rows are left out.
@@ -70,12 +72,14 @@ def mounting_rotation(df: DataFrame, *, keys: Sequence[str], a: str, b: str, min
     sums = marked.groupBy(*keys).agg(
         *[F.sum(F.when(usable, F.col(a)[i] * F.col(b)[j])).alias(f"h{i}{j}") for i in "xyz" for j in "xyz"],
         F.count_if(usable).alias("used"),
+        *carry,
     )
+    extra = [c for c in sums.columns if c not in (*keys, "used") and not c.startswith("h")]
     found = sums.where(F.col("used") >= 3).withColumn(
         "_r", rotation_of([F.col(f"h{i}{j}") for i in "xyz" for j in "xyz"])
     )
     m = F.struct(*[F.col("_r")[f"m{j}{i}"].alias(f"m{i}{j}") for i in range(3) for j in range(3)])
-    return found.select(*keys, m.alias("mounting"), "used")
+    return found.select(*keys, m.alias("mounting"), "used", *extra)
 
 
 def compare_orientation(
@@ -93,26 +97,24 @@ def compare_orientation(
     here = F.col(frame) >= 0
     rated = angular_rate(df, keys=keys, frame=frame, q=a, dt_s=dt_s, one_sided_ends=False, out="_ra", rows=rows)
     rated = angular_rate(rated, keys=keys, frame=frame, q=b, dt_s=dt_s, one_sided_ends=False, out="_rb", rows=rows)
-    mounts = mounting_rotation(rated, keys=keys, a="_ra", b="_rb", min_rate=min_rate)
-    mounts = Q.with_quaternion(mounts, "_m", "mounting").select(*keys, "used", "_m")
-    corr = rated.groupBy(*keys).agg(
-        F.corr(Q.norm(F.col("_ra")), Q.norm(F.col("_rb"))).alias("rate_correlation"), F.max(frame).alias("_last")
-    )
+    carry = [F.corr(Q.norm(F.col("_ra")), Q.norm(F.col("_rb"))).alias("_corr"), F.max(frame).alias("_last")]
+    mounts = mounting_rotation(rated, keys=keys, a="_ra", b="_rb", min_rate=min_rate, carry=carry)
+    mounts = Q.with_quaternion(mounts, "_m", "mounting").select(*keys, "_m", "_corr", "_last")
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*keys, frame, a, b)
-    both = attach(both, mounts.join(corr, list(keys)), keys=keys, frame=frame, last_frame="_last", rows=rows)
+    both = attach(both, mounts, keys=keys, frame=frame, last_frame="_last", rows=rows)
     both = both.withColumn("_p", Q.hold(Q.multiply(F.col(a), F.col("_m")), here))
     both = both.withColumn("_w", Q.hold(Q.multiply(F.col(b), Q.conjugate(F.col("_p"))), here))
     steady = sign_continuous(both, keys=keys, frame=frame, q="_w", rows=rows)
-    mean = steady.groupBy(*keys).agg(*[F.avg(F.col("_w")[c]).alias(c) for c in "wxyz"], F.max(frame).alias("_last"))
-    mean = mean.select(*keys, Q.normalise(Q.quat(*[F.col(c) for c in "wxyz"])).alias("_o"), "_last")
-    errors = attach(both, mean, keys=keys, frame=frame, last_frame="_last", rows=rows)
+    mean = steady.groupBy(*keys).agg(*[F.avg(F.col("_w")[c]).alias(c) for c in "wxyz"], F.max(frame).alias("_last"), F.first("_corr").alias("_corr"))
+    mean = mean.select(*keys, Q.normalise(Q.quat(*[F.col(c) for c in "wxyz"])).alias("_o"), "_last", F.col("_corr").alias("rate_correlation"))
+    errors = attach(both.drop("_corr"), mean, keys=keys, frame=frame, last_frame="_last", rows=rows)
     errors = errors.withColumn("_c", Q.hold(Q.multiply(F.col("_o"), F.col("_p")), here))
     errors = errors.withColumn("_error", Q.angle_deg(F.col("_c"), F.col(b)))
     out = exact_quantiles(
         errors, keys=keys, value="_error", probs={"median_deg": 0.5, "p95_deg": 0.95},
-        aggs=[F.max("_error").alias("max_deg"), F.count(F.lit(1)).alias("frames")],
+        aggs=[F.max("_error").alias("max_deg"), F.count(F.lit(1)).alias("frames"), F.first("rate_correlation").alias("rate_correlation")],
     )
-    return out.join(corr.drop("_last"), list(keys))
+    return out
 
 
 def compose_chain(
@@ -125,7 +127,7 @@ def compose_chain(
     steps = closure.select(F.col("ancestor").alias(node), F.col("node").alias("_node"), F.col("depth").alias("_up"))
     gathered = (
         df.select(*keys, node, q)
-        .join(steps, node)
+        .join(small(steps), node)
         .groupBy(*keys, F.col("_node").alias(node))
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("_up")).alias("at"), F.col(q).alias("q")))).alias("_list"))
     )
@@ -136,7 +138,7 @@ def compose_chain(
 
 def parent_relative(df: DataFrame, edges: DataFrame, *, keys: Sequence[str], node: str, q: str) -> DataFrame:
     """F18. Rotation relative to the parent node; a root keeps its own."""
-    child = df.join(edges.select(F.col("node").alias(node), F.col("parent").alias("_parent")), node)
+    child = df.join(small(edges.select(F.col("node").alias(node), F.col("parent").alias("_parent"))), node)
     above = df.select(*keys, F.col(node).alias("_parent"), F.col(q).alias("_up"))
     joined = child.join(above, [*keys, "_parent"], "left")
     relative = Q.multiply(Q.conjugate(F.col("_up")), F.col(q))

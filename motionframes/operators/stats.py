@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import quat as Q
-from .blocks import BLOCK_ROWS, over_neighbours
+from .blocks import BLOCK_ROWS, over_neighbours, small
 from .quantiles import exact_quantiles
 
 
@@ -118,7 +118,7 @@ def joint_ranges(
     ``limits`` has one row per coordinate (low, high, span_limit); coordinates without a limit are
     not checked.
     """
-    joined = df.join(limits, name)
+    joined = df.join(small(limits), name)
     outside = (F.col(value) < F.col("low")) | (F.col(value) > F.col("high"))
     return (
         joined.groupBy(*keys, name)
@@ -147,7 +147,7 @@ def worst_coordinate(ranges: DataFrame, *, keys: Sequence[str], name: str) -> Da
 def rows_outside(df: DataFrame, limits: DataFrame, *, keys: Sequence[str], frame: str, name: str, value: str) -> DataFrame:
     """A18. Frames where any coordinate is outside."""
     outside = (F.col(value) < F.col("low")) | (F.col(value) > F.col("high"))
-    frames = df.join(limits, name).groupBy(*keys, frame).agg(F.max(outside).alias("any"))
+    frames = df.join(small(limits), name).groupBy(*keys, frame).agg(F.max(outside).alias("any"))
     return frames.groupBy(*keys).agg(F.count_if("any").alias("frames_outside"), F.count(F.lit(1)).alias("frames"))
 
 
@@ -359,7 +359,7 @@ def roll_up(df: DataFrame, closure: DataFrame, *, keys: Sequence[str], node: str
     """
     per_node = df.groupBy(*keys, F.col(node).alias("node")).agg(*[F.sum(v).alias(v) for v in values])
     return (
-        per_node.join(closure.select("ancestor", "node"), "node")
+        per_node.join(small(closure.select("ancestor", "node")), "node")
         .groupBy(*keys, F.col("ancestor").alias("node"))
         .agg(*[F.sum(v).alias(v) for v in values])
     )

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import joins, sets, stats
+from ..operators import sets, stats
+from ..operators.blocks import small
 
 FREE_AXES = ("T", "N")
 
@@ -42,7 +43,7 @@ def capabilities(takes: DataFrame, profiles: DataFrame, *, source: str, mode: st
     derived = F
     for m, caps in by_mode.items():
         derived = derived.when(F.col(mode) == m, names(caps))
-    joined = takes.join(profiles.select(source, F.col("capabilities").alias("_declared")), source, "left")
+    joined = takes.join(small(profiles.select(source, F.col("capabilities").alias("_declared"))), source, "left")
     declared = F.coalesce("_declared", names([]))
     both = F.array_union(F.coalesce(derived.otherwise(None), names([])), declared)
     return joined.withColumns(
@@ -97,7 +98,7 @@ def missing_fields(present: DataFrame, takes: DataFrame, fields: Sequence[str],
     owed = takes.select(take, source, cells)
     gaps = owed.join(present.select(take, "field").distinct(), [take, "field"], "left_anti")
     excuse = waivers.select(source, F.col("target").alias("field"), F.lit(True).alias("_w")).distinct()
-    graded = gaps.join(excuse, [source, "field"], "left").withColumn("_s", F.when(F.col("_w"), "WARN").otherwise("FAIL"))
+    graded = gaps.join(small(excuse), [source, "field"], "left").withColumn("_s", F.when(F.col("_w"), "WARN").otherwise("FAIL"))
     return graded.select(*finding("L1", "manifest", F.col("_s"), F.concat(F.lit("missing manifest field:"), "field"), take))
 
 
@@ -108,7 +109,7 @@ def array_spec_findings(observed: DataFrame, takes: DataFrame, spec: DataFrame,
     ``spec``: artifact, key, dtype, axes, capability; an axis is a size or a free letter.
     """
     spec = spec.select("artifact", "key", F.col("dtype").alias("_dtype"), "axes", F.col("capability").alias("_cap"))
-    declared = takes.join(spec, "artifact").withColumn(
+    declared = takes.join(small(spec), "artifact").withColumn(
         "_allowed", F.col("_cap").isNull() | F.array_contains("capabilities", F.col("_cap"))
     )
     on = [take, "artifact", "key"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -28,16 +28,18 @@ HEADERS = T.StructType(
 
 def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from numpy.lib import format as npy
+    from pyarrow import fs
 
     for batch in batches:
         rows = []
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        for path in batch["path"]:
+            system, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            with system.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
                 for member in sorted(archive.namelist()):
-                    with archive.open(member) as handle:
-                        version = npy.read_magic(handle)
+                    with archive.open(member) as data:
+                        version = npy.read_magic(data)
                         read = npy.read_array_header_1_0 if version == (1, 0) else npy.read_array_header_2_0
-                        shape, _, dtype = read(handle)
+                        shape, _, dtype = read(data)
                     size = None if dtype.kind in "UO" else dtype.itemsize
                     name = DTYPE_CLASS.get((dtype.kind, size), f"{dtype.kind}{dtype.itemsize}")
                     rows.append((path, member.removesuffix(".npy"), [int(n) for n in shape], name))
@@ -47,10 +49,11 @@ def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def archive_headers(spark: SparkSession, folder: str) -> DataFrame:
     """S1. Key, shape and dtype class of every member of every archive below a folder.
 
-    Only the member headers are decoded.
+    Spark lists the paths; a task opens an archive with random access and reads its directory and
+    the members' headers, not the values.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.npz")
-    return files.load(folder).select("path", "content").mapInPandas(_headers, HEADERS)
+    return files.load(folder).select("path").mapInPandas(_headers, HEADERS)
 
 
 _COLUMN_CLASS = {"double": "f8", "float": "f4", "bigint": "i8", "int": "i4", "boolean": "bool", "string": "U"}

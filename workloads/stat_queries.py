@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from motionframes.functions import quat as Q
 from motionframes.operators import sets, stats, windows
+from motionframes.operators.blocks import attach
 from motionframes.operators.runs import edge_status
 
 from .base import GAPPY_SQL, POINTS, QUATS, SERIES, STREAMS, gappy, large_frames, long, points, quats, query, r6, series, site_joint, small_frames, table
@@ -178,7 +179,9 @@ def a23_mean_direction(spark, folder):
     rows = quats(spark, folder)
     mean = stats.mean_direction(rows, keys=["take"], vector="v")
     d = F.col("direction")
-    agree = rows.join(mean, "take").groupBy("take").agg(
+    lasts = rows.groupBy("take").agg(F.max("frame").alias("last"))
+    both = attach(rows, mean.join(lasts, "take"), keys=["take"], frame="frame", last_frame="last")
+    agree = both.groupBy("take").agg(
         F.avg((Q.dot(F.col("v"), d) > 0).cast("double")).alias("agree"), F.first("direction").alias("direction")
     )
     return agree.select(long("take").alias("take"), *[r6(d[c]).alias(c) for c in "xyz"], r6("agree").alias("agree"))
