@@ -52,7 +52,7 @@ def half_median_step(df: DataFrame, *, keys: Sequence[str], time: str, id_: str,
     stepped = running(
         df, keys=keys, frame=time, ties=[id_], rows=block, scans={"_b": ("previous", F.col(time))}
     ).withColumn("_step", F.col(time) - F.col("_b"))
-    out = exact_quantiles(stepped, keys=keys, value="_step", probs={"_m": 0.5})
+    out = exact_quantiles(stepped, keys=keys, value="_step", probs={"_m": 0.5}, sized_by=df)
     return out.select(*keys, (F.col("_m") / 2).alias("tolerance"))
 
 

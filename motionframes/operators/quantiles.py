@@ -19,6 +19,7 @@ def exact_quantiles(
     probs: Mapping[str, float],
     aggs: Sequence[Column] = (),
     hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Per key: the quantiles named in ``probs`` plus any plain aggregates in ``aggs``.
 
@@ -28,10 +29,17 @@ def exact_quantiles(
     mergeable sketch brackets each wanted rank, the rows below the bracket are only counted, and the
     exact order statistics are picked from the few values inside it.
     Nulls are left out, as in SQL.
+
+    ``sized_by`` saves counting a derived input: a table it was derived from, with some of the keys
+    and at least as many rows for each. Only when one of its groups is large is ``df`` counted.
     """
     keys = list(keys)
     prepared = df.withColumn("_q", F.col(value).cast("double"))
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    if sized_by is not None:
+        shared = [k for k in keys if k in sized_by.columns]
+        if _groups_above(sized_by, shared, hot_rows).isEmpty():
+            return _small_groups(prepared, keys, probs, aggs)
+    hot = _groups_above(df, keys, hot_rows)
     if hot.isEmpty():
         return _small_groups(prepared, keys, probs, aggs)
     hot = F.broadcast(hot.select(*keys))
@@ -39,6 +47,10 @@ def exact_quantiles(
     return usual.unionByName(_large_groups(prepared.join(hot, keys), keys, probs, aggs))
 
 
+def _groups_above(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+
+
 def _small_groups(
     prepared: DataFrame, keys: list[str], probs: Mapping[str, float], aggs: Sequence[Column]
 ) -> DataFrame:

@@ -47,7 +47,7 @@ def dispersion(
     means = mean_rotation(df, keys=keys, matrix=matrix, carry=carry).where(F.col("n") >= minimum)
     both = attach(df, means, keys=keys, frame=frame, last_frame="_last", rows=rows)
     both = both.withColumn("_angle", Q.matrix_angle_deg(F.col("mean"), F.col(matrix)))
-    return exact_quantiles(both, keys=keys, value="_angle", probs={"dispersion": 0.5}, aggs=[F.count(F.lit(1)).alias("n")])
+    return exact_quantiles(both, keys=keys, value="_angle", probs={"dispersion": 0.5}, aggs=[F.count(F.lit(1)).alias("n")], sized_by=df)
 
 
 def dispersion_findings(spread: DataFrame, *, tolerant: Column, fail_deg: float, warn_deg: float) -> DataFrame:
@@ -113,6 +113,7 @@ def compare_orientation(
     out = exact_quantiles(
         errors, keys=keys, value="_error", probs={"median_deg": 0.5, "p95_deg": 0.95},
         aggs=[F.max("_error").alias("max_deg"), F.count(F.lit(1)).alias("frames"), F.first("rate_correlation").alias("rate_correlation")],
+        sized_by=df,
     )
     return out
 

@@ -72,7 +72,7 @@ def time_axis(
     )
     out = exact_quantiles(
         stepped, keys=keys, value="_d", probs={"median_step": 0.5},
-        aggs=[F.coalesce(F.min(F.col("_d") > 0), F.lit(True)).alias("increasing")],
+        aggs=[F.coalesce(F.min(F.col("_d") > 0), F.lit(True)).alias("increasing")], sized_by=df,
     )
     return out.withColumn("rate_off", F.abs(F.col("median_step") - nominal_s) > tolerance_s)
 

@@ -165,7 +165,7 @@ def q15_reconstruct_markers(spark, folder):
 def j18_nearest_label(spark, folder):
     p = points(spark, folder)
     v = p.where(F.col("vec_id") % 5 == 0).select(F.col("marker").alias("label"), *POS)
-    out = rigid.nearest_labelled(p, v, id_="vec_id", position=POS, label="label", cell=0.1, rounds=5)
+    out = rigid.nearest_labelled(p, v, id_="vec_id", position=POS, label="label", cell=0.1)
     return out.withColumn("distance", r6("distance"))
 
 

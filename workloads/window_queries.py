@@ -22,6 +22,11 @@ r AS (SELECT take, {flag} AS state, run, min(frame) AS start, max(frame) + 1 AS
       FROM r1 GROUP BY take, {flag}, run)"""
 
 
+def raw_takes(spark, folder):
+    """The take of every event: a cheap size check for what is derived from the series."""
+    return table(spark, folder, "events").select(F.col("user_id").alias("take"))
+
+
 @query(
     "flagship_usable_runs",
     f"WITH {SERIES}, u AS (SELECT *, site <> 'error' AS ok FROM s), {RUNS.format(flag='ok', src='u')}, "
@@ -37,7 +42,7 @@ def flagship_usable_runs(spark, folder):
     usable = series(spark, folder).withColumn("ok", F.col("site") != "error")
     best = runs.longest_span(usable, keys=["take"], frame="frame", solved=F.col("ok"))
     inside = runs.within_spans(usable, best, keys=["take"], frame="frame")
-    spread = exact_quantiles(inside, keys=["take"], value="x", probs={"median": 0.5, "p95": 0.95})
+    spread = exact_quantiles(inside, keys=["take"], value="x", probs={"median": 0.5, "p95": 0.95}, sized_by=raw_takes(spark, folder))
     return best.join(spread, "take").select(
         "take", "start", "stop", "length", r6("coverage").alias("coverage"), r6("median").alias("median"), r6("p95").alias("p95")
     )
@@ -501,7 +506,8 @@ def w27_missing_names(spark, folder):
 def stride_points(spark, folder):
     """Mean time and median value of each segment between rising edges."""
     return exact_quantiles(
-        segmented(spark, folder), keys=["take", "segment"], value="x", probs={"y": 0.5}, aggs=[F.avg("t_s").alias("t")]
+        segmented(spark, folder), keys=["take", "segment"], value="x", probs={"y": 0.5}, aggs=[F.avg("t_s").alias("t")],
+        sized_by=raw_takes(spark, folder),
     )
 
 
