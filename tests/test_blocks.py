@@ -126,3 +126,18 @@ def test_partitioning_of_the_input_does_not_matter(frames):
     one = runs.runs(frames.coalesce(1), **KEYS, state=F.col("ok"), rows=16)
     many = runs.runs(frames.repartition(13, "frame"), **KEYS, state=F.col("ok"), rows=16)
     assert table(one) == table(many)
+
+
+def test_hot_buckets_are_cut_and_still_numbered_exactly(spark):
+    # One bucket and, for take 1, one single time hold most rows; ids break the ties.
+    rows = [(0, i, (i * 37) % 400) for i in range(400)] + [(1, i, 5) for i in range(300)] + [(2, 0, 9)]
+    df = spark.createDataFrame(rows, "take int, id long, t long").repartition(7)
+    out = dense_frames(df, keys=["take"], order=["t", "id"], bucket=F.lit(0), hot_rows=50)
+    by_take = {}
+    for r in out.collect():
+        by_take.setdefault(r.take, []).append((r.frame, r.t, r.id))
+    assert {k: len(v) for k, v in by_take.items()} == {0: 400, 1: 300, 2: 1}
+    for found in by_take.values():
+        found.sort()
+        assert [f for f, _, _ in found] == list(range(len(found)))
+        assert [(t, i) for _, t, i in found] == sorted((t, i) for _, t, i in found)
