@@ -214,12 +214,12 @@ def physical_findings(df: DataFrame, *, take: str, frame: str, time: str, value:
 # -- level 4 ---------------------------------------------------------------------------------
 
 
-def governance_rules(spec_id: str, spec_version: str) -> dict[str, Column]:
+def governance_rules(spec_id: str, spec_version: str, scope: str) -> dict[str, Column]:
     """P6. Lineage rules on the extracted manifest columns, as breach conditions."""
     version = F.col("spec_version")
     return {
         "missing distribution_scope": F.col("distribution_scope").isNull(),
-        "wrong distribution_scope": F.col("distribution_scope") != "internal_only",
+        "wrong distribution_scope": F.col("distribution_scope") != scope,
         "wrong spec_id": F.col("spec_id") != spec_id,
         "wrong spec_version": version != spec_version,
         "bare version number": version.rlike(X.BARE_VERSION),
@@ -234,11 +234,11 @@ def absolute_paths(leaves: DataFrame, *, keep: Sequence[str]) -> DataFrame:
     return hits.select(*finding("L4", "governance", "FAIL", F.concat(F.lit("absolute path at "), "path"), *keep))
 
 
-def governance_findings(manifests: DataFrame, leaves: DataFrame, *, take: str, spec_id: str, spec_version: str) -> DataFrame:
+def governance_findings(manifests: DataFrame, leaves: DataFrame, *, take: str, spec_id: str, spec_version: str, scope: str) -> DataFrame:
     """Q6. Unreadable manifests, lineage breaches and absolute paths."""
     level = {"level": "L4", "check": "governance", "keep": [take]}
     unreadable = failed_rules(manifests, {"unreadable manifest": ~F.col("readable")}, **level)
-    lineage = failed_rules(manifests.where("readable"), governance_rules(spec_id, spec_version), **level)
+    lineage = failed_rules(manifests.where("readable"), governance_rules(spec_id, spec_version, scope), **level)
     return sets.all_findings(unreadable, lineage, absolute_paths(leaves, keep=[take]))
 
 
@@ -352,6 +352,14 @@ def without_glitches(df: DataFrame, *, glitch: Column, valid: str, channels: Seq
     ).drop("_g")
 
 
+def site_sources(sites: DataFrame, drivers: DataFrame, *, site: str) -> DataFrame:
+    """P20. Whether a site is backed by its driving key, and the source label; ``drivers`` has one
+    provenance per driven site, ``absent`` where nothing drives it."""
+    joined = sites.join(small(drivers.select(F.col("site").alias(site), "provenance")), site, "left")
+    backed = F.coalesce(F.col("provenance") != "absent", F.lit(False))
+    return joined.withColumns({"backed": backed, "label": F.when(backed, F.col("provenance"))}).drop("provenance")
+
+
 def effective_mask(valid: Column) -> Column:
     """P2. The stored mask, all true where there is none."""
     return F.coalesce(valid, F.lit(True))

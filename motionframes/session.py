@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture costs several driver round trips per Column operation.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from motionframes.functions import quat as Q
 from motionframes.operators.blocks import dense_frames
+from motionframes.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +44,11 @@ def long(value: Column | str) -> Column:
     return value.cast("bigint")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # One bucket per hour: the unit in which a user's events are ranked.
 HOUR_US = 3_600_000_000
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from motionframes.functions import text as X
 from motionframes.operators import joins
+from motionframes.plans import quality
 
 from .base import HOUR_US, SERIES, long, query, r6, series, table
 
@@ -232,7 +233,8 @@ def p12_undriven_summary(spark, folder):
     LEFT JOIN (VALUES ('AUTOMOBILE', 'measured'), ('BUILDING', 'absent'), ('MACHINERY', 'derived')) AS d(seg, p) ON seg = c_mktsegment""",
 )
 def p20_site_sources(spark, folder):
-    drivers = spark.createDataFrame([("AUTOMOBILE", "measured"), ("BUILDING", "absent"), ("MACHINERY", "derived")], "site string, p string")
-    rows = table(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("site")).join(drivers, "site", "left")
-    backed = F.coalesce(F.col("p") != "absent", F.lit(False))
-    return rows.select("c_custkey", "site", backed.alias("backed"), F.when(backed, F.col("p")).alias("label"))
+    drivers = spark.createDataFrame(
+        [("AUTOMOBILE", "measured"), ("BUILDING", "absent"), ("MACHINERY", "derived")], "site string, provenance string"
+    )
+    rows = table(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("site"))
+    return quality.site_sources(rows, drivers, site="site")

@@ -11,7 +11,7 @@ from motionframes.operators import sets, stats, windows
 from motionframes.plans import quality
 from motionframes.sources import archives, files
 
-from .base import GAPPY_SQL, SERIES, gappy, long, query, r6, series, table
+from .base import GAPPY_SQL, SERIES, gappy, long, query, r6, scratch, series, table
 from .stat_queries import BAD_MASK
 from .window_queries import HERMITE, STEP, filled, stepped
 
@@ -76,13 +76,13 @@ RULES = f"""{MANIFESTS}, ru AS (SELECT take, unnest([
 
 @query("q6_governance_findings", f"WITH {RULES} SELECT take, 'L4' AS level, 'FAIL' AS severity, message FROM ru WHERE message IS NOT NULL")
 def q6_governance_findings(spark, folder):
-    out = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1")
+    out = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="internal_only")
     return out.select(*FIND)
 
 
 @query("p6_lineage_rules", f"WITH {RULES} SELECT take, message FROM ru WHERE message IS NOT NULL AND message NOT LIKE 'absolute%' AND message NOT LIKE 'unreadable%'")
 def p6_lineage_rules(spark, folder):
-    rules = quality.governance_rules("spec", "tag-1")
+    rules = quality.governance_rules("spec", "tag-1", "internal_only")
     readable = manifests(spark, folder).where("readable")
     return quality.failed_rules(readable, rules, level="L4", check="governance", keep=["take"]).select("take", "message")
 
@@ -381,7 +381,7 @@ def q4_physical_findings(spark, folder):
     SELECT level, grouping(level)::BIGINT AS total_row, count(*) AS fail, 0::BIGINT AS warn, false AS passed FROM al GROUP BY ROLLUP (level)""",
 )
 def a8_findings_roll_up(spark, folder):
-    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1")
+    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="internal_only")
     return quality.roll_up_findings(sets.all_findings(governance, l2_findings(spark, folder)))
 
 
@@ -391,7 +391,7 @@ def a8_findings_roll_up(spark, folder):
     SELECT take, message, NULL::DOUBLE AS amount FROM ru WHERE message IS NOT NULL UNION ALL SELECT take, 'too much', round(q, 6) + 0.0 FROM l""",
 )
 def o4_all_findings(spark, folder):
-    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1")
+    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="internal_only")
     heavy = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("take")).agg(r6(F.sum("l_quantity")).alias("amount")).where("amount > 200")
     heavy = heavy.withColumn("message", F.lit("too much"))
     return sets.all_findings(governance.select("take", "message"), heavy)
@@ -559,3 +559,15 @@ def f15_up_axis(spark, folder):
     gy, gz = F.when(k == 0, -9.81).otherwise(0.0), F.when(k == 1, -9.81).otherwise(0.0)
     value, reason = X.agreed(X.up_axis_from_text(note), X.up_axis_from_gravity(F.lit(0.0), gy, gz))
     return table(spark, folder, "documents").select("doc_id", value.alias("up_axis"), reason.alias("reason"))
+
+
+@query(
+    "s16_report_summary",
+    f"""WITH {L2}, al AS (SELECT 'L2' AS level FROM fi WHERE message IS NOT NULL) SELECT level, count(*) AS fail, count(*) = 0 AS passed FROM al GROUP BY ROLLUP (level)""",
+)
+def s16_report_summary(spark, folder):
+    """The report written as JSON, and its summary read back."""
+    path = scratch(spark, "report")
+    quality.write_report(l2_findings(spark, folder), path)
+    summary = spark.read.schema("level string, total_row bigint, fail bigint, warn bigint, passed boolean").json(f"{path}/summary")
+    return summary.select("level", "fail", "passed")

@@ -8,7 +8,7 @@ from motionframes.functions import text as X
 from motionframes.operators.blocks import dense_frames
 from motionframes.sources import archives, files, tidy
 
-from .base import SERIES, long, query, r6, series, table
+from .base import QUATS, SERIES, long, quats, query, r6, scratch, series, table
 
 
 def _observed_sql(name: str, columns: dict[str, str]) -> str:
@@ -279,3 +279,23 @@ def s18_limitation_rows(spark, folder):
 )
 def s18_drift(spark, folder):
     return files.drifted(*limitation_copies(spark, folder))
+
+
+@query(
+    "s14_written_bundle",
+    f"""WITH {SERIES}, {QUATS} SELECT 'values' AS artifact, site AS source, count(*) AS rows, round(sum(x), 4) + 0.0 AS total FROM s GROUP BY site
+    UNION ALL SELECT 'rotations', 'label' || take, count(*), round(sum(w), 4) + 0.0 FROM q GROUP BY take""",
+)
+def s14_written_bundle(spark, folder):
+    """Two artifacts written as partitioned tables after a shape check, and read back."""
+    path = scratch(spark, "bundle")
+    values = series(spark, folder).select("take", "frame", "x", F.col("site").alias("source"))
+    turned = quats(spark, folder).select("take", "frame", "q", F.concat(F.lit("label"), F.col("take").cast("string")).alias("source"))
+    problems = values.where("frame is null or x is null")
+    archives.write_bundle({"values": values, "rotations": turned}, path, partition_by=["source"], problems=problems)
+
+    def summed(name, schema, value):
+        back = archives.load_frames(spark, f"{path}/{name}", schema)
+        return back.groupBy(F.lit(name).alias("artifact"), "source").agg(F.count(F.lit(1)).alias("rows"), r6(F.sum(value), 4).alias("total"))
+
+    return summed("values", values.schema, F.col("x")).unionByName(summed("rotations", turned.schema, F.col("q.w")))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from motionframes.session import checkpoint_dir
 from motionframes.streaming import online
 
-from .base import GAPPY, query, r6, table
+from .base import GAPPY, query, r6, scratch, table
+from .diff_queries import ASSETS, KEYS4, assets_v1, assets_v2
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -28,7 +26,7 @@ def events_stream(spark, folder):
 def run_to_end(df):
     """Write what the stream emits until its input is used up, and read it back."""
     spark = df.sparkSession
-    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     writer = df.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
     writer.option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
@@ -83,3 +81,21 @@ def st4_online_outliers(spark, folder):
         return run_to_end(out)
     finally:
         spark.conf.set(STORE, before)
+
+
+@query(
+    "st5_incremental_verification",
+    f"""WITH {ASSETS}, lg AS (SELECT * FROM v1 WHERE idx % 4 <> 0) SELECT v2.asset_id, v2.sha256 FROM v2 LEFT JOIN lg ON lg.asset_id = v2.asset_id
+    WHERE NOT coalesce(v2.sha256 = lg.sha256 AND v2.bytes = lg.bytes AND v2.source = lg.source AND v2.spec_version = lg.spec_version, false)""",
+)
+def st5_incremental_verification(spark, folder):
+    """New assets arriving as files; each batch keeps what the ledger does not trust."""
+    path = scratch(spark, "verify")
+    assets_v2(spark, folder).write.parquet(f"{path}/in")
+    ledger = assets_v1(spark, folder).withColumn("status", F.when(F.col("idx") % 4 == 0, "FAIL").otherwise("PASS"))
+    arriving = spark.readStream.schema(assets_v2(spark, folder).schema).parquet(f"{path}/in")
+    fresh = lambda df, epoch: df.select("asset_id", "sha256").write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
+    online.verify_new(
+        arriving, lambda: ledger, key="asset_id", digests=KEYS4, sink=fresh, checkpoint=f"{path}/check"
+    ).awaitTermination()
+    return spark.read.schema("asset_id string, sha256 string").parquet(f"{path}/out").select("asset_id", "sha256")
