@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quat as Q
+from ..session import checkpoint_dir
 from .blocks import BLOCK_ROWS, attach, small
 from .quantiles import exact_quantiles
 from .rigid import CELLS, rotation_of, transposed
@@ -104,6 +105,9 @@ def compare_orientation(
     both = attach(both, mounts, keys=keys, frame=frame, last_frame="_last", rows=rows)
     both = both.withColumn("_p", Q.hold(Q.multiply(F.col(a), F.col("_m")), here))
     both = both.withColumn("_w", Q.hold(Q.multiply(F.col(b), Q.conjugate(F.col("_p"))), here))
+    # Used three times below and two windowed passes deep: written once in the checkpoint folder.
+    checkpoint_dir(df.sparkSession)
+    both = both.checkpoint()
     steady = sign_continuous(both, keys=keys, frame=frame, q="_w", rows=rows)
     mean = steady.groupBy(*keys).agg(*[F.avg(F.col("_w")[c]).alias(c) for c in "wxyz"], F.max(frame).alias("_last"), F.first("_corr").alias("_corr"))
     mean = mean.select(*keys, Q.normalise(Q.quat(*[F.col(c) for c in "wxyz"])).alias("_o"), "_last", F.col("_corr").alias("rate_correlation"))
