@@ -172,14 +172,19 @@ def dense_frames(
     minima: Mapping[str, Column] | None = None,
     hot_rows: int = 4_000_000,
 ) -> DataFrame:
-    """Number the rows of each key 0, 1, 2, ... in ``order``, without one task per key.
+    """Number the rows of each key 0, 1, 2, ... in ``order``.
 
-    ``bucket`` must not decrease along ``order``: rows are ranked inside (key, bucket) and shifted
-    by the row counts of the earlier buckets. Bucket sizes are counted first, and a bucket of more
-    than ``hot_rows`` rows is cut further. ``minima`` adds per-key minimum columns. The ``order``
-    columns are numeric and together unique per key.
+    Key sizes are counted first. While no key has more than ``hot_rows`` rows, one window per key
+    numbers them. Otherwise no task holds a whole key: ``bucket``, which must not decrease along
+    ``order``, splits it, rows are ranked inside (key, bucket) and shifted by the row counts of the
+    earlier buckets, and a bucket of more than ``hot_rows`` rows is cut further. ``minima`` adds
+    per-key minimum columns. The ``order`` columns are numeric and together unique per key.
     """
     minima = dict(minima or {})
+    if df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).isEmpty():
+        whole = Window.partitionBy(*keys)
+        number = F.row_number().over(whole.orderBy(*order)).cast("bigint") - 1
+        return df.withColumns({frame: number, **{n: F.min(c).over(whole) for n, c in minima.items()}})
     prepared = _split_hot_buckets(df.withColumn("_bkt", bucket), keys, order, hot_rows)
     counts = prepared.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(n) for n, c in minima.items()]

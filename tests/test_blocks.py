@@ -102,9 +102,10 @@ def test_rotation_operators_do_not_depend_on_blocks(spark):
         assert table(flat(op(100_000))) == table(flat(op(9)))
 
 
-def test_dense_frames_rank_over_buckets(spark):
+@pytest.mark.parametrize("hot_rows", [1000, 10, 3])
+def test_dense_frames_rank_over_buckets(spark, hot_rows):
     df = spark.createDataFrame([(k % 3, i, (i * 7) % 50) for i, k in enumerate(range(50))], "take int, id int, t int")
-    out = dense_frames(df, keys=["take"], order=["t", "id"], bucket=F.expr("t div 10"), minima={"t0": F.col("t")})
+    out = dense_frames(df, keys=["take"], order=["t", "id"], bucket=F.expr("t div 10"), minima={"t0": F.col("t")}, hot_rows=hot_rows)
     by_take = {}
     for r in out.collect():
         by_take.setdefault(r.take, []).append((r.frame, r.t, r.id, r.t0))
