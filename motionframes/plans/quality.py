@@ -102,20 +102,40 @@ def missing_fields(present: DataFrame, takes: DataFrame, fields: Sequence[str],
     return graded.select(*finding("L1", "manifest", F.col("_s"), F.concat(F.lit("missing manifest field:"), "field"), take))
 
 
+def declared_keys(takes: DataFrame, spec: DataFrame, *, take: str) -> DataFrame:
+    """Every key the declaration names for a take's artifacts, with ``allowed`` by its capabilities.
+
+    The declaration is configuration of a checked size and becomes part of the expression, so the
+    takes are only expanded, not joined.
+    """
+    names = ("artifact", "key", "dtype", "axes", "capability")
+    rows = stats.bounded_list(spec.select(F.struct(*names).alias("s")), "s", limit=10_000)
+    cells = [
+        F.struct(
+            F.lit(r["artifact"]).alias("_artifact"),
+            F.lit(r["key"]).alias("key"),
+            F.lit(r["dtype"]).alias("_dtype"),
+            F.array(*[F.lit(a) for a in r["axes"]]).alias("axes"),
+            F.lit(r["capability"]).cast("string").alias("_cap"),
+        )
+        for r in rows
+    ]
+    expanded = takes.select(take, "artifact", "capabilities", F.inline(F.array(*cells))).where("artifact = _artifact")
+    allowed = F.col("_cap").isNull() | F.array_contains("capabilities", F.col("_cap"))
+    return expanded.select(take, "artifact", "key", "_dtype", "axes", allowed.alias("_allowed"))
+
+
 def array_spec_findings(observed: DataFrame, takes: DataFrame, spec: DataFrame, *, take: str) -> DataFrame:
     """Q3. Arrays against their declaration.
 
     ``observed``: take, artifact, key, shape, dtype. ``takes``: take, artifact, capabilities.
     ``spec``: artifact, key, dtype, axes, capability; an axis is a size or a free letter.
     """
-    spec = spec.select("artifact", "key", F.col("dtype").alias("_dtype"), "axes", F.col("capability").alias("_cap"))
-    declared = takes.join(small(spec), "artifact").withColumn(
-        "_allowed", F.col("_cap").isNull() | F.array_contains("capabilities", F.col("_cap"))
-    )
+    declared = declared_keys(takes, spec, take=take)
     on = [take, "artifact", "key"]
     missing = declared.where("_allowed").join(observed, on, "left_anti")
     missing = missing.select(*finding("L1", "schema", "FAIL", F.concat(F.lit("missing-key:"), "key"), take))
-    seen = observed.join(declared.drop("capabilities"), on, "left")
+    seen = observed.join(declared, on, "left")
     fits_rank = F.size("shape") == F.size("axes")
     sizes = F.zip_with("axes", "shape", lambda a, s: ~a.isin(*FREE_AXES) & (a != s.cast("string")))
     told = F.col("_allowed")

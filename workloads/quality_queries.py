@@ -223,9 +223,10 @@ def q3_array_spec_findings(spark, folder):
 )
 def o1_key_differences(spark, folder):
     arrays, owners = observed_arrays(spark, folder)
-    declared = owners.join(array_spec(spark), "artifact")
-    allowed = F.col("capability").isNull() | F.array_contains("capabilities", F.col("capability"))
-    return sets.key_differences(arrays, declared, keys=["take"], name="key", required=allowed, forbidden=~allowed)
+    declared = quality.declared_keys(owners, array_spec(spark), take="take")
+    return sets.key_differences(
+        arrays, declared, keys=["take"], name="key", required=F.col("_allowed"), forbidden=~F.col("_allowed")
+    )
 
 
 @query(
