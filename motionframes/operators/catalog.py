@@ -214,9 +214,17 @@ def column_digests(df: DataFrame, *, keys: Sequence[str], name: str, columns: Se
     return rows.select(*keys, *[d.alias(c) for c, d in cells.items()])
 
 
-def changed_columns(before: DataFrame, after: DataFrame, *, keys: Sequence[str], name: str, buckets: int) -> DataFrame:
-    """Q13. Which columns a rewrite changed, and for how many keys, by one digest per column and key."""
+def changed_columns(
+    before: DataFrame, after: DataFrame, *, keys: Sequence[str], name: str, bucket_rows: int = 500_000
+) -> DataFrame:
+    """Q13. Which columns a rewrite changed, and for how many keys, by one digest per column and key.
+
+    The largest key is counted first; both sides then spread every key over as many buckets as that
+    one needs to keep ``bucket_rows`` rows in each.
+    """
     columns = [c for c in before.columns if c not in (*keys, name)]
+    largest = before.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    buckets = max(1, -(-largest // bucket_rows))
     a = column_digests(before, keys=keys, name=name, columns=columns, buckets=buckets)
     b = column_digests(after, keys=keys, name=name, columns=columns, buckets=buckets)
     joined = a.select(*keys, F.struct(*columns).alias("_a")).join(b.select(*keys, F.struct(*columns).alias("_b")), list(keys), "full_outer")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import quat as Q
-from .blocks import BLOCK_ROWS, attach, block_of, over_neighbours, running
+from .blocks import BLOCK_ROWS, attach, over_neighbours, running
 from .quantiles import exact_quantiles
 from .runs import with_run_bounds
 

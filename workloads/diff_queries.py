@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from motionframes.functions import text as X
 from motionframes.operators import catalog, diff, sets
 
-from .base import long, query, r6, table
+from .base import long, query, table
 
 FIELDS = ["asset_id", "role", "relative_path", "sha256", "bytes", "source", "spec_id", "spec_version"]
 
@@ -349,7 +349,7 @@ def q13_one_column_rewrite(spark, folder):
     cols = ["l_quantity", "l_discount", "l_tax", "l_returnflag"]
     before = table(spark, folder, "lineitem").select("l_suppkey", F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey").alias("n"), *cols)
     after = before.withColumn("l_tax", F.when(F.col("l_discount") > 0.05, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
-    return catalog.changed_columns(before, after, keys=["l_suppkey"], name="n", buckets=64)
+    return catalog.changed_columns(before, after, keys=["l_suppkey"], name="n")
 
 
 @query(

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from motionframes import schemas
-from motionframes.functions import quat as Q
 from motionframes.functions import text as X
-from motionframes.operators import sets, stats, windows
+from motionframes.operators import sets, windows
 from motionframes.plans import quality
 from motionframes.sources import archives, files
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from motionframes.functions import text as X
-from motionframes.operators.blocks import dense_frames
 from motionframes.sources import archives, files, tidy
 
 from .base import QUATS, SERIES, long, quats, query, r6, scratch, series, table

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from motionframes.functions import quat as Q
 from motionframes.operators import gaps, runs, stats, windows
-from motionframes.operators.blocks import dense_frames
 from motionframes.operators.quantiles import exact_quantiles
 
 from .base import GAPPY_SQL, QUATS, SERIES, gappy, long, quats, query, r6, series, table
