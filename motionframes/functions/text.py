@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Names that operating systems and sync clients leave behind.
-METADATA_NAMES = ("thumbs.db", "desktop.ini", ".ds_store")
+METADATA_NAMES = (".ds_store", ".localized", "desktop.ini", "thumbs.db")
 METADATA_PREFIX = "._"
-UNFINISHED = r"^\..+\.[A-Za-z0-9_-]+\.staging$"
+UNFINISHED = r"^\..+\.[A-Za-z0-9_]+\.staging$"
 # Fixed patterns: an absolute path with a drive letter or a leading folder, a bare version number,
 # and a token that is banned from lineage fields.
 ABSOLUTE_PATH = r"""(?<![A-Za-z])[A-Za-z]:[\\/]|(?:^|(?<=[\s"'=:(\[,;<>|]))/[^/\s"'<>|\\]+/"""
@@ -52,8 +52,8 @@ def pointer_part(name: Column) -> Column:
 
 
 def folder_name(name: Column) -> Column:
-    """P14. Anything but letters, digits, dot, dash and underscore becomes an underscore."""
-    return F.regexp_replace(name, r"[^A-Za-z0-9._-]+", "_")
+    """P14. Every character but letters, digits, dot, dash and underscore becomes an underscore."""
+    return F.regexp_replace(name, r"[^A-Za-z0-9._-]", "_")
 
 
 def composite_id(*parts: Column) -> Column:
@@ -76,6 +76,11 @@ def biological_sex(value: Column, *, fallback: str | None) -> Column:
     )
 
 
+def body_gender(value: Column) -> Column:
+    """P7. male, female or neutral by the first letter; null for anything else."""
+    return F.when(F.lower(F.trim(value)).startswith("n"), "neutral").otherwise(biological_sex(value, fallback=None))
+
+
 def height_m(value: Column) -> Column:
     """P9. Heights above three metres are centimetres."""
     return F.when(value > 3.0, value / 100.0).otherwise(value)

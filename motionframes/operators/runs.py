@@ -69,19 +69,22 @@ def gap_runs(df: DataFrame, *, keys: Sequence[str], frame: str, solved: Column,
 
 
 def longest_span(df: DataFrame, *, keys: Sequence[str], frame: str, solved: Column, rows: int = BLOCK_ROWS) -> DataFrame:
-    """W3. The longest solved run per key (the first on a tie) and the share of frames it covers."""
+    """W3. The longest solved run per key (the first on a tie) and the share of frames it covers.
+
+    A key without a solved frame has the empty run ``[0, 0)``.
+    """
     found = runs(df, keys=keys, frame=frame, state=solved, rows=rows)
     best = F.max(F.when(F.col("state"), F.struct("length", -F.col("start"))))
     return (
         found.groupBy(*keys)
         .agg(best.alias("b"), F.sum("length").alias("frames"))
-        .where(F.col("b").isNotNull())
+        .select(*keys, "frames", *[F.coalesce(F.col(f"b.{c}"), F.lit(0)).alias(n) for c, n in (("length", "length"), ("col2", "_from"))])
         .select(
             *keys,
-            (-F.col("b.col2")).alias("start"),
-            (F.col("b.length") - F.col("b.col2")).alias("stop"),
-            F.col("b.length").alias("length"),
-            (F.col("b.length") / F.col("frames")).alias("coverage"),
+            (-F.col("_from")).alias("start"),
+            (F.col("length") - F.col("_from")).alias("stop"),
+            "length",
+            (F.col("length") / F.col("frames")).alias("coverage"),
         )
     )
 

@@ -69,14 +69,15 @@ def repeated_names(entries: DataFrame, *, name: str) -> DataFrame:
 
 
 def classify_sequences(paths: DataFrame, *, path: str) -> DataFrame:
-    """S13. Dataset, subject and sequence of a path; files that are no motion keep an explicit status."""
+    """S13. Dataset, subject (the folder above the file) and sequence of a path; files that are no motion
+    keep an explicit status."""
     parts = F.split(path, "/")
     stem = F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "")
-    motion = stem.endswith("_poses") | stem.endswith("_stageii")
+    motion = stem.endswith("_poses")
     return paths.select(
         path,
         parts[0].alias("dataset"),
-        F.get(parts, F.lit(1)).alias("subject"),
+        F.get(parts, F.size(parts) - 2).alias("subject"),
         stem.alias("sequence"),
         F.when(motion, "ok").otherwise("excluded_non_motion").alias("status"),
     )

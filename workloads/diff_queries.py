@@ -428,7 +428,7 @@ def p10_without_prefix(spark, folder):
 @query(
     "p14_paths",
     r"""SELECT page_id, lower(replace('C:\Raw\' || url, '\', '/')) AS folded, CASE WHEN starts_with(url, 'http:/') THEN substr(url, 7) END AS relative,
-    replace(replace(url || '~', '~', '~0'), '/', '~1') AS pointer, regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g') AS folder FROM pages""",
+    replace(replace(url || '~', '~', '~0'), '/', '~1') AS pointer, regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g') AS folder FROM pages""",
 )
 def p14_paths(spark, folder):
     url = F.col("url")

@@ -443,12 +443,13 @@ def p2_effective_mask(spark, folder):
 @query(
     "p7_biological_sex",
     """WITH d AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN ' Female ' WHEN 1 THEN 'm' WHEN 2 THEN 'MALE' WHEN 3 THEN 'f' WHEN 4 THEN 'unknown' END AS v FROM customer)
-    SELECT c_custkey, CASE WHEN v IN (' Female ', 'f') THEN 'female' WHEN v IN ('m', 'MALE') THEN 'male' END AS strict, CASE WHEN v IN (' Female ', 'f') THEN 'female' WHEN v IN ('m', 'MALE') THEN 'male' ELSE 'neutral' END AS loose FROM d""",
+    SELECT c_custkey, CASE WHEN v IN (' Female ', 'f') THEN 'female' WHEN v IN ('m', 'MALE') THEN 'male' END AS strict, CASE WHEN v IN (' Female ', 'f') THEN 'female' WHEN v IN ('m', 'MALE') THEN 'male' ELSE 'neutral' END AS loose,
+      CASE WHEN v IN (' Female ', 'f') THEN 'female' WHEN v IN ('m', 'MALE') THEN 'male' END AS body FROM d""",
 )
 def p7_biological_sex(spark, folder):
     forms = F.array(*[F.lit(v) for v in (" Female ", "m", "MALE", "f", "unknown", None)])
     v = F.get(forms, (F.col("c_custkey") % 6).cast("int"))
-    return table(spark, folder, "customer").select("c_custkey", X.biological_sex(v, fallback=None).alias("strict"), X.biological_sex(v, fallback="neutral").alias("loose"))
+    return table(spark, folder, "customer").select("c_custkey", X.biological_sex(v, fallback=None).alias("strict"), X.biological_sex(v, fallback="neutral").alias("loose"), X.body_gender(v).alias("body"))
 
 
 @query(

@@ -173,19 +173,19 @@ def s9_row_count_problems(spark, folder):
     return tidy.row_count_problems(rows, file="take")
 
 
-LISTING = """ls AS (SELECT doc_id, n_chars AS length, source || '/' || lang || '/' || CASE doc_id % 50 WHEN 1 THEN 'Thumbs.db' WHEN 2 THEN '._' || doc_id WHEN 3 THEN '.' || doc_id || '.ab_1.staging' WHEN 4 THEN '.DS_Store' ELSE doc_id || '.txt' END AS path FROM documents)"""
+LISTING = """ls AS (SELECT doc_id, n_chars AS length, source || '/' || lang || '/' || CASE doc_id % 50 WHEN 1 THEN 'Thumbs.db' WHEN 2 THEN '._' || doc_id WHEN 3 THEN '.' || doc_id || '.ab_1.staging' WHEN 4 THEN '.DS_Store' WHEN 5 THEN '.localized' ELSE doc_id || '.txt' END AS path FROM documents)"""
 
 
 def listing(spark, folder):
     k, i = F.col("doc_id") % 50, F.col("doc_id").cast("string")
     name = (
         F.when(k == 1, "Thumbs.db").when(k == 2, F.concat(F.lit("._"), i)).when(k == 3, F.concat(F.lit("."), i, F.lit(".ab_1.staging")))
-        .when(k == 4, ".DS_Store").otherwise(F.concat(i, F.lit(".txt")))
+        .when(k == 4, ".DS_Store").when(k == 5, ".localized").otherwise(F.concat(i, F.lit(".txt")))
     )
     return table(spark, folder, "documents").select("doc_id", F.col("n_chars").alias("length"), F.concat_ws("/", "source", "lang", name).alias("path"))
 
 
-@query("s10_source_files", f"WITH {LISTING} SELECT path, length FROM ls WHERE doc_id % 50 NOT IN (1, 2, 3, 4)")
+@query("s10_source_files", f"WITH {LISTING} SELECT path, length FROM ls WHERE doc_id % 50 NOT IN (1, 2, 3, 4, 5)")
 def s10_source_files(spark, folder):
     return files.source_files(listing(spark, folder), path="path").select("path", "length")
 

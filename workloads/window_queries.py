@@ -39,7 +39,7 @@ def raw_takes(spark, folder):
 )
 def flagship_usable_runs(spark, folder):
     usable = series(spark, folder).withColumn("ok", F.col("site") != "error")
-    best = runs.longest_span(usable, keys=["take"], frame="frame", solved=F.col("ok"))
+    best = runs.longest_span(usable, keys=["take"], frame="frame", solved=F.col("ok")).where("length > 0")
     inside = runs.within_spans(usable, best, keys=["take"], frame="frame")
     spread = exact_quantiles(inside, keys=["take"], value="x", probs={"median": 0.5, "p95": 0.95}, sized_by=raw_takes(spark, folder))
     return best.join(spread, "take").select(
@@ -80,9 +80,9 @@ def w2_gap_runs(spark, folder):
 @query(
     "w3_longest_span",
     f"""WITH {GAPPY_SQL}, {RUNS.format(flag='ok', src='g')},
-    b AS (SELECT *, row_number() OVER (PARTITION BY take ORDER BY length DESC, start) AS k,
-                 length / (SELECT count(*) FROM g WHERE g.take = r.take) AS share FROM r WHERE state)
-    SELECT take, start, stop, length, round(share, 6) + 0.0 AS coverage FROM b WHERE k = 1""",
+    b AS (SELECT *, row_number() OVER (PARTITION BY take ORDER BY length DESC, start) AS k FROM r WHERE state), n AS (SELECT take, count(*) AS n FROM g GROUP BY take)
+    SELECT n.take, coalesce(start, 0) AS start, coalesce(stop, 0) AS stop, coalesce(length, 0) AS length, round(coalesce(length, 0) / n, 6) + 0.0 AS coverage
+    FROM n LEFT JOIN b ON b.take = n.take AND b.k = 1""",
 )
 def w3_longest_span(spark, folder):
     out = runs.longest_span(gappy(spark, folder), keys=["take"], frame="frame", solved=F.col("ok"))
