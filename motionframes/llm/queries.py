@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from motionframes.llm import kdtree
+from motionframes.llm import kdtree, mixing, sharding, warc
 
 QUERIES = {
     "op2_exact_top_k": kdtree.op2_exact_top_k,
+    "op3_warc_index": warc.op3_warc_index,
+    "op4_mix_sources": mixing.op4_mix_sources,
+    "op9_prefix_sum_shards": sharding.op9_prefix_sum_shards,
 }
 ORACLES = {
     "op2_exact_top_k": kdtree.OP2_SQL,
+    "op3_warc_index": warc.OP3_SQL,
+    "op4_mix_sources": mixing.OP4_SQL,
+    "op9_prefix_sum_shards": sharding.OP9_SQL,
 }
