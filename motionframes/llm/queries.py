@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from motionframes.llm import kdtree, mixing, sharding, warc
+from motionframes.llm import kdtree, minhash, mixing, sharding, warc
 
 QUERIES = {
     "op2_exact_top_k": kdtree.op2_exact_top_k,
     "op3_warc_index": warc.op3_warc_index,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op8_near_duplicates": minhash.op8_near_duplicates,
     "op9_prefix_sum_shards": sharding.op9_prefix_sum_shards,
 }
 ORACLES = {
