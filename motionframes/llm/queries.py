@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from motionframes.llm import kdtree, minhash, mixing, sharding, warc
+from motionframes.llm import hnsw, kdtree, minhash, mixing, sharding, warc
 
 QUERIES = {
     "op2_exact_top_k": kdtree.op2_exact_top_k,
     "op3_warc_index": warc.op3_warc_index,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op7_near_vectors": hnsw.op7_near_vectors,
     "op8_near_duplicates": minhash.op8_near_duplicates,
     "op9_prefix_sum_shards": sharding.op9_prefix_sum_shards,
 }
@@ -15,5 +16,6 @@ ORACLES = {
     "op2_exact_top_k": kdtree.OP2_SQL,
     "op3_warc_index": warc.OP3_SQL,
     "op4_mix_sources": mixing.OP4_SQL,
+    "op7_near_vectors": hnsw.OP7_SQL,
     "op9_prefix_sum_shards": sharding.OP9_SQL,
 }
