@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 #: Encoded words that a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 
 class Vocabulary:
@@ -44,7 +45,13 @@ class Vocabulary:
                 del self.id[self.text[i]]
             else:
                 self.left[i], self.right[i] = parts
-        self.longest = max(map(len, self.id))
+        # Pieces from their last character backwards; under 0 the piece that begins there.
+        self.ends: dict = {}
+        for text, i in self.id.items():
+            node = self.ends
+            for letter in reversed(text):
+                node = node.setdefault(letter, {})
+            node[0] = i
 
     def _merged(self, text: str) -> tuple[int, int] | None:
         """The parts of the last merge that makes this piece, None if merging never makes it."""
@@ -92,7 +99,7 @@ class Encoder:
         """Remembers the encodings (32-bit ids as bytes) of unmarked words, in one walk."""
         if len(self.held) + len(words) > REMEMBERED:
             self.held = {}
-        find, longest, allowed, fits, n = self.v.id.get, self.v.longest, self.allowed, self.v.fits, len(self.v.text)
+        ends, allowed, fits, n = self.v.ends, self.allowed, self.v.fits, len(self.v.text)
         before, last, back = "", [-1], [0]
         for word in sorted(words):
             marked = word if word[:1] == MARK else MARK + word
@@ -104,8 +111,13 @@ class Encoder:
             del last[at + 1 :], back[at + 1 :]
             for end in range(at + 1, len(marked) + 1):
                 piece, start = -1, end - 1
-                for begin in range(max(0, end - longest), end):
-                    found = find(marked[begin:end])
+                node, begin = ends, end
+                while begin:
+                    begin -= 1
+                    node = node.get(marked[begin])
+                    if node is None:
+                        break
+                    found = node.get(0)
                     if found is None:
                         continue
                     earlier = last[begin]
@@ -127,7 +139,7 @@ class Encoder:
                 else:
                     ids.append(last[end])
                 end = back[end]
-            self.held[word] = np.array(ids[::-1], np.int32).tobytes()
+            self.held[word] = array("i", ids[::-1]).tobytes()
         if len(allowed) > 2_000_000:
             allowed.clear()
 
