@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from motionframes.llm import hnsw, kdtree, minhash, mixing, sharding, warc
+from motionframes.llm import hnsw, kdtree, langid, minhash, mixing, pieces, sharding, warc
 
 QUERIES = {
     "op2_exact_top_k": kdtree.op2_exact_top_k,
     "op3_warc_index": warc.op3_warc_index,
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op5_language": langid.op5_language,
+    "op6_pieces": pieces.op6_pieces,
     "op7_near_vectors": hnsw.op7_near_vectors,
     "op8_near_duplicates": minhash.op8_near_duplicates,
     "op9_prefix_sum_shards": sharding.op9_prefix_sum_shards,
