@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionframes.llm import hnsw, kdtree, langid, minhash, mixing, pieces, sharding, warc
+from motionframes.llm import ctw, hnsw, kdtree, langid, minhash, mixing, pieces, sharding, warc
 
 QUERIES = {
     "op2_exact_top_k": kdtree.op2_exact_top_k,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_near_vectors": hnsw.op7_near_vectors,
     "op8_near_duplicates": minhash.op8_near_duplicates,
     "op9_prefix_sum_shards": sharding.op9_prefix_sum_shards,
+    "op10_context_tree": ctw.op10_context_tree,
 }
 ORACLES = {
     "op2_exact_top_k": kdtree.OP2_SQL,
