@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from motionframes.llm import ctw, hnsw, kdtree, langid, minhash, mixing, pieces, sharding, warc
+from motionframes.llm import ctw, hnsw, kdtree, langid, minhash, mixing, pieces, sharding, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_exact_top_k": kdtree.op2_exact_top_k,
     "op3_warc_index": warc.op3_warc_index,
     "op4_mix_sources": mixing.op4_mix_sources,
