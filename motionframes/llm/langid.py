@@ -20,7 +20,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: Letters of a word that are segmented together; a longer word is several (none is dropped).
 SPAN = 32
 #: Training documents a language at most, and bytes of a training text at most (the bound of the sample).
-PER_LANGUAGE, LONGEST = 600, 100_000
+PER_LANGUAGE, LONGEST = 300, 50_000
 ROUNDS, SMOOTHING, UNKNOWN = 3, 0.05, 1e-7
 #: Makes probabilities of long words stay within double precision: every letter counts this factor.
 SCALE = 64.0
@@ -149,11 +149,12 @@ def fit(texts: list[tuple[str, str]], prior: dict[str, int], pieces: list[str])
     lattice = Lattice(pieces)
     lengths = np.array([len(p) for p in pieces], float)
     p = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
-    arcs = [lattice.arcs(words[at : at + 20_000]) for at in range(0, len(words), 20_000)]
     for _ in range(ROUNDS):
         used = np.full(p.shape, SMOOTHING)
-        for n, (sizes, ends) in enumerate(arcs):
-            used += expected(sizes, ends, p * SCALE ** lengths[:, None], weight[n * 20_000 : n * 20_000 + len(sizes)])
+        # In blocks, whose arcs are found anew in each round: the driver holds one block's.
+        for at in range(0, len(words), 4_000):
+            sizes, ends = lattice.arcs(words[at : at + 4_000])
+            used += expected(sizes, ends, p * SCALE ** lengths[:, None], weight[at : at + len(sizes)])
         p = used / used.sum(0)
     total = np.array([prior[x] for x in languages], float)
     return Model(languages, lattice, p * SCALE ** lengths[:, None], np.log(total / total.sum()) if len(languages) else total)

@@ -197,8 +197,8 @@ class Reader:
             self.rows = np.concatenate([self.rows, np.zeros((max(need, len(self.rows)), self.rows.shape[1]), np.float32)])
         new.sort(key=len)
         p, first = self.net.p, len(self.known)
-        for at in range(0, len(new), 8192):
-            x, _ = self.net.word_inputs(new[at : at + 8192])
+        for at in range(0, len(new), 4096):
+            x, _ = self.net.word_inputs(new[at : at + 4096])
             self.rows[first + at : first + at + len(x)] = np.concatenate([x @ p["wxf"] + p["wbf"], x @ p["wxb"] + p["wbb"]], 1)
         self.known.update(zip(new, range(first, first + len(new))))
         return np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
@@ -208,13 +208,13 @@ class Reader:
         flat, p = self.numbers(split), self.net.p
         windows, owner = windows_of(np.array([len(w) for w in split], np.int64))
         out = np.zeros(len(windows), np.float32)
-        for at in range(0, len(windows), 4096):
-            part = windows[at : at + 4096].T
+        for at in range(0, len(windows), 2048):
+            part = windows[at : at + 2048].T
             mask = part >= 0
             xp = self.rows[flat[np.maximum(part, 0)]]
             f, _ = gru(xp[:, :, : 3 * STATE], p["whf"], mask)
             b, _ = gru(xp[::-1, :, 3 * STATE :], p["whb"], mask[::-1])
-            out[at : at + 4096] = self.net.attend(np.concatenate([f, b[::-1]], 2), mask)[0]
+            out[at : at + 2048] = self.net.attend(np.concatenate([f, b[::-1]], 2), mask)[0]
         return out, owner
 
 
@@ -316,7 +316,7 @@ def _calibrated(network: Network, texts: list[str], y: np.ndarray, prior: float)
 def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     """Fits on usable rows of docs (doc_id, text) by labels (doc_id, toxic): at most PER_LABEL documents of each label, of at most LONGEST
     bytes, in the order of a hash of their id. A document with both labels counts as toxic; rows without a label aren't used."""
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y")).where(usable)
+    known = labels.where("doc_id is not null and toxic is not null").where(usable).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     known = known.join(docs.where(F.octet_length("text") <= LONGEST).select("doc_id").distinct(), "doc_id", "left_semi")
     known = saved(known.select("doc_id", "y", F.xxhash64("doc_id", F.lit(5)).alias("order")), "toxic-labels")
     n = {r["y"]: r["n"] for r in known.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}

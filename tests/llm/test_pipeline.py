@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from motionframes.llm import langid, mixing, toxicity
@@ -27,7 +28,7 @@ def test_toxicity(spark, docs):
     kept = corpus_pipeline.drop_toxic(spark, docs, FOLDER)
     assert kept.columns == docs.columns
     given = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    model = toxicity.train(given, spark.read.parquet(f"{FOLDER}/labels.parquet"), remainder(given.doc_id, 3) != 1)
+    model = toxicity.train(given, spark.read.parquet(f"{FOLDER}/labels.parquet"), remainder(F.col("doc_id"), 3) != 1)
     reader = toxicity.Reader(model.network) if model.network else None
     all_ = docs.collect()
     score = model.scores(reader, [r.text for r in all_])
