@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionframes.llm.common import Lookup, checkpointed, remainder, saved, slices, table
+from motionframes.llm.common import Lookup, remainder, saved, slices, table
 
 #: Bytes of context; a text begins after zero bytes.
 DEPTH = 5
@@ -104,7 +104,7 @@ def tree(counts: DataFrame) -> DataFrame:
         # log((e^kt + e^below) / 2), and the share of e^kt in the sum.
         both = F.greatest("kt", "below") + F.log1p(F.exp(-F.abs(gap))) - 0.6931471805599453
         level = level.withColumn("weighted", F.when(F.col("below").isNull(), F.col("kt")).otherwise(both))
-        level = checkpointed(level.withColumn("stop", F.when(F.col("below").isNull(), F.lit(1.0)).otherwise(1 / (1 + F.exp(F.least(-gap, F.lit(700.0)))))))
+        level = saved(level.withColumn("stop", F.when(F.col("below").isNull(), F.lit(1.0)).otherwise(1 / (1 + F.exp(F.least(-gap, F.lit(700.0)))))), "ctw-level")
         part = level.select(F.lit(depth).alias("depth"), "context", "node", "zeros", "ones", "stop")
         out = part if out is None else out.unionByName(part)
         if depth:
