@@ -142,24 +142,30 @@ def small(df: DataFrame, *, limit: int = 100_000) -> DataFrame:
 def _split_hot_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
     """Cut buckets with more than ``hot_rows`` rows at sketched quantiles of the order columns.
 
-    The order columns are tried in turn, so rows with one time are cut by their id. Only the hot
-    buckets' cut points - at most ``rows / hot_rows`` lists - are broadcast.
+    A cut puts the rows that equal a cut point into a piece of their own, after those below it. The next
+    order column cuts only pieces that hold one value of the columns before; a mixed piece that is
+    still too large is cut by the same column again, so the pieces always follow the whole order.
     """
     for column in order:
-        groups = [*keys, "_bkt"]
-        counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-        if counts.isEmpty():
-            break
-        hot = F.broadcast(counts.drop("_n"))
-        steps = [i / 256 for i in range(1, 256)]
-        cuts = df.join(hot, groups).groupBy(*groups).agg(F.percentile_approx(column, steps, 4096).alias("_cuts"))
-        piece = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c < F.col(column)))
-        df = (
-            df.join(F.broadcast(cuts), groups, "left")
-            .withColumn("_bkt", F.struct(F.col("_bkt").alias("b"), piece.alias("p")))
-            .drop("_cuts")
-        )
-    return df
+        df = df.withColumn("_one", F.lit(False))
+        while True:
+            groups = [*keys, "_bkt"]
+            counts = df.where("not _one").groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+            if counts.isEmpty():
+                break
+            steps = [i / 256 for i in range(1, 256)]
+            cuts = df.join(counts.drop("_n"), groups).groupBy(*groups).agg(F.percentile_approx(column, steps, 4096).alias("_cuts"))
+            below = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(column)))
+            tied = F.array_contains("_cuts", F.col(column)).cast("int")
+            piece = F.when(F.col("_cuts").isNull(), 0).otherwise(2 * below + tied)
+            df = (
+                df.join(cuts, groups, "left")
+                .withColumn("_p", piece)
+                .withColumn("_one", F.col("_one") | (F.col("_p") % 2 == 1))
+                .withColumn("_bkt", F.struct(F.col("_bkt").alias("b"), F.col("_p").alias("p")))
+                .drop("_cuts", "_p")
+            )
+    return df.drop("_one")
 
 
 def dense_frames(

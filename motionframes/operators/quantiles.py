@@ -42,7 +42,7 @@ def exact_quantiles(
     hot = _groups_above(df, keys, hot_rows)
     if hot.isEmpty():
         return _small_groups(prepared, keys, probs, aggs)
-    hot = F.broadcast(hot.select(*keys))
+    hot = hot.select(*keys)
     usual = _small_groups(prepared.join(hot, keys, "left_anti"), keys, probs, aggs)
     return usual.unionByName(_large_groups(prepared.join(hot, keys), keys, probs, aggs))
 
@@ -88,8 +88,7 @@ def _large_groups(
         for i, (n, p) in enumerate(probs.items())
     ]
     brackets = sketched.select(*keys, F.array(*rank).alias("_b"))
-    # One row per hot key: no larger than the list of hot keys itself.
-    placed = mine.select(*keys, "_q").join(F.broadcast(brackets), keys)
+    placed = mine.select(*keys, "_q").join(brackets, keys)
     placed = placed.where("_q is not null").select(*keys, "_q", F.explode("_b").alias("b"))
     below = placed.where(F.col("_q") < F.col("b.low")).groupBy(*keys, F.col("b.name").alias("name"))
     below = below.agg(F.count(F.lit(1)).alias("below"))
@@ -115,4 +114,5 @@ def _large_groups(
     wide = result.groupBy(*keys).agg(
         *[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in probs]
     )
-    return wide.join(sketched.select(*keys, *extra), keys).select(*keys, *probs, *extra)
+    # A group whose values are all NULL has no picked values, but is a row all the same.
+    return sketched.select(*keys, *extra).join(wide, keys, "left").select(*keys, *probs, *extra)

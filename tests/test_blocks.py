@@ -142,3 +142,27 @@ def test_hot_buckets_are_cut_and_still_numbered_exactly(spark):
         found.sort()
         assert [f for f, _, _ in found] == list(range(len(found)))
         assert [(t, i) for _, t, i in found] == sorted((t, i) for _, t, i in found)
+
+
+def test_numbering_with_one_heavy_time(spark):
+    """A heavy value between others, in both order columns: the frames of the single window, whatever the limit."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from motionframes.operators.blocks import dense_frames
+
+    rows = [(1, t % 101, i) for i, t in enumerate(range(100))] + [(1, 50, 1000 + i) for i in range(4000)] + [(2, 7, i) for i in range(30)]
+    frame = spark.createDataFrame(rows, "take int, t int, i int")
+    want = frame.withColumn("frame", F.row_number().over(Window.partitionBy("take").orderBy("t", "i")).cast("bigint") - 1)
+    for hot in (40, 1000):
+        found = dense_frames(frame, keys=["take"], order=["t", "i"], bucket=F.lit(0), hot_rows=hot)
+        assert sorted(map(tuple, found.select("take", "t", "i", "frame").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_large_group_without_values(spark):
+    from motionframes.operators.quantiles import exact_quantiles
+
+    frame = spark.createDataFrame([("a", None)] * 50 + [("b", float(i)) for i in range(50)], "k string, x double")
+    for hot in (10, 1000):
+        found = exact_quantiles(frame, keys=["k"], value="x", probs={"m": 0.5}, hot_rows=hot).collect()
+        assert sorted(map(tuple, found)) == [("a", None), ("b", 24.5)]

@@ -400,10 +400,10 @@ def o4_all_findings(spark, folder):
 @query(
     "o3_ordered_union",
     """SELECT word AS name, list AS list, pos AS position FROM (SELECT word, list, pos, row_number() OVER (PARTITION BY word ORDER BY list, pos) AS k FROM (
-      SELECT p_partkey AS list, 1::BIGINT AS pos, split_part(p_name, ' ', 1) AS word FROM part UNION ALL SELECT p_partkey, 2, split_part(p_name, ' ', 2) FROM part)) WHERE k = 1""",
+      SELECT p_partkey AS list, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS pos, unnest(string_split(p_name, ' ')) AS word FROM part)) WHERE k = 1""",
 )
 def o3_ordered_union(spark, folder):
-    words = table(spark, folder, "part").select(F.col("p_partkey").alias("list"), F.posexplode(F.slice(F.split("p_name", " "), 1, 2)).alias("i", "name"))
+    words = table(spark, folder, "part").select(F.col("p_partkey").alias("list"), F.posexplode(F.split("p_name", " ")).alias("i", "name"))
     words = words.select("list", (F.col("i") + 1).cast("bigint").alias("position"), "name")
     return sets.ordered_union(words, name="name", position=["list", "position"])
 
