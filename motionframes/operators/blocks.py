@@ -3,8 +3,12 @@
 A recording is ``keys`` plus an integer ``frame``. Every ordered operator works on blocks of
 ``rows`` consecutive frame numbers, so a key that holds a third of all rows is spread over many
 tasks. Bounded look-around copies only the rows next to a block edge (``over_neighbours``).
-Unbounded look-back is a two-level scan (``running``): inside each block, then over one summary
-row per block, joined back on the block.
+Unbounded look-back is a two-level scan (``running``, ``running_steps``): inside each block, then
+over one summary row per block, joined back on the block.
+
+Frames may be absent. Rates, steps and fits see an absent frame as an end: a neighbour is a frame
+number next to one's own. What adds up along a recording (turns, flips, edges) goes from each row
+to the next one there is. Neither depends on where a block ends.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 65_536
 
-Stage = Callable[[WindowSpec], Mapping[str, Column]]
+Stage = Callable[[WindowSpec, WindowSpec], Mapping[str, Column]]
 
 
 def block_of(frame: str, rows: int = BLOCK_ROWS) -> Column:
@@ -35,8 +39,9 @@ def over_neighbours(
 ) -> DataFrame:
     """Add window columns that look at most ``before`` / ``after`` frame numbers away.
 
-    Each stage maps the block window to new columns and may use columns of earlier stages;
-    ``before`` and ``after`` must cover all stages together.
+    Each stage maps two windows to new columns and may use columns of earlier stages: the block's,
+    for ranges of frame numbers, and the one over consecutive frames, for ``lag`` and ``lead``, which
+    an absent frame ends. ``before`` and ``after`` must cover all stages together.
     """
     f = F.col(frame).cast("bigint")
     first = F.expr(f"greatest(cast(`{frame}` as bigint) - {int(after)}L, 0L) div {int(rows)}L")
@@ -45,9 +50,11 @@ def over_neighbours(
         "_blk", F.explode(F.sequence(first, last))
     )
     window = Window.partitionBy(*keys, "_blk").orderBy(f)
+    out = out.withColumn("_stretch", f - F.row_number().over(window))
+    consecutive = Window.partitionBy(*keys, "_blk", "_stretch").orderBy(f)
     for stage in stages:
-        out = out.withColumns(dict(stage(window)))
-    return out.where(F.col("_blk") == F.col("_own")).drop("_blk", "_own")
+        out = out.withColumns(dict(stage(window, consecutive)))
+    return out.where(F.col("_blk") == F.col("_own")).drop("_blk", "_own", "_stretch")
 
 
 _TOTALS: dict[str, Callable[[Column, Column], Column]] = {
@@ -131,6 +138,39 @@ def running(
     return joined.withColumns(final).drop(*spent)
 
 
+def running_steps(
+    df: DataFrame,
+    *,
+    keys: Sequence[str],
+    frame: str,
+    value: Column,
+    step: Callable[[Column, Column], Column],
+    out: str,
+    total: str,
+    rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Add ``step(value of the previous row, value)`` as ``out`` and its running sum as ``total``.
+
+    The previous row counts, however far away its frame number is. The step is null at a key's first
+    row; null steps add nothing. Only a block's first and last value and its sum leave the block.
+    """
+    block = Window.partitionBy(*keys, "_blk").orderBy(frame)
+    inside = df.withColumn("_blk", block_of(frame, rows)).withColumn("_v", value)
+    inside = inside.withColumns({"_s": step(F.lag("_v").over(block), F.col("_v")), "_first": F.lag(F.lit(1)).over(block).isNull()})
+    summary = inside.groupBy(*keys, "_blk").agg(
+        F.min_by("_v", frame).alias("_a"), F.max_by("_v", frame).alias("_z"), F.sum("_s").alias("_t")
+    )
+    blocks = Window.partitionBy(*keys).orderBy("_blk")
+    upto, earlier = (blocks.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    none = F.lit(0)
+    edges = summary.withColumn("_e", step(F.lag("_z").over(blocks), F.col("_a")))
+    carry = F.coalesce(F.sum("_t").over(earlier), none) + F.coalesce(F.sum("_e").over(upto), none)
+    mine = F.coalesce(F.sum("_s").over(block.rowsBetween(Window.unboundedPreceding, 0)), none)
+    joined = inside.withColumn("_u", mine).join(edges.select(*keys, "_blk", "_e", carry.alias("_c")), [*keys, "_blk"])
+    found = {out: F.when(F.col("_first"), F.col("_e")).otherwise(F.col("_s")), total: F.col("_u") + F.col("_c")}
+    return joined.withColumns(found).drop("_blk", "_v", "_s", "_first", "_u", "_e", "_c")
+
+
 def small(df: DataFrame, *, limit: int = 100_000) -> DataFrame:
     """A configuration table for the broadcast side of a join, once its size has been checked.
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .blocks import running, small
 from .quantiles import exact_quantiles
-from .stats import bounded_list
 
 
 def nearest_in_time(
@@ -166,24 +165,23 @@ def source_references(leaves: DataFrame, *, take: str) -> DataFrame:
 def files_by_stage(files: DataFrame, selection: DataFrame, *, owner: Column) -> DataFrame:
     """J17. The stages that read each file: those that selected its owner, and all for a file without one.
 
-    The stage list is configuration; each file keeps one row.
+    Each file keeps one row. The stages of all owners are the row that files without an owner meet.
     """
-    chosen = selection.select(F.col("owner").alias("_owner"), "stage").distinct()
-    per_owner = chosen.groupBy("_owner").agg(F.array_join(F.sort_array(F.collect_list("stage")), ",").alias("stages"))
-    everyone = F.lit(",".join(bounded_list(selection, "stage", limit=1000)))
-    owned = files.withColumn("_owner", owner).join(small(per_owner), "_owner", "left")
-    stages = F.when(F.col("_owner").isNull(), everyone).otherwise(F.col("stages"))
-    return owned.withColumn("stages", stages).where(F.col("stages").isNotNull()).drop("_owner")
+    named = F.array_join(F.sort_array(F.collect_set("stage")), ",").alias("stages")
+    per_owner = selection.where("owner is not null").groupBy("owner").agg(named)
+    everyone = selection.agg(named).select(F.lit(None).cast("string").alias("owner"), "stages")
+    stages = small(per_owner.unionByName(everyone).withColumnRenamed("owner", "_of"))
+    owned = files.withColumn("_owner", owner)
+    return owned.join(stages, F.col("_owner").eqNullSafe(F.col("_of"))).drop("_owner", "_of")
 
 
-def correspondence(declared: DataFrame, targets: DataFrame, *, skeleton: str) -> DataFrame:
+def correspondence(declared: DataFrame, targets: Sequence[tuple[str, str, str]], *, skeleton: str) -> DataFrame:
     """J20. For every skeleton and target joint: measured when its own joint is declared, derived when
     its fallback is, else absent.
 
-    ``targets`` (target, joint, fallback) is a fixed list; each skeleton appears once per target.
+    ``targets`` (target, joint, fallback) is a declaration of the caller; each skeleton appears once per target.
     """
-    fixed = targets.select(F.struct("target", "joint", "fallback").alias("t"))
-    cells = [F.struct(*[F.lit(t[n]).alias(n) for n in ("target", "joint", "fallback")]) for t in bounded_list(fixed, "t", limit=1000)]
+    cells = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("target", "joint", "fallback"), t)]) for t in targets]
     wanted = declared.select(skeleton).distinct().select(skeleton, F.inline(F.array(*cells)))
     own = declared.select(skeleton, F.col("joint"), F.lit(True).alias("_own")).distinct()
     fall = declared.select(skeleton, F.col("joint").alias("fallback"), F.lit(True).alias("_fall")).distinct()

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_ROWS, attach, block_of, over_neighbours, running
+from .blocks import BLOCK_ROWS, attach, block_of, over_neighbours, running, running_steps
 
 
 def runs(
@@ -90,17 +90,9 @@ def longest_span(df: DataFrame, *, keys: Sequence[str], frame: str, solved: Colu
 
 
 def edge_segments(df: DataFrame, *, keys: Sequence[str], frame: str, contact: Column, rows: int = BLOCK_ROWS) -> DataFrame:
-    """W4. Number each frame by the rising edges of ``contact`` up to it; partial ends count too."""
-    marked = over_neighbours(
-        df,
-        keys=keys,
-        frame=frame,
-        before=1,
-        after=0,
-        rows=rows,
-        stages=[lambda w: {"_rise": (contact & ~F.lag(contact).over(w)).cast("bigint")}],
-    )
-    return running(marked, keys=keys, frame=frame, scans={"segment": ("sum", F.col("_rise"))}, rows=rows).drop("_rise")
+    """W4. Number each frame by the rising edges of ``contact`` up to it, from row to row; partial ends count too."""
+    rise = lambda before, here: (here & ~before).cast("bigint")
+    return running_steps(df, keys=keys, frame=frame, value=contact, step=rise, out="_rise", total="segment", rows=rows).drop("_rise")
 
 
 def edge_status(
@@ -116,7 +108,7 @@ def edge_status(
 
     Equal to dropping ``trim`` frames at both ends of every solved run.
     """
-    def stage(w):
+    def stage(w, _):
         around = w.rangeBetween(-trim, trim)
         return {"inside": solved & (F.count_if(solved).over(around) == 2 * trim + 1)}
 
@@ -155,7 +147,7 @@ def accept_windows(
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """W15. Sliding windows: refused with any UNAVAILABLE frame or too large an INTERPOLATED share."""
-    def stage(w):
+    def stage(w, _):
         ahead = w.rangeBetween(0, window - 1)
         return {
             "_n": F.count(F.lit(1)).over(ahead),
@@ -182,7 +174,7 @@ def with_run_bounds(
     """Add ``run_start`` and ``run_stop`` of the run of equal ``state`` each frame lies in."""
     f = F.col(frame).cast("bigint")
 
-    def edges(w):
+    def edges(w, _):
         same = lambda step, gap: (step(f).over(w) == f + gap) & step(state).over(w).eqNullSafe(state)
         return {
             "_s": F.when(~F.coalesce(same(F.lag, -1), F.lit(False)), f),

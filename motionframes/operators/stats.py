@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import quat as Q
-from .blocks import BLOCK_ROWS, over_neighbours, small
+from .blocks import BLOCK_ROWS, running_steps, small
 from .quantiles import exact_quantiles
 
 
@@ -65,11 +65,9 @@ def time_axis(
     tolerance_s: float,
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """A4. Strictly increasing times, and the median step against the nominal one."""
-    stepped = over_neighbours(
-        df, keys=keys, frame=frame, before=1, after=0, rows=rows,
-        stages=[lambda w: {"_d": F.col(time) - F.lag(time).over(w)}],
-    )
+    """A4. Strictly increasing times from row to row, and the median step against the nominal one."""
+    step = lambda before, here: here - before
+    stepped = running_steps(df, keys=keys, frame=frame, value=F.col(time), step=step, out="_d", total="_sum", rows=rows).drop("_sum")
     out = exact_quantiles(
         stepped, keys=keys, value="_d", probs={"median_step": 0.5},
         aggs=[F.coalesce(F.min(F.col("_d") > 0), F.lit(True)).alias("increasing")], sized_by=df,
@@ -384,13 +382,13 @@ def corpus_summary(takes: DataFrame, *, value: str, limit: float) -> DataFrame:
     return out.drop("_all")
 
 
-def witnessed_items(texts: DataFrame, items: DataFrame, *, bundle: str, text: str, token: str) -> DataFrame:
+def witnessed_items(texts: DataFrame, tokens: Sequence[str], *, bundle: str, text: str) -> DataFrame:
     """A35. Per bundle: how many required tokens some text of the bundle contains.
 
-    The token list is configuration of a checked size, folded into one expression per text, so
-    nothing is joined pairwise.
+    ``tokens`` is a declaration of the caller; it is folded into one expression per text, so nothing is
+    joined pairwise.
     """
-    tokens = bounded_list(items, token, limit=10_000)
+    tokens = sorted(set(tokens))
     found = F.filter(F.array(*[F.lit(t) for t in tokens]), lambda t: F.contains(F.col(text), t))
     seen = texts.select(bundle, F.explode_outer(found).alias("item")).distinct()
     return seen.groupBy(bundle).agg(F.count("item").alias("witnessed")).withColumn(
@@ -398,14 +396,6 @@ def witnessed_items(texts: DataFrame, items: DataFrame, *, bundle: str, text: st
     )
 
 
-def bounded_list(df: DataFrame, column: str, *, limit: int) -> list:
-    """The values of a configuration table on the driver; refused beyond ``limit`` rows."""
-    rows = df.select(column).distinct().orderBy(column).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column}: more than {limit} configuration values")
-    return [r[0] for r in rows]
-
-
 def largest_error(df: DataFrame, *, keys: Sequence[str], truth: str, found: str) -> DataFrame:
     """A36."""
     return df.groupBy(*keys).agg(F.max(F.abs(F.col(found) - F.col(truth))).alias("max_error"))

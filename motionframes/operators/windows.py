@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import quat as Q
-from .blocks import BLOCK_ROWS, attach, over_neighbours, running
+from .blocks import BLOCK_ROWS, attach, over_neighbours, running, running_steps
 from .quantiles import exact_quantiles
 from .runs import with_run_bounds
 
@@ -28,12 +28,12 @@ def flag_speed_outliers(
     out: str = "speed_outlier",
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """W1. Flag samples too fast against both neighbours, or against the only one they have."""
+    """W1. Flag samples too fast against both neighbouring frames, or against the only one they have."""
     there = F.lit(True)
     for c in position:
         there = there & F.col(c).isNotNull()
 
-    def neighbours(w):
+    def neighbours(_, w):
         def fast(step):
             square = None
             for c in position:
@@ -62,18 +62,10 @@ def sign_continuous(
 ) -> DataFrame:
     """W7. Flip quaternions so that neighbours lie in one hemisphere (prefix parity of the flips).
 
-    A dot product of exactly zero keeps the sign of the frame before.
+    A dot product of exactly zero keeps the sign of the row before, however far back that is.
     """
-    marked = over_neighbours(
-        df,
-        keys=keys,
-        frame=frame,
-        before=1,
-        after=0,
-        rows=rows,
-        stages=[lambda w: {"_flip": (Q.qdot(F.col(q), F.lag(q).over(w)) < 0).cast("bigint")}],
-    )
-    turned = running(marked, keys=keys, frame=frame, scans={"_n": ("sum", F.col("_flip"))}, rows=rows)
+    flip = lambda before, here: (Q.qdot(here, before) < 0).cast("bigint")
+    turned = running_steps(df, keys=keys, frame=frame, value=F.col(q), step=flip, out="_flip", total="_n", rows=rows)
     sign = F.when(F.col("_n") % 2 == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
     return turned.withColumn(q, Q.scale_quat(F.col(q), sign)).drop("_flip", "_n")
 
@@ -94,17 +86,12 @@ def unwrap(
     out: str = "unwrapped",
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """W8. Continuous angle and the wrap counter: ``angle = unwrapped + 2 pi * counter``."""
-    stepped = over_neighbours(
-        df,
-        keys=keys,
-        frame=frame,
-        before=1,
-        after=0,
-        rows=rows,
-        stages=[lambda w: {"_turn": _turns(F.col(angle) - F.lag(angle).over(w))}],
-    )
-    summed = running(stepped, keys=keys, frame=frame, scans={"_k": ("sum", F.col("_turn"))}, rows=rows)
+    """W8. Continuous angle and the wrap counter: ``angle = unwrapped + 2 pi * counter``.
+
+    A step goes from one row to the next, also over absent frames.
+    """
+    turn = lambda before, here: _turns(here - before)
+    summed = running_steps(df, keys=keys, frame=frame, value=F.col(angle), step=turn, out="_turn", total="_k", rows=rows)
     return (
         summed.withColumn(out, F.col(angle) + F.col("_k") * TWO_PI)
         .withColumn("wrap_counter", -F.col("_k"))
@@ -116,7 +103,7 @@ def unwrap(
 def differences(
     df: DataFrame, *, keys: Sequence[str], frame: str, value: str, dt_s: float, rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """W9. Centred difference (one-sided at the ends), backward difference, and the repeated gradient."""
+    """W9. Centred difference (one-sided at the ends and beside absent frames), backward difference, and the repeated gradient."""
     x = F.col(value)
 
     def gradient(c):
@@ -130,8 +117,8 @@ def differences(
         return build
 
     stages = [
-        lambda w: {"centred": gradient(x)(w), "backward": (x - F.lag(x).over(w)) / dt_s},
-        lambda w: {"second": gradient(F.col("centred"))(w)},
+        lambda _, w: {"centred": gradient(x)(w), "backward": (x - F.lag(x).over(w)) / dt_s},
+        lambda _, w: {"second": gradient(F.col("centred"))(w)},
     ]
     return over_neighbours(df, keys=keys, frame=frame, before=2, after=2, stages=stages, rows=rows)
 
@@ -147,9 +134,9 @@ def angular_rate(
     out: str = "rate",
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """W10. Body rate by the log map over two frames; the ends are null or one-sided."""
+    """W10. Body rate by the log map over two frames; the ends, also beside absent frames, are null or one-sided."""
 
-    def neighbours(w):
+    def neighbours(_, w):
         return {"_qb": F.lag(q).over(w), "_qa": F.lead(q).over(w)}
 
     back, ahead, here = F.col("_qb"), F.col("_qa"), F.col(q)
@@ -181,10 +168,10 @@ def step_angle(
     pad: int,
     rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """W11. Angle to the frame before (0 for the first), and whether a step above the limit is near."""
+    """W11. Angle to the frame before (0 where there is none), and whether a step above the limit is near."""
     stages = [
-        lambda w: {"step_deg": F.coalesce(Q.angle_deg(F.lag(q).over(w), F.col(q)), F.lit(0.0))},
-        lambda w: {"glitch": F.max(F.col("step_deg") > limit_deg).over(w.rangeBetween(-pad, pad))},
+        lambda _, w: {"step_deg": F.coalesce(Q.angle_deg(F.lag(q).over(w), F.col(q)), F.lit(0.0))},
+        lambda w, _: {"glitch": F.max(F.col("step_deg") > limit_deg).over(w.rangeBetween(-pad, pad))},
     ]
     return over_neighbours(
         df, keys=keys, frame=frame, before=pad + 1, after=pad, stages=stages, rows=rows
@@ -232,7 +219,7 @@ def polynomial_smooth(
     first = F.greatest(F.col("run_start"), F.least(F.col(frame) - half, F.col("run_stop") - window))
     bounded = bounded.withColumn("_p", (F.col(frame) - first).cast("int"))
 
-    def fitted(w):
+    def fitted(_, w):
         around = {k: (F.lag if k < 0 else F.lead)(value, abs(k)).over(w) for k in range(-span, span + 1) if k}
         around[0] = F.col(value)
         result = None
@@ -272,13 +259,14 @@ def resample(
     """W20. Uniform target grid: linear for numbers, spherical for rotations.
 
     Each source frame and its successor emit the target rows that fall between them, so the whole
-    step is one windowed pass without a join; equal rates return the input.
+    step is one windowed pass without a join; equal rates return the input. Nothing is made up between a
+    frame and an absent one.
     """
     names = [*vectors, *rotations]
     if float(src_hz) == float(dst_hz):
         return df.select(*keys, frame, *names)
 
-    def pair(w):
+    def pair(_, w):
         return {f"_n_{c}": F.lead(c).over(w) for c in names} | {"_ends": F.lead(frame).over(w).isNull()}
 
     paired = over_neighbours(

@@ -105,22 +105,11 @@ def missing_fields(present: DataFrame, takes: DataFrame, fields: Sequence[str],
 def declared_keys(takes: DataFrame, spec: DataFrame, *, take: str) -> DataFrame:
     """Every key the declaration names for a take's artifacts, with ``allowed`` by its capabilities.
 
-    The declaration is configuration of a checked size and becomes part of the expression, so the
-    takes are only expanded, not joined.
+    Takes meet the declaration folded to one row per artifact.
     """
-    names = ("artifact", "key", "dtype", "axes", "capability")
-    rows = stats.bounded_list(spec.select(F.struct(*names).alias("s")), "s", limit=10_000)
-    cells = [
-        F.struct(
-            F.lit(r["artifact"]).alias("_artifact"),
-            F.lit(r["key"]).alias("key"),
-            F.lit(r["dtype"]).alias("_dtype"),
-            F.array(*[F.lit(a) for a in r["axes"]]).alias("axes"),
-            F.lit(r["capability"]).cast("string").alias("_cap"),
-        )
-        for r in rows
-    ]
-    expanded = takes.select(take, "artifact", "capabilities", F.inline(F.array(*cells))).where("artifact = _artifact")
+    cell = F.struct("key", F.col("dtype").alias("_dtype"), "axes", F.col("capability").alias("_cap"))
+    cells = small(spec.groupBy("artifact").agg(F.collect_set(cell).alias("_cells")))
+    expanded = takes.select(take, "artifact", "capabilities").join(cells, "artifact").select(take, "artifact", "capabilities", F.inline("_cells"))
     allowed = F.col("_cap").isNull() | F.array_contains("capabilities", F.col("_cap"))
     return expanded.select(take, "artifact", "key", "_dtype", "axes", allowed.alias("_allowed"))
 

@@ -77,10 +77,31 @@ def test_block_size_does_not_matter(frames, name):
         assert table(OPERATORS[name](frames, rows)) == whole
 
 
-def rotation_frames(spark):
+@pytest.mark.parametrize("name", sorted(set(OPERATORS) - {"lowpass"}))
+def test_absent_frames_do_not_depend_on_blocks(frames, name):
+    sparse = frames.where("frame % 4 <> 1 and frame % 23 not in (8, 9, 10, 11, 12, 13, 14, 15, 16)").cache()
+    whole = table(OPERATORS[name](sparse, 100_000))
+    for rows in (4,):
+        assert table(OPERATORS[name](sparse, rows)) == whole
+
+
+def test_neighbours_over_absent_frames(spark):
+    """Frames 0, 1, 4, 5: turns and edges go from row to row, rates only between consecutive frames."""
+    df = spark.createDataFrame([(0, f, x, ok) for f, x, ok in ((0, 3.0, True), (1, 3.1, False), (4, -3.0, True), (5, -2.9, True))], "take int, frame long, x double, ok boolean")
+    for rows in (1, 2, 3, 100):
+        by = lambda out: [r[0] for r in out.orderBy("frame").select(out.columns[-1]).collect()]
+        turned = windows.unwrap(df, **KEYS, angle="x", rows=rows)
+        assert by(turned.select("frame", "wrap_counter")) == [0, 0, -1, -1]
+        assert by(turned.select("frame", "transition")) == [False, False, True, False]
+        assert by(runs.edge_segments(df, **KEYS, contact=F.col("ok"), rows=rows).select("frame", "segment")) == [0, 0, 1, 1]
+        slope = by(windows.differences(df, **KEYS, value="x", dt_s=0.1, rows=rows).select("frame", "backward"))
+        assert slope[0] is None and slope[2] is None and slope[1] == pytest.approx(1.0) and slope[3] == pytest.approx(1.0)
+
+
+def rotation_frames(spark, absent=()):
     rows = []
     for take in range(2):
-        for f in range(50):
+        for f in (f for f in range(50) if f % 10 not in absent):
             a = 0.09 * f + 0.002 * f * f
             hidden = f % 11 in (4, 5, 6)
             rows.append((take, f, *(None if hidden else v for v in (math.cos(a / 2), 0.0, 0.0, math.sin(a / 2)))))
@@ -88,8 +109,9 @@ def rotation_frames(spark):
     return df.select("take", "frame", F.when(F.col("w").isNotNull(), Q.quat(*[F.col(c) for c in "wxyz"])).alias("q"))
 
 
-def test_rotation_operators_do_not_depend_on_blocks(spark):
-    q = rotation_frames(spark)
+@pytest.mark.parametrize("absent", [(), (3,), (0, 1, 2, 6, 7)])
+def test_rotation_operators_do_not_depend_on_blocks(spark, absent):
+    q = rotation_frames(spark, absent)
     full = q.withColumn("q", F.coalesce("q", Q.quat(*[F.lit(v) for v in (1.0, 0.0, 0.0, 0.0)])))
     for op in (
         lambda rows: gaps.spherical_fill(q, **KEYS, q="q", max_gap=4, rows=rows),

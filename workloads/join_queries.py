@@ -159,18 +159,18 @@ def j15_leaking_groups(spark, folder):
 
 @query(
     "j16_source_references",
-    """WITH m AS (SELECT conv_id AS take, 'raw/' || role || '/' || (conv_id % 40) AS p, sha256(role) AS s, turn FROM conversations WHERE turn < 2)
+    """WITH m AS (SELECT conv_id || '/' || turn AS take, 'raw/' || role || '/' || (conv_id % 40) AS p, sha256(role) AS s, turn FROM conversations)
     SELECT p AS source_path, s AS sha256, string_agg(DISTINCT CASE WHEN turn = 0 THEN 'source' ELSE 'inputs.pose' END, ',' ORDER BY CASE WHEN turn = 0 THEN 'source' ELSE 'inputs.pose' END) AS fields,
       count(DISTINCT take) AS takes FROM m GROUP BY p, s""",
 )
 def j16_source_references(spark, folder):
-    c = table(spark, folder, "conversations").where("turn < 2")
+    c = table(spark, folder, "conversations")
     path = F.concat(F.lit("raw/"), "role", F.lit("/"), (F.col("conv_id") % 40).cast("string"))
     ref = F.struct(path.alias("path"), F.sha2("role", 256).alias("sha256"))
     doc = F.when(F.col("turn") == 0, F.to_json(F.struct(ref.alias("source")))).otherwise(
         F.to_json(F.struct(F.struct(ref.alias("pose")).alias("inputs")))
     )
-    leaves = c.select(F.col("conv_id").alias("take"), F.inline(X.json_leaves(doc)))
+    leaves = c.select(F.concat_ws("/", "conv_id", "turn").alias("take"), F.inline(X.json_leaves(doc)))
     return joins.source_references(leaves, take="take")
 
 
@@ -202,8 +202,7 @@ TARGET_ROWS = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in TARGETS)
 )
 def j20_correspondence(spark, folder):
     declared = table(spark, folder, "customer").select((F.col("c_custkey") % 300).alias("skeleton"), F.col("c_mktsegment").alias("joint"))
-    targets = spark.createDataFrame(list(TARGETS), "target string, joint string, fallback string")
-    return joins.correspondence(declared, targets, skeleton="skeleton")
+    return joins.correspondence(declared, TARGETS, skeleton="skeleton")
 
 
 @query(

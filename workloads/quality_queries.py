@@ -248,10 +248,10 @@ def a6_declared_length(spark, folder):
 
 @query(
     "q16_pair_ids",
-    "SELECT l_orderkey AS take, 'pair ids differ' AS message FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) > 1",
+    "SELECT l_orderkey AS take, 'pair ids differ' AS message FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) > 1",
 )
 def q16_pair_ids(spark, folder):
-    parts = table(spark, folder, "lineitem").where("l_returnflag <> 'N'").select(F.col("l_orderkey").alias("take"), F.col("l_returnflag").alias("pair"))
+    parts = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("take"), F.col("l_returnflag").alias("pair"))
     return quality.pair_id_findings(parts, take="take", pair="pair").select("take", "message")
 
 

@@ -296,8 +296,7 @@ TOKEN_ROWS = ", ".join(f"('{t}')" for t in TOKENS)
     FROM b, t GROUP BY b.source""",
 )
 def a35_witnessed_items(spark, folder):
-    items = spark.createDataFrame([(t,) for t in TOKENS], "token string")
-    out = stats.witnessed_items(table(spark, folder, "documents"), items, bundle="source", text="text", token="token")
+    out = stats.witnessed_items(table(spark, folder, "documents"), TOKENS, bundle="source", text="text")
     return out.withColumn("coverage", r6("coverage"))
 
 
