@@ -199,34 +199,22 @@ def roll_back(current: DataFrame, journal: DataFrame, *, key: str, digest: Colum
     ).drop("_now", "_after")
 
 
-def column_digests(df: DataFrame, *, keys: Sequence[str], name: str, columns: Sequence[str], buckets: int) -> DataFrame:
-    """One digest per column and key over all rows in name order, in two levels as ``group_digest``."""
-    spread = F.pmod(F.crc32(F.col(name).cast("string")), F.lit(int(buckets)))
-    text = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")).alias(c) for c in columns]
+def column_sums(df: DataFrame, *, keys: Sequence[str], name: str, columns: Sequence[str]) -> DataFrame:
+    """Per key and column two sums of independent hashes of (name, value): no order, and so no list of rows."""
 
-    def digests(grouped, order: str):
-        rows = grouped.agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_k"), *columns))).alias("_rows"))
-        return {c: F.sha2(F.concat_ws("|", F.col("_rows")[c]), 256) for c in columns}, rows
+    def sums(c: str) -> Column:
+        text = F.col(c).cast("string")
+        one = lambda seed: F.sum(F.xxhash64(F.lit(seed), F.col(name), text.isNull(), text).cast("decimal(20,0)"))
+        return F.struct(one(1).alias("a"), one(2).alias("b")).alias(c)
 
-    cells, rows = digests(df.select(*keys, name, spread.alias("_b"), *text).groupBy(*keys, "_b"), name)
-    first = rows.select(*keys, "_b", *[d.alias(c) for c, d in cells.items()])
-    cells, rows = digests(first.groupBy(*keys), "_b")
-    return rows.select(*keys, *[d.alias(c) for c, d in cells.items()])
+    return df.groupBy(*keys).agg(*[sums(c) for c in columns])
 
 
-def changed_columns(
-    before: DataFrame, after: DataFrame, *, keys: Sequence[str], name: str, bucket_rows: int = 500_000
-) -> DataFrame:
-    """Q13. Which columns a rewrite changed, and for how many keys, by one digest per column and key.
-
-    The largest key is counted first; both sides then spread every key over as many buckets as that
-    one needs to keep ``bucket_rows`` rows in each.
-    """
+def changed_columns(before: DataFrame, after: DataFrame, *, keys: Sequence[str], name: str) -> DataFrame:
+    """Q13. Which columns a rewrite changed, and for how many keys."""
     columns = [c for c in before.columns if c not in (*keys, name)]
-    largest = before.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    buckets = max(1, -(-largest // bucket_rows))
-    a = column_digests(before, keys=keys, name=name, columns=columns, buckets=buckets)
-    b = column_digests(after, keys=keys, name=name, columns=columns, buckets=buckets)
+    a = column_sums(before, keys=keys, name=name, columns=columns)
+    b = column_sums(after, keys=keys, name=name, columns=columns)
     joined = a.select(*keys, F.struct(*columns).alias("_a")).join(b.select(*keys, F.struct(*columns).alias("_b")), list(keys), "full_outer")
     changed = [F.count_if(~F.col("_a")[c].eqNullSafe(F.col("_b")[c])).alias(c) for c in columns]
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("changed")) for c in columns]

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,18 +61,21 @@ class _StepJudge(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One key's rows of one micro-batch, which the source's rate limit bounds.
-        batch = pd.concat(list(rows)).sort_values(self.frame)
+        batch = pd.concat(list(rows)).sort_values(self.frame, kind="stable")
+        frames, values = batch[self.frame].to_numpy(np.int64), batch[self.value].to_numpy(np.float64)
+        fast = np.zeros(len(frames), bool)
         known = self.last.get()
-        out = []
-        for frame, value in zip(batch[self.frame].tolist(), batch[self.value].tolist()):
-            fast = False
-            if known is not None and frame > known[0]:
-                fast = abs(value - known[1]) / ((frame - known[0]) * self.dt_s) > self.max_speed
-            out.append((*key, frame, fast))
-            if known is None or frame > known[0]:
-                known = (frame, value)
-        self.last.update((int(known[0]), float(known[1])))
-        yield pd.DataFrame(out, columns=[*self.keys, self.frame, "fast"])
+        late = 0 if known is None else int(np.searchsorted(frames, known[0], side="right"))
+        # Late and repeated frames aren't judged.
+        at = late + np.unique(frames[late:], return_index=True)[1]
+        if len(at):
+            f, v = frames[at], values[at]
+            if known is not None:
+                f, v = np.r_[np.int64(known[0]), f], np.r_[float(known[1]), v]
+            fast[at[-(len(f) - 1) :] if len(f) > 1 else at[:0]] = np.abs(np.diff(v)) / (np.diff(f) * self.dt_s) > self.max_speed
+            self.last.update((int(f[-1]), float(v[-1])))
+        out = {k: [part] * len(frames) for k, part in zip(self.keys, key)}
+        yield pd.DataFrame({**out, self.frame: frames, "fast": fast})
 
     def close(self) -> None:
         pass
