@@ -92,6 +92,16 @@ def test_fewer_nodes_still_make_probabilities(spark, monkeypatch):
     assert (10.0 ** model.byte_logs(context | np.arange(256, dtype=np.uint64))).sum() == pytest.approx(1)
 
 
+@pytest.mark.parametrize("held", [0, 20])
+def test_texts_score_by_the_whole_tree_however_few_grams_are_held(spark, monkeypatch, held):
+    monkeypatch.setattr(ctw, "NODES", held)
+    texts = [*TEXTS, *TEXTS, "zzz the cat", "abracadabra zz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = texts[: 2 * len(TEXTS)]
+    found = {r.doc_id: r.score for r in ctw.likelihoods(docs, F.col("doc_id") < len(train)).collect()}
+    assert [found[i] for i in range(len(texts))] == pytest.approx(brute(train, texts), rel=1e-9)
+
+
 def test_held_out_is_better_than_words(spark):
     found = ctw.op10_context_tree(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score"), F.count("*")).first()
     ids = [r.doc_id for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id").collect()]
