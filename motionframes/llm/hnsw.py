@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: a navigable small-world graph per shard, audited and widened, cosines checked in double precision."""
+"""Near-duplicate vectors: all cosines of a shard by blocked matrix products, checked in double precision."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from motionframes.llm.common import components, local_roots, saved, table
 
 #: Vectors of a shard at most (a task holds one), shards at least, queries that a task answers.
 SHARD_ROWS, MIN_SHARDS, TASK_QUERIES = 32_768, 6, 500_000
+#: Queries that are multiplied with a shard at once.
+BLOCK = 256
 #: Neighbours chosen at insertion (twice as many are held), chance of a vector to be in the next layer, first beam.
 DEGREE, UPPER, BEAM = 16, 1 / 16, 32
 #: Vectors of a shard whose links are also found by brute force, and the recall that ends the widening.
@@ -20,7 +22,10 @@ AUDIT, RECALL = 256, 0.995
 
 
 class Graph:
-    """Layers of neighbour lists over unit vectors; each layer holds a sixteenth of the one below."""
+    """Layers of neighbour lists over unit vectors; each layer holds a sixteenth of the one below.
+
+    The query doesn't use it: its links are nearly complete only, and at SHARD_ROWS vectors the whole product is faster.
+    """
 
     def __init__(self, unit: np.ndarray, seed: int = 5):
         self.unit, n = unit.astype(np.float32), len(unit)
@@ -172,40 +177,53 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 def _linker(least: float):
     """Rows sorted by cell and kind: a shard's own vectors (0), then the queries (1)."""
 
-    def answer(graph: Graph, own: np.ndarray, ids: np.ndarray, weight: np.ndarray, width: int, rows: pd.DataFrame) -> pd.DataFrame:
+    def answer(unit: np.ndarray, own: np.ndarray, ids: np.ndarray, weight: np.ndarray, rows: pd.DataFrame) -> pd.DataFrame:
         queries, asked = _unit(rows["vector"]), rows["id"].to_numpy()
-        i, j = graph.within(queries.astype(np.float32), least - 1e-5, width)
-        i, j = i[asked[i] != ids[j]], j[asked[i] != ids[j]]
-        good = np.concatenate([np.einsum("nd,nd->n", queries[i[a : a + 65536]], own[j[a : a + 65536]]) >= least for a in range(0, len(i), 65536)] or [np.zeros(0, bool)])
-        i, j = i[good], j[good]
-        count = np.bincount(i, weights=weight[j], minlength=len(asked)).astype(np.int64)
-        names, at = np.unique(np.concatenate([asked[i], ids[j]]), return_inverse=True)
-        root = names[local_roots(len(names), at[: len(i)], at[len(i) :])]
+        count, names, roots = np.zeros(len(asked), np.int64), [], []
+        for i, j in _links(unit, own, queries, least):
+            i, j = i[asked[i] != ids[j]], j[asked[i] != ids[j]]
+            count += np.bincount(i, weights=weight[j], minlength=len(asked)).astype(np.int64)
+            met, at = np.unique(np.concatenate([asked[i], ids[j]]), return_inverse=True)
+            names.append(met)
+            roots.append(met[local_roots(len(met), at[: len(i)], at[len(i) :])])
+        names, roots = np.concatenate(names), np.concatenate(roots)
+        met, at = np.unique(np.concatenate([names, roots]), return_inverse=True)
+        root = met[local_roots(len(met), at[: len(names)], at[len(names) :])]
         linked = pd.DataFrame({"id": asked, "other": pd.NA, "n": count})[count > 0]
-        star = pd.DataFrame({"id": names, "other": root, "n": 0})[names != root]
+        star = pd.DataFrame({"id": met, "other": root, "n": 0})[met != root]
         return pd.concat([linked, star]).astype({"other": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, held, graph = None, [], None
+        cell, held, own = None, [], None
         for batch in batches:
             for (key, kind), rows in batch.groupby(["cell", "kind"], sort=True):
                 if key != cell:
-                    cell, held, graph = key, [], None
+                    cell, held, own = key, [], None
                 if kind == 0:
                     held.append(rows)
                     continue
-                if graph is None and held:
+                if own is None and held:
                     mine = pd.concat(held)
                     own, ids, weight, held = _unit(mine["vector"]), mine["id"].to_numpy(), mine["copies"].to_numpy(), []
-                    graph = Graph(own)
-                    width = graph.audited_width(least)
-                if graph is not None:
+                    unit = own.astype(np.float32)
+                if own is not None:
                     for at in range(0, len(rows), 4096):
-                        yield answer(graph, own, ids, weight, width, rows.iloc[at : at + 4096])
+                        yield answer(unit, own, ids, weight, rows.iloc[at : at + 4096])
 
     return run
 
 
+def _links(unit: np.ndarray, own: np.ndarray, queries: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (query, vector) with at least this cosine, a block of queries at a time: single precision (unit) finds them,
+    double (own) decides."""
+    for at in range(0, len(queries), BLOCK):
+        i, j = np.nonzero(queries[at : at + BLOCK].astype(np.float32) @ unit.T >= least - 1e-5)
+        i += at
+        good = [np.einsum("nd,nd->n", queries[i[a : a + 65536]], own[j[a : a + 65536]]) >= least for a in range(0, len(i), 65536)]
+        good = np.concatenate(good or [np.zeros(0, bool)])
+        yield i[good], j[good]
+
+
 def near_vectors(vectors: DataFrame, least: float) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors (vec_id, embedding).
 
@@ -213,8 +231,8 @@ def near_vectors(vectors: DataFrame, least: float) -> DataFrame:
     Equal vectors are one node with a count, so n copies cost one search. A row with a null vec_id has no links, a null component
     and is kept; rows that share a vec_id are one node, and each counts.
 
-    Each shard (hash of the id, at most about SHARD_ROWS vectors) becomes a graph in its task, whose beam is
-    widened until an audit against brute force passes. Every vector asks every shard. What a task returns grows with its vectors,
+    Every vector asks every shard (hash of the id, at most about SHARD_ROWS vectors), which a task multiplies with blocks of
+    them, so no link is missed. What a task returns grows with its vectors,
     not its pairs: a count for each query, and for each linked vector its root within the task.
     """
     parts = F.col("embedding")

@@ -51,3 +51,18 @@ def test_graph_recall(rng):
     graph = hnsw.Graph(unit)
     i, j = graph.within(unit.astype(np.float32), 0.9, graph.audited_width(0.9))
     assert len(i) >= 0.99 * (unit @ unit.T >= 0.9).sum()
+
+
+def test_no_pair_is_missed_beside_a_large_group():
+    """The group has 490,000 of the links, the 1,000 pairs 2,000: a share of all links says nothing about the pairs."""
+    import pandas as pd
+
+    rng = np.random.default_rng(7)
+    group = rng.normal(size=(1, 64)) + rng.normal(size=(700, 64)) * 0.001
+    single = rng.normal(size=(1000, 64))
+    vectors = np.concatenate([group, single, single + rng.normal(size=(1000, 64)) * 0.3])
+    frame = lambda kind: pd.DataFrame({"cell": 1, "kind": kind, "id": np.arange(len(vectors)), "copies": 1, "vector": list(vectors)})
+    found = pd.concat(hnsw._linker(0.9)(iter([frame(0), frame(1)])))
+    counts = found[found["other"].isna()].set_index("id")["n"].reindex(range(len(vectors)), fill_value=0)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    assert counts.tolist() == ((unit @ unit.T >= 0.9).sum(1) - 1).tolist()
