@@ -222,9 +222,10 @@ def q5_axis_findings(spark, folder):
 
 
 def two_streams(spark, folder):
-    small = small_frames(spark, folder).where("site = 'hip'").select("take", "frame", F.col("q").alias("a"))
-    large = large_frames(spark, folder).where("joint = 1").select("take", "frame", F.col("g").alias("b"))
-    return small.join(large, ["take", "frame"])
+    """Each site's rotation and its joint's, by take, site and frame."""
+    small = small_frames(spark, folder).select("take", "site", "frame", F.col("q").alias("a"))
+    large = large_frames(spark, folder).join(site_joint(spark), "joint").select("take", "site", "frame", F.col("g").alias("b"))
+    return small.join(large, ["take", "site", "frame"])
 
 
 @query("a15_mounting_rotation")
@@ -235,22 +236,22 @@ def a15_mounting_rotation(spark, folder):
             "vb": Q.hold(Q.log_unit(Q.shorter_arc(F.col("b"))), F.col("frame") >= 0),
         }
     )
-    out = rotations.mounting_rotation(vectors, keys=["take"], a="va", b="vb", min_rate=0.2)
-    return out.select("take", "used", *[r6(F.col("mounting")[c], 5).alias(c) for c in rigid.CELLS])
+    out = rotations.mounting_rotation(vectors, keys=["take", "site"], a="va", b="vb", min_rate=0.2)
+    return out.select("take", "site", "used", *[r6(F.col("mounting")[c], 5).alias(c) for c in rigid.CELLS])
 
 
 @query("a16_compare_orientation")
 def a16_compare_orientation(spark, folder):
     out = rotations.compare_orientation(
-        two_streams(spark, folder), keys=["take"], frame="frame", a="a", b="b", dt_s=0.01, min_rate=1.0
+        two_streams(spark, folder), keys=["take", "site"], frame="frame", a="a", b="b", dt_s=0.01, min_rate=1.0
     )
     numbers = ("median_deg", "p95_deg", "max_deg", "rate_correlation")
-    return out.select("take", "frames", *[r6(c, 4).alias(c) for c in numbers])
+    return out.select("take", "site", "frames", *[r6(c, 4).alias(c) for c in numbers])
 
 
 @query("j19_two_stream_gaps")
 def j19_two_stream_gaps(spark, folder):
     """The comparison on the frames both streams have, gaps left on the frame axis."""
     gappy = two_streams(spark, folder).withColumn("a", F.when(F.col("frame") % 10 != 3, F.col("a")))
-    out = rotations.compare_orientation(gappy, keys=["take"], frame="frame", a="a", b="b", dt_s=0.01, min_rate=1.0)
-    return out.select("take", "frames", r6("median_deg", 4).alias("median_deg"), r6("max_deg", 4).alias("max_deg"))
+    out = rotations.compare_orientation(gappy, keys=["take", "site"], frame="frame", a="a", b="b", dt_s=0.01, min_rate=1.0)
+    return out.select("take", "site", "frames", r6("median_deg", 4).alias("median_deg"), r6("max_deg", 4).alias("max_deg"))
