@@ -45,6 +45,16 @@ def activity_runs(df: DataFrame, *, keys: Sequence[str], time: str, delay: str,
     return runs.agg(F.count(F.lit(1)).alias("rows")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "rows")
 
 
+def with_open(emitted: DataFrame, whole: DataFrame, rows: DataFrame, *, time: str, delay: str) -> DataFrame:
+    """ST1, ST2 once a finite stream has ended: what it emitted, and the windows still open at its last watermark.
+
+    ``whole`` is the batch result of the same rule over ``rows``; the stream has emitted what ends up to the watermark.
+    """
+    mark = rows.agg((F.date_trunc("millisecond", F.max(time)) - F.expr(f"INTERVAL {delay}")).alias("_mark"))
+    still = whole.crossJoin(F.broadcast(mark)).where(F.col("end") > F.col("_mark")).drop("_mark")
+    return emitted.unionByName(still)
+
+
 def without_resent(df: DataFrame, *, keys: Sequence[str], time: str, delay: str) -> DataFrame:
     """ST3. Rows sent again within the watermark are dropped."""
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -72,3 +72,14 @@ def test_incremental_verification(spark, tmp_path):
     )
     query.awaitTermination(120)
     assert sorted(r.take for r in spark.read.parquet(out).collect()) == [f"t{i}" for i in range(4, 10)]
+
+
+def test_every_event_is_in_a_window_and_a_session_when_the_stream_ends(spark):
+    from workloads import streaming_queries as queries
+
+    folder = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{folder}/events.parquet").where("ts IS NOT NULL").count()
+    for name in ("st1_all_quality_windows", "st2_all_activity_runs"):
+        found = getattr(queries, name)(spark, folder).collect()
+        assert sum(r["rows"] for r in found) == events
+        assert len({tuple(r)[:2] for r in found}) == len(found)

@@ -16,9 +16,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def events_stream(spark, folder):
     """Events as a file stream: take, frame (event id), time, value and status."""
     schema = table(spark, folder, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return observed(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder))
+
+
+def observed(events):
     status = F.when(F.expr(GAPPY), F.when(F.col("event_id") % 14 < 2, "UNAVAILABLE").otherwise("INTERPOLATED")).otherwise("OBSERVED")
-    return online.as_event_time(stream, "ts").select(
+    return online.as_event_time(events, "ts").select(
         F.col("user_id").alias("take"), F.col("event_id").alias("frame"), "ts", F.col("value").alias("x"), status.alias("status")
     )
 
@@ -42,11 +45,30 @@ MARK = "(SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM events)"
     SELECT take, d AS day, rows, round(i / rows, 6) + 0.0 AS fraction, u = 0 AND i / rows <= 0.3 AS accepted FROM w WHERE (d + 1) * 86400000000 <= {MARK}""",
 )
 def st1_quality_windows(spark, folder):
-    out = online.quality_windows(
-        events_stream(spark, folder), keys=["take"], time="ts", status="status", delay="1 hour", width="1 day", slide=None, max_fraction=0.3
+    return day_windows(run_to_end(accepted(events_stream(spark, folder))))
+
+
+def accepted(events):
+    return online.quality_windows(
+        events, keys=["take"], time="ts", status="status", delay="1 hour", width="1 day", slide=None, max_fraction=0.3
     )
+
+
+def day_windows(found):
     day = F.expr("unix_micros(start) div 86400000000L")
-    return run_to_end(out).select("take", day.alias("day"), "rows", r6("fraction").alias("fraction"), "accepted")
+    return found.select("take", day.alias("day"), "rows", r6("fraction").alias("fraction"), "accepted")
+
+
+@query(
+    "st1_all_quality_windows",
+    f"""WITH w AS (SELECT user_id AS take, epoch_us(ts) // 86400000000 AS d, count(*) AS rows, count(*) FILTER ({STATUS} = 'UNAVAILABLE') AS u, count(*) FILTER ({STATUS} = 'INTERPOLATED') AS i FROM events GROUP BY ALL)
+    SELECT take, d AS day, rows, round(i / rows, 6) + 0.0 AS fraction, u = 0 AND i / rows <= 0.3 AS accepted FROM w""",
+)
+def st1_all_quality_windows(spark, folder):
+    """With the windows that are open when the stream ends."""
+    rows = observed(table(spark, folder, "events"))
+    emitted = run_to_end(accepted(events_stream(spark, folder)))
+    return day_windows(online.with_open(emitted, accepted(rows), rows, time="ts", delay="1 hour"))
 
 
 @query(
@@ -56,8 +78,28 @@ def st1_quality_windows(spark, folder):
     SELECT take, min(t) AS start_us, count(*) AS rows FROM k GROUP BY take, s HAVING max(t) + 43200000000 <= {MARK}""",
 )
 def st2_activity_runs(spark, folder):
-    out = online.activity_runs(events_stream(spark, folder), keys=["take"], time="ts", delay="1 hour", gap="12 hours")
-    return run_to_end(out).select("take", F.unix_micros("start").alias("start_us"), "rows")
+    return starts(run_to_end(active(events_stream(spark, folder))))
+
+
+def active(events):
+    return online.activity_runs(events, keys=["take"], time="ts", delay="1 hour", gap="12 hours")
+
+
+def starts(found):
+    return found.select("take", F.unix_micros("start").alias("start_us"), "rows")
+
+
+@query(
+    "st2_all_activity_runs",
+    """WITH t AS (SELECT user_id AS take, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY take ORDER BY t) < 43200000000 THEN 0 ELSE 1 END AS n FROM t),
+    k AS (SELECT *, sum(n) OVER (PARTITION BY take ORDER BY t ROWS UNBOUNDED PRECEDING) AS s FROM g)
+    SELECT take, min(t) AS start_us, count(*) AS rows FROM k GROUP BY take, s""",
+)
+def st2_all_activity_runs(spark, folder):
+    """With the sessions that are open when the stream ends."""
+    rows = observed(table(spark, folder, "events"))
+    emitted = run_to_end(active(events_stream(spark, folder)))
+    return starts(online.with_open(emitted, active(rows), rows, time="ts", delay="1 hour"))
 
 
 @query("st3_without_resent", "SELECT user_id AS take, event_id AS frame FROM events")
