@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionframes.llm import ctw, hnsw, kdtree, langid, minhash, mixing, pieces, sharding, toxicity, warc
+from motionframes.llm import ctw, hnsw, kdtree, langid, licenses, minhash, mixing, pieces, pivots, sharding, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_near_duplicates": minhash.op8_near_duplicates,
     "op9_prefix_sum_shards": sharding.op9_prefix_sum_shards,
     "op10_context_tree": ctw.op10_context_tree,
+    "op11_license_blocks": licenses.op11_license_blocks,
+    "op12_pivot_clusters": pivots.op12_pivot_clusters,
 }
 ORACLES = {
     "op2_exact_top_k": kdtree.OP2_SQL,
@@ -22,4 +24,6 @@ ORACLES = {
     "op4_mix_sources": mixing.OP4_SQL,
     "op7_near_vectors": hnsw.OP7_SQL,
     "op9_prefix_sum_shards": sharding.OP9_SQL,
+    "op11_license_blocks": licenses.OP11_SQL,
+    "op12_pivot_clusters": pivots.OP12_SQL,
 }
