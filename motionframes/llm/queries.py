@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionframes.llm import ctw, hnsw, kdtree, langid, licenses, minhash, mixing, pieces, pivots, sharding, toxicity, warc
+from motionframes.llm import ctw, hnsw, kdtree, langid, licenses, minhash, mixing, pieces, pivots, sharding, toxicity, trie, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_context_tree": ctw.op10_context_tree,
     "op11_license_blocks": licenses.op11_license_blocks,
     "op12_pivot_clusters": pivots.op12_pivot_clusters,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 ORACLES = {
     "op2_exact_top_k": kdtree.OP2_SQL,
@@ -26,4 +27,5 @@ ORACLES = {
     "op9_prefix_sum_shards": sharding.OP9_SQL,
     "op11_license_blocks": licenses.OP11_SQL,
     "op12_pivot_clusters": pivots.OP12_SQL,
+    "op13_prefix_trie": trie.OP13_SQL,
 }
