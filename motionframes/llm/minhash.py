@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from motionframes.llm.common import checkpointed, components, saved, slices, table
+from motionframes.llm.common import checkpointed, components, local_roots, saved, slices, table
 
 #: Words of a shingle; a link needs 100 * intersection >= LINK * union.
 SHINGLE, LINK = 5, 75
@@ -146,17 +146,47 @@ def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.minimum(ids[1:], ids[:-1]), "b": np.maximum(ids[1:], ids[:-1]), "estimate": near})[near >= LEAST_ESTIMATE]
 
 
-def _apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All likely pairs of a cell that aren't in one component yet; with sides, only from one side to the other."""
+def _likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Members of a cell that look similar enough to a member of another component; with sides, of the other side."""
     for rows in _grouped(batches, "cell"):
-        comp, side, ids = rows["component"].to_numpy(), rows["side"].to_numpy(), rows["rep"].to_numpy()
+        comp, side = rows["component"].to_numpy(), rows["side"].to_numpy()
         left, right = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
         if len(rows) < 2 or (comp == comp[0]).all() or not len(left) or not len(right):
             continue
         v = _values(rows["sig"])
-        i, j = np.nonzero((_estimates(v[left], v[right]) >= LEAST_ESTIMATE) & (comp[left][:, None] != comp[right][None, :]))
-        a, b = ids[left[i]], ids[right[j]]
-        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        hit = (_estimates(v[left], v[right]) >= LEAST_ESTIMATE) & (comp[left][:, None] != comp[right][None, :])
+        keep = np.zeros(len(rows), bool)
+        keep[left[hit.any(1)]] = True
+        keep[right[hit.any(0)]] = True
+        if keep.any():
+            yield rows.loc[keep, ["cell", "rep"]].drop_duplicates()
+
+
+def similar(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j), i < j, of the sets that are similar enough. Whole intersections, from products over the shingles that two sets or more hold."""
+    sizes, n = np.array([len(s) for s in sets]), len(sets)
+    shingle, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], owner[order]
+    number = np.cumsum(np.concatenate([[True], shingle[1:] != shingle[:-1]])) - 1
+    shared = np.bincount(number)[number] > 1
+    owner, number = owner[shared], np.unique(number[shared], return_inverse=True)[1]
+    both = np.zeros((n, n), np.int64)
+    for at in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
+        a, b = np.searchsorted(number, [at, at + 4096])
+        held = np.zeros((n, 4096), np.float32)
+        held[owner[a:b], number[a:b] - at] = 1
+        both += (held @ held.T).astype(np.int64)
+    union = sizes[:, None] + sizes[None, :] - both
+    return np.nonzero(np.triu((100 * both >= LINK * union) & (both > 0), 1))
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each member of a cell with the first that confirmed links of the cell lead to."""
+    for rows in _grouped(batches, "cell"):
+        ids = rows["rep"].to_numpy()
+        root = local_roots(len(ids), *similar([np.frombuffer(s, np.uint64) for s in rows["shingles"]]))
+        yield pd.DataFrame({"src": ids, "dst": ids[root]})[ids != ids[root]]
 
 
 def _in_cells(rows: DataFrame, reps: DataFrame, *order: str) -> DataFrame:
@@ -164,15 +194,12 @@ def _in_cells(rows: DataFrame, reps: DataFrame, *order: str) -> DataFrame:
     return held.repartition("cell").sortWithinPartitions("cell", *order)
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are similar enough.
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles) of every different set under the given ids, written.
 
-    A fixed-size bit filter keeps the sets of documents that are in no pair from being made; the sets then
-    meet their pairs by shuffle.
+    A fixed-size bit filter keeps the sets of other documents from being made.
     """
-    pairs = checkpointed(pairs)
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     word = F.expr("spot div 32768").alias("word")
     marks = ids.select(spot("id").alias("spot")).groupBy(word).agg(F.bitmap_construct_agg(F.col("spot") % 32768).alias("bits"))
     packed = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
@@ -189,8 +216,15 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "shingles": [shingles(t, hashes).tobytes() for t in texts]})
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("spot", spot("doc_id"))
-    made = texts.mapInPandas(sets, "id long, shingles binary")
-    held = saved(made.join(ids, "id", "left_semi").dropDuplicates(["id"]), "forest-sets")
+    made = texts.mapInPandas(sets, "id long, shingles binary").where(F.octet_length("shingles") > 0)
+    kept = made.join(ids, "id", "left_semi").withColumn("hash", F.xxhash64("shingles")).dropDuplicates(["id", "hash"])
+    return saved(kept.drop("hash"), "forest-sets")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which two whole shingle sets are similar enough."""
+    pairs = checkpointed(pairs)
+    held = sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -206,18 +240,27 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return saved(two.select(F.col("a").alias("src"), F.col("b").alias("dst"), "x", "y").mapInPandas(check, "src long, dst long"), "forest-links")
 
 
+def within_cells(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(src, dst): members (cell, rep) that links of a cell lead from one to the other. A set travels once a cell, and no pair leaves a task."""
+    members = saved(members, "forest-likely")
+    held = sets_of(docs, members.select(F.col("rep").alias("id")).distinct())
+    rows = members.join(held.withColumnRenamed("id", "rep"), "rep").repartition("cell").sortWithinPartitions("cell")
+    return saved(rows.mapInPandas(_joined, "src long, dst long"), "forest-joined")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id, text).
 
     Equal sets are one node from the start. First each node's likeliest neighbours in the orders are confirmed
-    and joined. Then every pair that shares a region, looks similar enough and is still apart is confirmed;
-    where a region was too crowded to be compared whole, those outside its largest component meet all of it,
-    in blocks. So a large group of copies costs a few confirmations a member, not its pairs, and no link
-    between components is lost but by the forest's own rate of misses.
+    and joined. Then those that share a region, look similar enough and are still apart bring their whole sets
+    to the region, where all of them are compared; where a region was too crowded to be compared whole, those
+    outside its largest component meet all of it, in blocks. So a large group of copies costs a few
+    confirmations a member, not its pairs, and no link between components is lost but by the forest's own
+    rate of misses.
 
     Null or empty texts and texts without words have an empty set and stand alone. Rows with a null doc_id stand alone, with a null
-    component_id, and are kept. Rows that share a doc_id are one node; if their texts differ, the links are
-    those of any one of the texts and of copies of either.
+    component_id, and are kept. Rows that share a doc_id are one node with the links of all their texts. Long texts are whole sets like
+    others. An empty table gives an empty result. Other columns of docs are not read.
     """
     signed = saved(signatures(docs), "forest-signatures")
     usable = signed.where("doc_id is not null and n_shingles > 0")
@@ -225,10 +268,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = saved(classes, "forest-classes")
     same = classes.where("copies > 1").select("h1", "h2", "rep")
     placed = signed.join(same, ["h1", "h2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
-    reps = classes.dropDuplicates(["rep"])
 
-    met = saved(regions(reps).withColumn("cell", F.xxhash64("tree", "region")).drop("region"), "forest-regions")
-    near = _in_cells(met.select("cell", "key", "rep"), reps, "key", "rep").mapInPandas(_neighbours, "a long, b long, estimate double")
+    met = saved(regions(classes).withColumn("cell", F.xxhash64("tree", "region")).drop("region"), "forest-regions")
+    near = _in_cells(met.select("cell", "key", "rep"), classes, "key", "rep").mapInPandas(_neighbours, "a long, b long, estimate double")
     near = checkpointed(near.where("a <> b").distinct())
     ends = near.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "estimate")
     best = Window.partitionBy("end").orderBy(F.desc("estimate"), "a", "b")
@@ -236,13 +278,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = confirmed(docs, first)
 
     # Two texts under one doc_id tie their classes together.
-    twice = placed.where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).join(reps.select(F.col("rep").alias("src")), "src", "left_semi")
+    twice = placed.where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst")).join(classes.select(F.col("rep").alias("src")), "src", "left_semi")
     joined = components(links.unionByName(twice)).select(F.col("id").alias("rep"), "component")
     known = checkpointed(met.join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
     rest = known.select("cell", "component", "rep", F.lit(0).alias("side"))
-    pairs = _in_cells(rest, reps).mapInPandas(_apart, "a long, b long")
-    more = _in_cells(_crowded(known), reps).mapInPandas(_apart, "a long, b long")
-    second = confirmed(docs, pairs.unionByName(more).distinct())
+    every = [_in_cells(rows, classes).mapInPandas(_likely, "cell long, rep long") for rows in (rest, _crowded(known))]
+    second = within_cells(docs, every[0].unionByName(every[1]))
     final = components(links.unionByName(twice).unionByName(second)).select(F.col("id").alias("rep"), F.col("component").alias("root"))
     component = F.coalesce("root", "rep")
     return placed.join(final, "rep", "left").select(
