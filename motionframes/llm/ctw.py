@@ -20,6 +20,8 @@ DEPTH = 5
 NODES, WORDS = 1_500_000, 300_000
 #: Contexts of SPLIT bytes and more are weighted within tasks, dealt by their last SPLIT bytes; the tree above is bounded by the alphabet.
 SPLIT = 3
+#: Characters whose grams a task holds at once, while it counts (about 60 bytes each) and while it scores (about 100).
+COUNTED, SCORED = 1 << 22, 1 << 18
 _BYTE = np.uint64(8)
 
 
@@ -65,7 +67,7 @@ def counted(docs: DataFrame) -> DataFrame:
         hashes = _Hashes()
         for batch in batches:
             for trained, part in batch.groupby("trained"):
-                for texts in slices(part["text"].tolist(), 1 << 23):
+                for texts in slices(part["text"].tolist(), COUNTED):
                     gram, n = np.unique(grams(texts)[0], return_counts=True)
                     words = np.concatenate([_hashed(tokens(t), hashes) for t in texts]) if trained else np.zeros(0, np.uint64)
                     word, m = np.unique(words, return_counts=True)
@@ -328,7 +330,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         end = np.log10(m.texts + 0.1)
         for batch in batches:
             out = []
-            for texts in slices(batch.tolist()):
+            for texts in slices(batch.tolist(), SCORED):
                 gram, sizes = grams(texts)
                 at = m.gram(gram)
                 missed = at < 0
