@@ -34,14 +34,14 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest id; rows with a null id stay, of repeated rows of an id one does."""
+    """One document of each group stays, that with the smallest id; rows with a null id stay, of an id's repeated rows one for each of its texts."""
     fate = minhash.near_duplicates(docs.select("doc_id", "text"))
     counts = saved(fate.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")), "pipeline-fate")
     gone = saved(counts.where("not kept").select("doc_id"), "pipeline-gone")
     twice = saved(counts.where("kept and rows > 1").select("doc_id"), "pipeline-twice")
     kept = docs.join(gone, "doc_id", "left_anti")
     once = kept.join(twice, "doc_id", "left_anti")
-    first = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(first).select(docs.columns)
 
 
