@@ -18,6 +18,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 BLOCK_ROWS = 65_536
 
 Stage = Callable[[WindowSpec, WindowSpec], Mapping[str, Column]]
@@ -179,77 +181,48 @@ def small(df: DataFrame, *, limit: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def _split_hot_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Cut buckets with more than ``hot_rows`` rows at sketched quantiles of the order columns.
-
-    A cut puts the rows that equal a cut point into a piece of their own, after those below it. The next
-    order column cuts only pieces that hold one value of the columns before; a mixed piece that is
-    still too large is cut by the same column again, so the pieces always follow the whole order.
-    """
-    for column in order:
-        df = df.withColumn("_one", F.lit(False))
-        while True:
-            groups = [*keys, "_bkt"]
-            counts = df.where("not _one").groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-            if counts.isEmpty():
-                break
-            steps = [i / 256 for i in range(1, 256)]
-            cuts = df.join(counts.drop("_n"), groups).groupBy(*groups).agg(F.percentile_approx(column, steps, 4096).alias("_cuts"))
-            below = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(column)))
-            tied = F.array_contains("_cuts", F.col(column)).cast("int")
-            piece = F.when(F.col("_cuts").isNull(), 0).otherwise(2 * below + tied)
-            df = (
-                df.join(cuts, groups, "left")
-                .withColumn("_p", piece)
-                .withColumn("_one", F.col("_one") | (F.col("_p") % 2 == 1))
-                .withColumn("_bkt", F.struct(F.col("_bkt").alias("b"), F.col("_p").alias("p")))
-                .drop("_cuts", "_p")
-            )
-    return df.drop("_one")
-
-
 def dense_frames(
     df: DataFrame,
     *,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     frame: str = "frame",
     minima: Mapping[str, Column] | None = None,
     hot_rows: int = 4_000_000,
 ) -> DataFrame:
-    """Number the rows of each key 0, 1, 2, ... in ``order``.
+    """Number the rows of each key 0, 1, 2, ... in ``order``, nulls first. ``minima`` adds per-key minimum columns.
 
     Key sizes are counted first. While no key has more than ``hot_rows`` rows, one window per key
-    numbers them. Otherwise no task holds a whole key: ``bucket``, which must not decrease along
-    ``order``, splits it, rows are ranked inside (key, bucket) and shifted by the row counts of the
-    earlier buckets, and a bucket of more than ``hot_rows`` rows is cut further. ``minima`` adds
-    per-key minimum columns. The ``order`` columns are numeric and together unique per key.
+    numbers them. Otherwise the rows are dealt by ranges of key and order, so a large key is cut
+    wherever a range ends, and counted per key and range: a row's number is its place in the range,
+    shifted by what its key holds in earlier ranges. The ranges are checkpointed, because a second
+    evaluation could cut elsewhere. The ``order`` columns are of any orderable type; rows equal in all
+    of them are numbered in any order.
     """
     minima = dict(minima or {})
     if df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).isEmpty():
         whole = Window.partitionBy(*keys)
         number = F.row_number().over(whole.orderBy(*order)).cast("bigint") - 1
         return df.withColumns({frame: number, **{n: F.min(c).over(whole) for n, c in minima.items()}})
-    prepared = _split_hot_buckets(df.withColumn("_bkt", bucket), keys, order, hot_rows)
-    counts = prepared.groupBy(*keys, "_bkt").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(n) for n, c in minima.items()]
+    checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    ranged = ranged.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}).checkpoint()
+    parts = ranged.groupBy(*keys, "_part").agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(n) for n, c in minima.items()]
     )
     per_key = Window.partitionBy(*keys)
-    earlier = per_key.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *keys,
-        "_bkt",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+    earlier = per_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = parts.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_part").alias("_p"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
         *[F.min(n).over(per_key).alias(n) for n in minima],
     )
-    inside = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    ranked = prepared.withColumn("_rn", F.row_number().over(inside))
-    return (
-        ranked.join(offsets, [*keys, "_bkt"])
-        .withColumn(frame, F.col("_off") + F.col("_rn") - 1)
-        .drop("_bkt", "_rn", "_off")
-    )
+    same = F.col("_part") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    numbered = ranged.join(shifts, same).withColumn(frame, F.col("_place") + F.col("_shift"))
+    return numbered.select(*df.columns, frame, *minima)
 
 
 def attach(

@@ -47,6 +47,46 @@ def exact_quantiles(
     return usual.unionByName(_large_groups(prepared.join(hot, keys), keys, probs, aggs))
 
 
+def exact_quantiles_of(
+    df: DataFrame,
+    *,
+    keys: Sequence[str],
+    probs: Mapping[str, Mapping[str, float]],
+    aggs: Sequence[Column] = (),
+    hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """As ``exact_quantiles`` for several columns: ``probs`` names the quantiles of each, {column: {name: share}}.
+
+    One pass over the rows serves all columns. The rows of groups above ``hot_rows`` are stacked, one
+    value a row, and selected together: every column of a group is a group of its own, and all share
+    one set of brackets.
+    """
+    keys = list(keys)
+    usual, hot = df, None
+    shared = keys if sized_by is None else [k for k in keys if k in sized_by.columns]
+    if not _groups_above(df if sized_by is None else sized_by, shared, hot_rows).isEmpty():
+        hot = _groups_above(df, keys, hot_rows).select(*keys)
+        usual = df.join(hot, keys, "left_anti")
+    packed = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in named.values()])).alias(f"_{c}") for c, named in probs.items()]
+    grouped = usual.groupBy(*keys).agg(*packed, *aggs)
+    names = [n for named in probs.values() for n in named]
+    picked = [F.col(f"_{c}")[i].alias(n) for c, named in probs.items() for i, n in enumerate(named)]
+    extra = [c for c in grouped.columns if c not in (*keys, *[f"_{c}" for c in probs])]
+    found = grouped.select(*keys, *picked, *extra)
+    if hot is None:
+        return found
+    rows = df.join(hot, keys)
+    shares = sorted({p for named in probs.values() for p in named.values()})
+    stack = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_q")) for c in probs])
+    large = _large_groups(rows.select(*keys, F.inline(stack)), [*keys, "_column"], {f"_p{i}": p for i, p in enumerate(shares)}, [])
+    of = lambda c, n, p: F.max(F.when(F.col("_column") == c, F.col(f"_p{shares.index(p)}"))).alias(n)
+    wide = large.groupBy(*keys).agg(*[of(c, n, p) for c, named in probs.items() for n, p in named.items()])
+    if aggs:
+        wide = wide.join(rows.groupBy(*keys).agg(*aggs), keys)
+    return found.unionByName(wide.select(*keys, *names, *extra))
+
+
 def _groups_above(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
 
@@ -78,12 +118,14 @@ def _large_groups(
         *aggs,
     )
     extra = [c for c in sketched.columns if c not in (*keys, "_n", "_s", "_lo", "_hi")]
+    # A large group can hold few values that aren't null; then the margin is less than a rank and all of them are taken.
+    few = F.col("_n") * margin < 2
     rank = [
         F.struct(
             F.lit(n).alias("name"),
             (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-            (F.col("_lo") if p - margin <= 0 else F.col("_s")[2 * i]).alias("low"),
-            (F.col("_hi") if p + margin >= 1 else F.col("_s")[2 * i + 1]).alias("high"),
+            F.when(few | F.lit(p - margin <= 0), F.col("_lo")).otherwise(F.col("_s")[2 * i]).alias("low"),
+            F.when(few | F.lit(p + margin >= 1), F.col("_hi")).otherwise(F.col("_s")[2 * i + 1]).alias("high"),
         )
         for i, (n, p) in enumerate(probs.items())
     ]

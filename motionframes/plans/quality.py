@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import sets, stats
-from ..operators.blocks import small
+from ..operators import sets
+from ..operators.blocks import running_steps, small
+from ..operators.quantiles import exact_quantiles_of
 
 FREE_AXES = ("T", "N")
 
@@ -199,25 +200,75 @@ def confidence_findings(df: DataFrame, *, take: str, valid: Column, confidence:
     return failed_rules(counts, rules, level="L2", check="physical", keep=[take])
 
 
-def physical_findings(df: DataFrame, *, take: str, frame: str, time: str, value: str, valid: Column, bands: Mapping[str, float]) -> DataFrame:
-    """Q4. Mask discipline, magnitude bands, coverage and the time axis as findings per take."""
-    marked = df.withColumn("_valid", valid)
-    ok = F.col("_valid")
-    mask = stats.mask_discipline(marked, keys=[take], valid=ok, components=[value])
-    mags = stats.magnitude_bands(
-        marked, keys=[take], magnitude=value, valid=ok & F.col(value).isNotNull(),
-        median_max=bands["median_max"], median_min=bands["median_min"], floor_p95=bands["floor_p95"],
+def physical_findings(df: DataFrame, *, take: str, site: str, frame: str, time: str, columns: Mapping[str, Column], bands: Mapping[str, float]) -> DataFrame:
+    """Q4. One row per take, site and frame: mask discipline, confidence, norm, magnitude and rate bands, contact, coverage and the time axis.
+
+    ``columns`` names what a row holds: valid, norm (of the orientation), magnitude (gravity included), rate,
+    confidence, contact, force and point (of application; null is none). A band is judged over the valid rows
+    of a take, and only where none of them lacks the value. Where a band is broken the finding names the
+    worst site, the first by name among equals; a site without a valid row is a finding of its own.
+    The frames are aggregated once, to a row per take and site.
+    """
+    held = df.select(take, site, frame, time, *[c.alias(n) for n, c in columns.items()])
+    step = lambda before, here: here - before
+    held = running_steps(held, keys=[take, site], frame=frame, value=F.col(time), step=step, out="step", total="_sum").drop("_sum")
+    valid, confidence, contact = F.col("valid"), F.col("confidence"), F.col("contact")
+    held = held.withColumn("_magnitude", F.when(valid, F.col("magnitude")))
+    arrays = ("norm", "magnitude", "rate")
+    counted = {
+        **{f"{a}_lacking": F.count_if(valid & F.col(a).isNull()) for a in arrays},
+        **{f"{a}_beyond": F.count_if(~valid & F.col(a).isNotNull()) for a in arrays},
+        "confidence_lacking": F.count_if(confidence.isNull()),
+        "confidence_under": F.count_if(~valid & (confidence != 0)),
+        "confidence_band": F.count_if(valid & ((confidence <= 0) | (confidence > 1))),
+        "force_without_contact": F.count_if(~contact & (F.col("force") != 0)),
+        "point_missing": F.count_if(contact & F.col("point").isNull()),
+        "point_without_contact": F.count_if(~contact & F.col("point").isNotNull()),
+        "time_lacking": F.count_if(F.col(time).isNull()),
+        "backward": F.count_if(F.col("step") <= 0),
+        "rows": F.count(F.lit(1)),
+        "usable": F.count_if(valid),
+    }
+    extremes = {"norm_off": F.max(F.when(valid, F.abs(F.col("norm") - 1.0))), "rate_max": F.max(F.when(valid, F.abs(F.col("rate"))))}
+    sites = exact_quantiles_of(
+        held, keys=[take, site], probs={"_magnitude": {"median": 0.5, "p95": 0.95}, "step": {"step_median": 0.5}},
+        aggs=[c.alias(n) for n, c in {**counted, **extremes}.items()], sized_by=df,
+    )
+    low = (F.col("median") < bands["median_min"]) & (F.col("p95") < bands["floor_p95"])
+    worst = lambda value: F.min_by(site, F.when(value.isNotNull(), F.struct(-value, F.col(site))))
+    takes = sites.groupBy(take).agg(
+        *[F.sum(n).alias(n) for n in counted],
+        *[F.max(n).alias(n) for n in (*extremes, "median")],
+        *[worst(F.col(n)).alias(f"{n}_site") for n in (*extremes, "median")],
+        worst(F.when(low, -F.col("p95"))).alias("low_site"),
+        F.max(F.abs(F.col("step_median") - bands["step_s"])).alias("step_off"),
+        F.sort_array(F.collect_list(F.when(F.col("usable") == 0, F.col(site)))).alias("unseen"),
     )
-    cover = marked.groupBy(take).agg(F.avg(ok.cast("double")).alias("coverage"), (F.count_if(ok) == 0).alias("none"))
-    clock = stats.time_axis(df, keys=[take], frame=frame, time=time, nominal_s=bands["step_s"], tolerance_s=bands["step_tolerance_s"])
-    level = {"level": "L2", "check": "physical", "keep": [take]}
-    parts = [
-        failed_rules(mask, {"missing on valid rows": F.col("valid_missing") > 0, "present on invalid rows": F.col("invalid_present") > 0}, **level),
-        failed_rules(mags, {"magnitude too high": F.col("too_high"), "gravity missing": F.col("too_low")}, **level),
-        failed_rules(cover, {"coverage too low": F.col("coverage") < bands["min_coverage"], "no valid row": F.col("none")}, **level),
-        failed_rules(clock, {"times not increasing": ~F.col("increasing"), "time step off": F.col("rate_off")}, **level),
+    whole = {a: F.col(f"{a}_lacking") == 0 for a in (*arrays, "confidence", "time")}
+    at = lambda text, n: F.concat(F.lit(f"{text} at "), F.col(n).cast("string"))
+    some = lambda n: F.col(n) > 0
+    rules = [
+        *[(F.lit(f"{a} missing on valid rows"), some(f"{a}_lacking")) for a in arrays],
+        *[(F.lit(f"{a} present on invalid rows"), some(f"{a}_beyond")) for a in arrays],
+        (F.lit("confidence missing"), some("confidence_lacking")),
+        (F.lit("confidence on invalid rows"), whole["confidence"] & some("confidence_under")),
+        (F.lit("confidence outside (0, 1]"), whole["confidence"] & some("confidence_band")),
+        (at("norm off", "norm_off_site"), whole["norm"] & (F.col("norm_off") > bands["norm_off"])),
+        (at("magnitude too high", "median_site"), whole["magnitude"] & (F.col("median") > bands["median_max"])),
+        (at("gravity missing", "low_site"), whole["magnitude"] & F.col("low_site").isNotNull()),
+        (at("rate too high", "rate_max_site"), whole["rate"] & (F.col("rate_max") > bands["rate_max"])),
+        (F.lit("force without contact"), some("force_without_contact")),
+        (F.lit("point missing in contact"), some("point_missing")),
+        (F.lit("point without contact"), some("point_without_contact")),
+        (F.lit("time missing"), some("time_lacking")),
+        (F.lit("times not increasing"), whole["time"] & some("backward")),
+        (F.lit("time step off"), whole["time"] & (F.col("step_off") > bands["step_tolerance_s"])),
+        (F.lit("coverage too low"), F.col("usable") < bands["min_coverage"] * F.col("rows")),
     ]
-    return sets.all_findings(*parts)
+    hits = F.array_compact(F.array(*[F.when(F.coalesce(broken, F.lit(False)), text) for text, broken in rules]))
+    unseen = F.transform("unseen", lambda s: F.concat(F.lit("no valid row at "), s.cast("string")))
+    broken = takes.select(take, F.explode(F.concat(hits, unseen)).alias("_m"))
+    return broken.select(*finding("L2", "physical", "FAIL", F.col("_m"), take))
 
 
 # -- level 4 ---------------------------------------------------------------------------------

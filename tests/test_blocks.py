@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from motionframes.functions import quat as Q
@@ -125,9 +126,9 @@ def test_rotation_operators_do_not_depend_on_blocks(spark, absent):
 
 
 @pytest.mark.parametrize("hot_rows", [1000, 10, 3])
-def test_dense_frames_rank_over_buckets(spark, hot_rows):
+def test_dense_frames_rank_over_ranges(spark, hot_rows):
     df = spark.createDataFrame([(k % 3, i, (i * 7) % 50) for i, k in enumerate(range(50))], "take int, id int, t int")
-    out = dense_frames(df, keys=["take"], order=["t", "id"], bucket=F.expr("t div 10"), minima={"t0": F.col("t")}, hot_rows=hot_rows)
+    out = dense_frames(df, keys=["take"], order=["t", "id"], minima={"t0": F.col("t")}, hot_rows=hot_rows)
     by_take = {}
     for r in out.collect():
         by_take.setdefault(r.take, []).append((r.frame, r.t, r.id, r.t0))
@@ -155,7 +156,7 @@ def test_hot_buckets_are_cut_and_still_numbered_exactly(spark):
     # One bucket and, for take 1, one single time hold most rows; ids break the ties.
     rows = [(0, i, (i * 37) % 400) for i in range(400)] + [(1, i, 5) for i in range(300)] + [(2, 0, 9)]
     df = spark.createDataFrame(rows, "take int, id long, t long").repartition(7)
-    out = dense_frames(df, keys=["take"], order=["t", "id"], bucket=F.lit(0), hot_rows=50)
+    out = dense_frames(df, keys=["take"], order=["t", "id"], hot_rows=50)
     by_take = {}
     for r in out.collect():
         by_take.setdefault(r.take, []).append((r.frame, r.t, r.id))
@@ -177,7 +178,7 @@ def test_numbering_with_one_heavy_time(spark):
     frame = spark.createDataFrame(rows, "take int, t int, i int")
     want = frame.withColumn("frame", F.row_number().over(Window.partitionBy("take").orderBy("t", "i")).cast("bigint") - 1)
     for hot in (40, 1000):
-        found = dense_frames(frame, keys=["take"], order=["t", "i"], bucket=F.lit(0), hot_rows=hot)
+        found = dense_frames(frame, keys=["take"], order=["t", "i"], hot_rows=hot)
         assert sorted(map(tuple, found.select("take", "t", "i", "frame").collect())) == sorted(map(tuple, want.collect()))
 
 
@@ -188,3 +189,31 @@ def test_large_group_without_values(spark):
     for hot in (10, 1000):
         found = exact_quantiles(frame, keys=["k"], value="x", probs={"m": 0.5}, hot_rows=hot).collect()
         assert sorted(map(tuple, found)) == [("a", None), ("b", 24.5)]
+
+
+@pytest.mark.parametrize("hot", [20, 500, 100_000])
+def test_numbering_without_times(spark, hot):
+    """A large key whose times are all NULL, a NULL key, tied times and text in the order: the single window's numbers."""
+    rows = [(1, None, i, f"n{i % 7}") for i in range(3000)] + [(None, i % 5, i, "x") for i in range(400)] + [(2, 3, i, None) for i in range(30)]
+    frame = spark.createDataFrame(rows, "take int, t int, i int, name string").repartition(6)
+    order = ["t", "name", "i"]
+    whole = Window.partitionBy("take")
+    want = frame.withColumns({"frame": F.row_number().over(whole.orderBy(*order)).cast("bigint") - 1, "low": F.min("i").over(whole)})
+    found = dense_frames(frame, keys=["take"], order=order, minima={"low": F.col("i")}, hot_rows=hot)
+    assert found.columns == want.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+@pytest.mark.parametrize("hot", [10, 60, 1000])
+def test_quantiles_of_several_columns(spark, hot):
+    """The same answers with every group large, one large, and none."""
+    from motionframes.operators.quantiles import exact_quantiles_of
+
+    rows = [("a", float((i * 37) % 101), None if i % 3 else float(i)) for i in range(100)] + [("b", float(i), None) for i in range(50)] + [(None, 1.0, 2.0)]
+    frame = spark.createDataFrame(rows, "k string, x double, y double")
+    probs = {"x": {"x_mid": 0.5, "x_high": 0.95}, "y": {"y_mid": 0.5}}
+    named = {n: (c, p) for c, held in probs.items() for n, p in held.items()}
+    want = frame.where("k is not null").groupBy("k").agg(*[F.percentile(c, p).alias(n) for n, (c, p) in named.items()], F.count("*").alias("n"))
+    found = exact_quantiles_of(frame.where("k is not null"), keys=["k"], probs=probs, aggs=[F.count("*").alias("n")], hot_rows=hot)
+    near = lambda df: sorted([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()])
+    assert near(found) == near(want)

@@ -66,7 +66,6 @@ def series(spark: SparkSession, folder: str) -> DataFrame:
         events,
         keys=["take"],
         order=["t_us", "event_id"],
-        bucket=F.expr(f"t_us div {HOUR_US}L"),
         minima={"_t0": F.col("t_us")},
     )
     return framed.withColumn("t_s", (F.col("t_us") - F.col("_t0")) / F.lit(1e6)).drop("_t0")
@@ -104,7 +103,7 @@ def quats(spark: SparkSession, folder: str) -> DataFrame:
         Q.vec(*parts[7:10]).alias("u"),
         Q.normalise(Q.quat(*parts[10:14])).alias("p"),
     )
-    return dense_frames(raw, keys=["take"], order=["vec_id"], bucket=F.expr("vec_id div 65536L"))
+    return dense_frames(raw, keys=["take"], order=["vec_id"])
 
 
 QUATS = """q0 AS (
@@ -166,7 +165,6 @@ def small_frames(spark: SparkSession, folder: str) -> DataFrame:
         e.select("vec_id", F.col("label").alias("take"), F.array(*cells).alias("c")),
         keys=["take"],
         order=["vec_id"],
-        bucket=F.expr("vec_id div 65536L"),
     )
     return raw.select("take", "frame", (F.col("vec_id") % 11 > 0).alias("valid"), F.inline("c"))
 
@@ -185,7 +183,6 @@ def large_frames(spark: SparkSession, folder: str) -> DataFrame:
         e.select("vec_id", F.col("label").alias("take"), F.array(*cells).alias("c")),
         keys=["take"],
         order=["vec_id"],
-        bucket=F.expr("vec_id div 65536L"),
     )
     return raw.select("take", "frame", F.inline("c"))
 

@@ -215,7 +215,7 @@ def journal_records(spark, folder):
     from motionframes.operators.blocks import dense_frames
 
     li = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("file"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    n = dense_frames(li, keys=["file"], order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], bucket=F.col("l_linenumber"), frame="n")
+    n = dense_frames(li, keys=["file"], order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], frame="n")
     sequence = (F.col("n") + 1).alias("sequence")
     landed = F.concat(F.lit("d"), (F.col("n") + 1).cast("string"))
     after = F.when((F.col("file") + F.col("n") + 1) % 4 == 0, "lost").otherwise(landed)

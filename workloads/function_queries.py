@@ -275,7 +275,6 @@ def local_rotations(spark, folder):
         e.select("vec_id", F.col("label").alias("take"), F.array(*cells).alias("c")),
         keys=["take"],
         order=["vec_id"],
-        bucket=F.expr("vec_id div 65536L"),
     )
     return raw.select(long("take").alias("take"), "frame", F.inline("c"))
 

@@ -354,19 +354,51 @@ def q11_limitation_problems(spark, folder):
 
 # ---- physics
 
-BANDS = {"median_max": 60.0, "median_min": 25.0, "floor_p95": 120.0, "step_s": 36000.0, "step_tolerance_s": 9000.0, "min_coverage": 0.7}
-L2 = f"""{GAPPY_SQL}, mk AS (SELECT *, ({BAD_MASK}) AS v FROM g),
-l2 AS (SELECT take, count(*) FILTER (v AND x IS NULL) AS a, count(*) FILTER (NOT v AND x IS NOT NULL) AS b, quantile_cont(x, 0.5) FILTER (v) AS md, quantile_cont(x, 0.95) FILTER (v) AS p95,
-  avg(v::INT) AS cov, count(*) FILTER (v) AS n FROM mk GROUP BY take),
-st AS (SELECT take, bool_and(d > 0) AS inc, quantile_cont(d, 0.5) AS step FROM (SELECT take, t_s - lag(t_s) OVER (PARTITION BY take ORDER BY frame) AS d FROM s) GROUP BY take),
-fi AS (SELECT take, unnest([CASE WHEN a > 0 THEN 'missing on valid rows' END, CASE WHEN b > 0 THEN 'present on invalid rows' END, CASE WHEN md > 60.0 THEN 'magnitude too high' END,
-  CASE WHEN md < 25.0 AND p95 < 120.0 THEN 'gravity missing' END, CASE WHEN cov < 0.7 THEN 'coverage too low' END, CASE WHEN n = 0 THEN 'no valid row' END,
-  CASE WHEN NOT inc THEN 'times not increasing' END, CASE WHEN abs(step - 36000.0) > 9000.0 THEN 'time step off' END]) AS message FROM l2 JOIN st USING (take))"""
+BANDS = {
+    "median_max": 60.0, "median_min": 20.0, "floor_p95": 60.0, "norm_off": 0.05, "rate_max": 700.0,
+    "step_s": 180000.0, "step_tolerance_s": 90000.0, "min_coverage": 0.7,
+}
+
+# What a row of an event holds; fixed test patterns, some broken in every take they name.
+READINGS = {
+    "valid": f"({BAD_MASK}) AND NOT (take % 9 = 4 AND site = 'click')",
+    "norm": "CASE WHEN NOT ok OR take % 9 = 4 AND site = 'click' THEN NULL WHEN take % 11 = 2 AND event_id % 3 = 0 THEN 1.1e0 ELSE 1.01e0 END",
+    "magnitude": "CASE WHEN take % 4 = 3 THEN x WHEN ok AND event_id % 50 <> 3 OR NOT ok AND event_id % 70 = 7 THEN coalesce(x, 30e0) END",
+    "rate": "CASE WHEN take % 5 = 1 THEN x * 5 ELSE coalesce(x, 40e0) END",
+    "confidence": f"CASE WHEN take % 13 = 5 AND event_id % 5 = 0 THEN NULL WHEN take % 7 = 2 THEN 0.4e0 WHEN NOT ({BAD_MASK}) THEN 0e0 WHEN take % 7 = 3 THEN 1.5e0 ELSE 0.9e0 END",
+    "contact": "event_id % 3 = 1",
+    "force": "CASE WHEN event_id % 3 = 1 OR take % 8 = 3 AND event_id % 7 = 0 THEN 500e0 ELSE 0e0 END",
+    "point": "CASE WHEN event_id % 3 = 1 AND take % 10 <> 6 OR event_id % 3 <> 1 AND take % 12 = 7 THEN 0.2e0 END",
+    "at_s": "CASE WHEN take % 17 = 8 AND event_id % 9 = 0 THEN NULL WHEN take % 6 = 5 AND event_id % 7 = 0 THEN t_s - 400000 ELSE t_s END",
+}
+L2 = f"""{GAPPY_SQL}, rd AS (SELECT take, site, frame, {", ".join(f"({e}) AS {n}" for n, e in READINGS.items())} FROM g),
+sp AS (SELECT *, at_s - lag(at_s) OVER (PARTITION BY take, site ORDER BY frame) AS step FROM rd),
+si AS (SELECT take, site, count(*) AS n, count(*) FILTER (valid) AS u, {", ".join(f"count(*) FILTER (valid AND {a} IS NULL) AS {a}_l, count(*) FILTER (NOT valid AND {a} IS NOT NULL) AS {a}_b" for a in ("norm", "magnitude", "rate"))},
+  count(*) FILTER (confidence IS NULL) AS c_l, count(*) FILTER (NOT valid AND confidence <> 0) AS c_u, count(*) FILTER (valid AND (confidence <= 0 OR confidence > 1)) AS c_b,
+  count(*) FILTER (NOT contact AND force <> 0) AS f_n, count(*) FILTER (contact AND point IS NULL) AS p_m, count(*) FILTER (NOT contact AND point IS NOT NULL) AS p_n,
+  count(*) FILTER (at_s IS NULL) AS t_l, count(*) FILTER (step <= 0) AS t_b, quantile_cont(step, 0.5) AS sm, quantile_cont(magnitude, 0.5) FILTER (valid) AS md,
+  quantile_cont(magnitude, 0.95) FILTER (valid) AS p95, max(abs(norm - 1)) FILTER (valid) AS no, max(abs(rate)) FILTER (valid) AS rm FROM sp GROUP BY take, site),
+ws AS (SELECT *, row_number() OVER (PARTITION BY take ORDER BY no DESC NULLS LAST, site) AS no_k, row_number() OVER (PARTITION BY take ORDER BY md DESC NULLS LAST, site) AS md_k,
+  row_number() OVER (PARTITION BY take ORDER BY rm DESC NULLS LAST, site) AS rm_k, md < 20.0 AND p95 < 60.0 AS low,
+  row_number() OVER (PARTITION BY take ORDER BY CASE WHEN md < 20.0 AND p95 < 60.0 THEN p95 END NULLS LAST, site) AS low_k,
+  sum(norm_l) OVER w AS nl, sum(magnitude_l) OVER w AS ml, sum(rate_l) OVER w AS rl, sum(norm_b) OVER w AS nb, sum(magnitude_b) OVER w AS mb, sum(rate_b) OVER w AS rb,
+  sum(c_l) OVER w AS cl, sum(c_u) OVER w AS cu, sum(c_b) OVER w AS cb, sum(f_n) OVER w AS fn, sum(p_m) OVER w AS pm, sum(p_n) OVER w AS pn, sum(t_l) OVER w AS tl, sum(t_b) OVER w AS tb,
+  max(abs(sm - 180000.0)) OVER w AS so, sum(u) OVER w AS us, sum(n) OVER w AS ns, row_number() OVER (PARTITION BY take ORDER BY site) AS k FROM si WINDOW w AS (PARTITION BY take)),
+fi AS (SELECT take, unnest([CASE WHEN u = 0 THEN 'no valid row at ' || site END, CASE WHEN no_k = 1 AND nl = 0 AND no > 0.05 THEN 'norm off at ' || site END,
+    CASE WHEN md_k = 1 AND ml = 0 AND md > 60.0 THEN 'magnitude too high at ' || site END, CASE WHEN low_k = 1 AND ml = 0 AND low THEN 'gravity missing at ' || site END,
+    CASE WHEN rm_k = 1 AND rl = 0 AND rm > 700.0 THEN 'rate too high at ' || site END]) AS message FROM ws
+  UNION ALL SELECT take, unnest([CASE WHEN nl > 0 THEN 'norm missing on valid rows' END, CASE WHEN ml > 0 THEN 'magnitude missing on valid rows' END, CASE WHEN rl > 0 THEN 'rate missing on valid rows' END,
+    CASE WHEN nb > 0 THEN 'norm present on invalid rows' END, CASE WHEN mb > 0 THEN 'magnitude present on invalid rows' END, CASE WHEN rb > 0 THEN 'rate present on invalid rows' END,
+    CASE WHEN cl > 0 THEN 'confidence missing' END, CASE WHEN cl = 0 AND cu > 0 THEN 'confidence on invalid rows' END, CASE WHEN cl = 0 AND cb > 0 THEN 'confidence outside (0, 1]' END,
+    CASE WHEN fn > 0 THEN 'force without contact' END, CASE WHEN pm > 0 THEN 'point missing in contact' END, CASE WHEN pn > 0 THEN 'point without contact' END,
+    CASE WHEN tl > 0 THEN 'time missing' END, CASE WHEN tl = 0 AND tb > 0 THEN 'times not increasing' END, CASE WHEN tl = 0 AND so > 90000.0 THEN 'time step off' END,
+    CASE WHEN us < 0.7 * ns THEN 'coverage too low' END]) FROM ws WHERE k = 1)"""
 
 
 def l2_findings(spark, folder):
+    rows = gappy(spark, folder).withColumn("at_s", F.expr(READINGS["at_s"]))
     return quality.physical_findings(
-        gappy(spark, folder), take="take", frame="frame", time="t_s", value="x", valid=F.expr(BAD_MASK), bands=BANDS
+        rows, take="take", site="site", frame="frame", time="at_s", columns={n: F.expr(e) for n, e in READINGS.items() if n != "at_s"}, bands=BANDS
     )
 
 
