@@ -1,7 +1,9 @@
 """Streaming forms against their batch results."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from motionframes.streaming import online
@@ -83,3 +85,26 @@ def test_every_event_is_in_a_window_and_a_session_when_the_stream_ends(spark):
         found = getattr(queries, name)(spark, folder).collect()
         assert sum(r["rows"] for r in found) == events
         assert len({tuple(r)[:2] for r in found}) == len(found)
+
+
+@pytest.mark.parametrize("block_us", [7_000_000, 10**12])
+def test_parts_merge_to_the_batch_result(spark, tmp_path, block_us):
+    """Rows dealt over micro-batches in any order, repeated times, sessions that only a later part connects, no row at all for a batch."""
+    r = random.Random(3)
+    rows = [(take, T0 + dt.timedelta(seconds=r.randrange(0, 900)), r.choice(["OBSERVED", "INTERPOLATED", "UNAVAILABLE"])) for take in ("a", "a", "a", "b") for _ in range(40)]
+    rows += [("c", None, "OBSERVED")]
+    frame = online.as_event_time(spark.createDataFrame(rows, "take string, ts timestamp_ntz, status string"), "ts")
+    frame.repartition(5).write.parquet(f"{tmp_path}/in")
+    frame.where("false").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    shares = {"keys": ["take"], "time": "ts", "status": "status", "width": "1 minute", "slide": "30 seconds"}
+    gap = {"keys": ["take"], "time": "ts", "gap": "10 seconds"}
+    parts = {}
+    for name, part in (("windows", lambda rows: online.window_parts(rows, **shares)), ("runs", lambda rows: online.run_parts(rows, **gap))):
+        online.keep_parts(stream, part, path=f"{tmp_path}/{name}", checkpoint=f"{tmp_path}/{name}-check").awaitTermination()
+        parts[name] = spark.read.schema(part(frame).schema.add("epoch", "long")).parquet(f"{tmp_path}/{name}")
+    assert parts["runs"].select("epoch").distinct().count() > 1
+    found = online.merged_windows(parts["windows"], keys=["take"], max_fraction=0.5)
+    assert sorted(found.collect()) == sorted(online.merged_windows(online.window_parts(frame, **shares), keys=["take"], max_fraction=0.5).collect())
+    runs = online.merged_runs(parts["runs"], keys=["take"], rows=block_us)
+    assert sorted(runs.collect()) == sorted(online.run_parts(frame, **gap).collect())

@@ -36,70 +36,61 @@ def run_to_end(df):
 
 
 STATUS = f"CASE WHEN {GAPPY} THEN CASE WHEN event_id % 14 < 2 THEN 'UNAVAILABLE' ELSE 'INTERPOLATED' END ELSE 'OBSERVED' END"
-MARK = "(SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM events)"
+DAYS = f"""WITH w AS (SELECT user_id AS take, epoch_us(ts) // 86400000000 AS d, count(*) AS rows, count(*) FILTER ({STATUS} = 'UNAVAILABLE') AS u, count(*) FILTER ({STATUS} = 'INTERPOLATED') AS i FROM events GROUP BY ALL)
+    SELECT take, d AS day, rows, round(i / rows, 6) + 0.0 AS fraction, u = 0 AND i / rows <= 0.3 AS accepted FROM w"""
+SESSIONS = """WITH t AS (SELECT user_id AS take, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY take ORDER BY t) <= 43200000000 THEN 0 ELSE 1 END AS n FROM t),
+    k AS (SELECT *, sum(n) OVER (PARTITION BY take ORDER BY t ROWS UNBOUNDED PRECEDING) AS s FROM g)
+    SELECT take, min(t) AS start_us, count(*) AS rows FROM k GROUP BY take, s"""
 
 
-@query(
-    "st1_quality_windows",
-    f"""WITH w AS (SELECT user_id AS take, epoch_us(ts) // 86400000000 AS d, count(*) AS rows, count(*) FILTER ({STATUS} = 'UNAVAILABLE') AS u, count(*) FILTER ({STATUS} = 'INTERPOLATED') AS i FROM events GROUP BY ALL)
-    SELECT take, d AS day, rows, round(i / rows, 6) + 0.0 AS fraction, u = 0 AND i / rows <= 0.3 AS accepted FROM w WHERE (d + 1) * 86400000000 <= {MARK}""",
-)
-def st1_quality_windows(spark, folder):
-    return day_windows(run_to_end(accepted(events_stream(spark, folder))))
+def scattered(spark, folder):
+    """The events in files that each cover the whole time, one a micro-batch: most rows come late."""
+    path = scratch(spark, "scattered")
+    events = table(spark, folder, "events")
+    events.repartition(4, F.xxhash64("event_id") % 4).write.parquet(path)
+    return observed(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path))
 
 
-def accepted(events):
-    return online.quality_windows(
-        events, keys=["take"], time="ts", status="status", delay="1 hour", width="1 day", slide=None, max_fraction=0.3
-    )
+def parts_of(stream, part):
+    """Runs the stream to its end and reads the parts of all micro-batches."""
+    spark = stream.sparkSession
+    base = scratch(spark, "parts")
+    online.keep_parts(stream, part, path=f"{base}/out", checkpoint=f"{base}/check").awaitTermination()
+    return spark.read.schema(part(stream).schema.add("epoch", "long")).parquet(f"{base}/out")
 
 
-def day_windows(found):
-    day = F.expr("unix_micros(start) div 86400000000L")
-    return found.select("take", day.alias("day"), "rows", r6("fraction").alias("fraction"), "accepted")
+def day_windows(stream):
+    parts = parts_of(stream, lambda rows: online.window_parts(rows, keys=["take"], time="ts", status="status", width="1 day", slide=None))
+    found = online.merged_windows(parts, keys=["take"], max_fraction=0.3)
+    return found.select("take", F.expr("unix_micros(start) div 86400000000L").alias("day"), "rows", r6("fraction").alias("fraction"), "accepted")
 
 
-@query(
-    "st1_all_quality_windows",
-    f"""WITH w AS (SELECT user_id AS take, epoch_us(ts) // 86400000000 AS d, count(*) AS rows, count(*) FILTER ({STATUS} = 'UNAVAILABLE') AS u, count(*) FILTER ({STATUS} = 'INTERPOLATED') AS i FROM events GROUP BY ALL)
-    SELECT take, d AS day, rows, round(i / rows, 6) + 0.0 AS fraction, u = 0 AND i / rows <= 0.3 AS accepted FROM w""",
-)
-def st1_all_quality_windows(spark, folder):
-    """With the windows that are open when the stream ends."""
-    rows = observed(table(spark, folder, "events"))
-    emitted = run_to_end(accepted(events_stream(spark, folder)))
-    return day_windows(online.with_open(emitted, accepted(rows), rows, time="ts", delay="1 hour"))
+def starts(stream):
+    parts = parts_of(stream, lambda rows: online.run_parts(rows, keys=["take"], time="ts", gap="12 hours"))
+    found = online.merged_runs(parts, keys=["take"], rows=30 * 86_400_000_000)
+    return found.select("take", F.unix_micros("start").alias("start_us"), "rows")
 
 
-@query(
-    "st2_activity_runs",
-    f"""WITH t AS (SELECT user_id AS take, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY take ORDER BY t) < 43200000000 THEN 0 ELSE 1 END AS n FROM t),
-    k AS (SELECT *, sum(n) OVER (PARTITION BY take ORDER BY t ROWS UNBOUNDED PRECEDING) AS s FROM g)
-    SELECT take, min(t) AS start_us, count(*) AS rows FROM k GROUP BY take, s HAVING max(t) + 43200000000 <= {MARK}""",
-)
-def st2_activity_runs(spark, folder):
-    return starts(run_to_end(active(events_stream(spark, folder))))
+@query("st1_quality_windows", DAYS)
+def st1_quality_windows(spark, folder):
+    return day_windows(events_stream(spark, folder))
 
 
-def active(events):
-    return online.activity_runs(events, keys=["take"], time="ts", delay="1 hour", gap="12 hours")
+@query("st1_all_quality_windows", DAYS)
+def st1_all_quality_windows(spark, folder):
+    """The same windows when most rows come late."""
+    return day_windows(scattered(spark, folder))
 
 
-def starts(found):
-    return found.select("take", F.unix_micros("start").alias("start_us"), "rows")
+@query("st2_activity_runs", SESSIONS)
+def st2_activity_runs(spark, folder):
+    return starts(events_stream(spark, folder))
 
 
-@query(
-    "st2_all_activity_runs",
-    """WITH t AS (SELECT user_id AS take, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY take ORDER BY t) < 43200000000 THEN 0 ELSE 1 END AS n FROM t),
-    k AS (SELECT *, sum(n) OVER (PARTITION BY take ORDER BY t ROWS UNBOUNDED PRECEDING) AS s FROM g)
-    SELECT take, min(t) AS start_us, count(*) AS rows FROM k GROUP BY take, s""",
-)
+@query("st2_all_activity_runs", SESSIONS)
 def st2_all_activity_runs(spark, folder):
-    """With the sessions that are open when the stream ends."""
-    rows = observed(table(spark, folder, "events"))
-    emitted = run_to_end(active(events_stream(spark, folder)))
-    return starts(online.with_open(emitted, active(rows), rows, time="ts", delay="1 hour"))
+    """The same sessions when most rows come late and many parts meet in one."""
+    return starts(scattered(spark, folder))
 
 
 @query("st3_without_resent", "SELECT user_id AS take, event_id AS frame FROM events")
