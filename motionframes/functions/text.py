@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import json
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Names that operating systems and sync clients leave behind.
 METADATA_NAMES = (".ds_store", ".localized", "desktop.ini", "thumbs.db")
@@ -133,31 +131,33 @@ def agreed(*witnesses: Column) -> tuple[Column, Column]:
     return value, reason
 
 
-LEAF = T.ArrayType(
-    T.StructType([T.StructField("path", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())])
-)
-
-
-@F.pandas_udf(LEAF)
-def json_leaves(documents: pd.Series) -> pd.Series:
-    """P5. Every leaf of a JSON document: dotted path, kind and text. Null for a malformed document."""
-
-    def walk(node, path, out):
-        if isinstance(node, dict):
-            for key, child in node.items():
-                walk(child, f"{path}.{key}" if path else key, out)
-        elif isinstance(node, list):
-            for index, child in enumerate(node):
-                walk(child, f"{path}.{index}" if path else str(index), out)
-        else:
-            kind = "string" if isinstance(node, str) else type(node).__name__
-            out.append({"path": path, "kind": kind, "value": node if isinstance(node, str) else json.dumps(node)})
-        return out
-
-    def leaves(text):
-        try:
-            return walk(json.loads(text), "", [])
-        except (TypeError, ValueError):
-            return None
-
-    return documents.map(leaves)
+def json_leaves(df: DataFrame, *keep: str, document: Column) -> DataFrame:
+    """P5. Every leaf of each row's JSON document: the kept columns, dotted path, kind and text.
+
+    Kinds are string, int, float, bool and null; a string is its own text, any other value its JSON text. Empty
+    objects and lists have no leaf, nor has a malformed or NULL document (a key named twice is malformed; what follows
+    the document's end isn't looked at).
+    Documents are parsed once and opened level by level, as many levels as the deepest one has; each level is
+    looked at, up to its first row, while the query is built.
+    """
+    rows = df.select(*keep, F.lit("").alias("path"), F.try_parse_json(document).alias("_v")).where("_v IS NOT NULL")
+    levels = []
+    while True:
+        typed = rows.withColumn("_t", F.schema_of_variant("_v"))
+        holds = F.col("_t").startswith("OBJECT<") | F.col("_t").startswith("ARRAY<")
+        kind = (
+            F.when(F.col("_t") == "STRING", "string")
+            .when(F.col("_t") == "BOOLEAN", "bool")
+            .when(F.col("_t") == "VOID", "null")
+            .when(F.col("_t").rlike(r"^BIGINT$|^DECIMAL\(\d+,0\)$"), "int")
+            .otherwise("float")
+        )
+        value = F.when(kind == "string", F.try_variant_get("_v", "$", "string")).otherwise(F.to_json("_v"))
+        levels.append(typed.where(~holds).select(*keep, "path", kind.alias("kind"), value.alias("value")))
+        inner = typed.where(holds)
+        if inner.isEmpty():
+            return reduce(DataFrame.unionByName, levels)
+        name = F.coalesce("key", F.col("pos").cast("string"))
+        path = F.when(F.col("path") == "", name).otherwise(F.concat("path", F.lit("."), name))
+        opened = inner.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+        rows = opened.select(*keep, path.alias("path"), F.col("value").alias("_v"))

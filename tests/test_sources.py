@@ -57,3 +57,28 @@ def test_escaped_checksum_names_round_trip(spark):
     lines = df.withColumn("line", files.sums_line(F.col("d"), F.col("n")))
     for r in files.parse_sums(lines, line="line").collect():
         assert (r.valid, r.digest, r.name) == (True, r.d, r.n)
+
+
+def test_json_leaves_against_a_walk(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from motionframes.functions.text import json_leaves
+
+    def walk(node, path=""):
+        inner = node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else None
+        if inner is None:
+            kind = {str: "string", bool: "bool", int: "int", float: "float"}.get(type(node), "null")
+            yield (path, kind, node if kind == "string" else json.dumps(node))
+        else:
+            for key, child in inner:
+                yield from walk(child, f"{path}.{key}" if path else str(key))
+
+    deep = {"a": {"b": {"c": {"d": {"e": [[], {}, [{"f": "end"}]]}}}}}
+    docs = [deep, {"x": [1, 2.5, True, None, "é \"q\"", ""], "y": {}, "z": -12345678901}, [], "text", 7, None, {"k.l": {"m n": [[["z"]]]}}, {"long": "w" * 100_000}]
+    rows = [(i, json.dumps(d)) for i, d in enumerate(docs)] + [(90, None), (91, ""), (92, '{"a": 1'), (93, '{"a": 1, "a": 2}')]
+    found = json_leaves(spark.createDataFrame(rows, "id int, doc string"), "id", document=F.col("doc"))
+    assert "Python" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect())) == sorted((i, *leaf) for i, d in enumerate(docs) for leaf in walk(d))
+    assert json_leaves(spark.createDataFrame([], "id int, doc string"), "id", document=F.col("doc")).collect() == []

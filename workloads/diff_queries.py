@@ -393,9 +393,9 @@ def trees(spark, folder):
         )
     )
     total = F.col("o_totalprice").cast("string")
-    a = o.select("o_orderkey", F.inline(X.json_leaves(doc(total, F.col("o_orderpriority")))))
+    a = X.json_leaves(o, "o_orderkey", document=doc(total, F.col("o_orderpriority")))
     other = F.when(F.col("o_orderkey") % 6 == 0, F.lit("changed")).otherwise(F.col("o_orderpriority"))
-    b = o.select("o_orderkey", F.inline(X.json_leaves(doc(F.when(F.col("o_orderkey") % 10 == 0, F.lit("0")).otherwise(total), other))))
+    b = X.json_leaves(o, "o_orderkey", document=doc(F.when(F.col("o_orderkey") % 10 == 0, F.lit("0")).otherwise(total), other))
     return a, b
 
 

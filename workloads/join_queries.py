@@ -170,7 +170,7 @@ def j16_source_references(spark, folder):
     doc = F.when(F.col("turn") == 0, F.to_json(F.struct(ref.alias("source")))).otherwise(
         F.to_json(F.struct(F.struct(ref.alias("pose")).alias("inputs")))
     )
-    leaves = c.select(F.concat_ws("/", "conv_id", "turn").alias("take"), F.inline(X.json_leaves(doc)))
+    leaves = X.json_leaves(c.select(F.concat_ws("/", "conv_id", "turn").alias("take"), doc.alias("doc")), "take", document=F.col("doc"))
     return joins.source_references(leaves, take="take")
 
 

@@ -20,7 +20,7 @@ FIND = ["take", "level", "severity", "message"]
 
 PATHS = "CASE WHEN doc_id % 9 = 0 THEN '/data/' || source || '/x.bin' WHEN doc_id % 9 = 1 THEN 'C:\\raw\\x' ELSE source || '/' || doc_id || '.bin' END"
 VERSION = "CASE WHEN doc_id % 13 = 0 THEN '1.2.3' WHEN doc_id % 17 = 0 THEN 'canonical-2' WHEN doc_id % 5 <> 0 THEN 'tag-1' END"
-SCOPE = "CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 'public' ELSE 'internal_only' END"
+SCOPE = "CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 'public' ELSE 'restricted' END"
 MANIFESTS = f"""mf AS (SELECT doc_id AS take, source, lang, {PATHS} AS path, {VERSION} AS spec_version, {SCOPE} AS scope,
   CASE WHEN doc_id % 31 <> 0 THEN 'poc-' || lang END AS contract, doc_id % 29 <> 0 AS readable FROM documents)"""
 
@@ -36,7 +36,7 @@ def manifest_texts(spark, folder):
             sql(SCOPE).alias("distribution_scope"),
         )
     )
-    broken = F.when(F.col("doc_id") % 29 == 0, F.substring(doc, 1, 20)).otherwise(doc)
+    broken = F.when(F.col("doc_id") % 29 == 0, F.regexp_replace(doc, r"\}$", ', "tail": ')).otherwise(doc)
     return d.select(F.col("doc_id").alias("take"), "source", "lang", broken.alias("text"))
 
 
@@ -49,7 +49,7 @@ def manifests(spark, folder):
 
 
 def manifest_leaves(spark, folder):
-    return manifest_texts(spark, folder).select("take", F.inline(X.json_leaves(F.col("text"))))
+    return X.json_leaves(manifest_texts(spark, folder), "take", document=F.col("text"))
 
 
 @query("s4_manifests", f"WITH {MANIFESTS} SELECT take, readable, CASE WHEN readable THEN source END AS source_name, CASE WHEN readable THEN spec_version END AS spec_version FROM mf")
@@ -67,7 +67,7 @@ def p5_absolute_paths(spark, folder):
 
 RULES = f"""{MANIFESTS}, ru AS (SELECT take, unnest([
   CASE WHEN NOT readable THEN 'unreadable manifest' END,
-  CASE WHEN readable AND scope IS NULL THEN 'missing distribution_scope' END, CASE WHEN readable AND scope <> 'internal_only' THEN 'wrong distribution_scope' END,
+  CASE WHEN readable AND scope IS NULL THEN 'missing distribution_scope' END, CASE WHEN readable AND scope <> 'restricted' THEN 'wrong distribution_scope' END,
   CASE WHEN readable AND spec_version <> 'tag-1' THEN 'wrong spec_version' END, CASE WHEN readable AND regexp_matches(spec_version, '^\\d+\\.\\d+\\.\\d+$') THEN 'bare version number' END,
   CASE WHEN readable AND spec_version LIKE 'canonical%' THEN 'banned token in lineage' END, CASE WHEN readable AND contract IS NULL THEN 'missing contract id' END,
   CASE WHEN readable AND regexp_matches(path, '^/[^/]+/|^[A-Za-z]:[\\\\/]') THEN 'absolute path at source.files.0' END]) AS message FROM mf)"""
@@ -75,13 +75,13 @@ RULES = f"""{MANIFESTS}, ru AS (SELECT take, unnest([
 
 @query("q6_governance_findings", f"WITH {RULES} SELECT take, 'L4' AS level, 'FAIL' AS severity, message FROM ru WHERE message IS NOT NULL")
 def q6_governance_findings(spark, folder):
-    out = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="internal_only")
+    out = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="restricted")
     return out.select(*FIND)
 
 
 @query("p6_lineage_rules", f"WITH {RULES} SELECT take, message FROM ru WHERE message IS NOT NULL AND message NOT LIKE 'absolute%' AND message NOT LIKE 'unreadable%'")
 def p6_lineage_rules(spark, folder):
-    rules = quality.governance_rules("spec", "tag-1", "internal_only")
+    rules = quality.governance_rules("spec", "tag-1", "restricted")
     readable = manifests(spark, folder).where("readable")
     return quality.failed_rules(readable, rules, level="L4", check="governance", keep=["take"]).select("take", "message")
 
@@ -413,7 +413,7 @@ def q4_physical_findings(spark, folder):
     SELECT level, grouping(level)::BIGINT AS total_row, count(*) AS fail, 0::BIGINT AS warn, false AS passed FROM al GROUP BY ROLLUP (level)""",
 )
 def a8_findings_roll_up(spark, folder):
-    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="internal_only")
+    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="restricted")
     return quality.roll_up_findings(sets.all_findings(governance, l2_findings(spark, folder)))
 
 
@@ -423,7 +423,7 @@ def a8_findings_roll_up(spark, folder):
     SELECT take, message, NULL::DOUBLE AS amount FROM ru WHERE message IS NOT NULL UNION ALL SELECT take, 'too much', round(q, 6) + 0.0 FROM l""",
 )
 def o4_all_findings(spark, folder):
-    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="internal_only")
+    governance = quality.governance_findings(manifests(spark, folder), manifest_leaves(spark, folder), take="take", spec_id="spec", spec_version="tag-1", scope="restricted")
     heavy = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("take")).agg(r6(F.sum("l_quantity")).alias("amount")).where("amount > 200")
     heavy = heavy.withColumn("message", F.lit("too much"))
     return sets.all_findings(governance.select("take", "message"), heavy)
