@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -181,12 +182,36 @@ def similar(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(np.triu((100 * both >= LINK * union) & (both > 0), 1))
 
 
-def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each member of a cell with the first that confirmed links of the cell lead to."""
-    for rows in _grouped(batches, "cell"):
-        ids = rows["rep"].to_numpy()
-        root = local_roots(len(ids), *similar([np.frombuffer(s, np.uint64) for s in rows["shingles"]]))
-        yield pd.DataFrame({"src": ids, "dst": ids[root]})[ids != ids[root]]
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member of a cell with the first that confirmed links of the cell lead to, from batches sorted by cell. Sets are read in place."""
+
+    def links(cell: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.concatenate([part["rep"].to_numpy() for part in cell])
+        root = local_roots(len(ids), *similar([_held(s) for part in cell for s in part["shingles"]]))
+        differ = ids != ids[root]
+        return ids[differ], ids[root][differ]
+
+    open_, last = [], None
+    for batch in batches:
+        cells, out = batch["cell"].to_numpy(), []
+        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.zeros(0, int)
+        for a, b in zip(starts, np.append(starts[1:], len(cells))):
+            if open_ and cells[a] != last:
+                out.append(links(open_))
+                open_ = []
+            open_.append(batch.slice(a, b - a))
+            last = cells[a]
+        yield _links(out)
+    if open_:
+        yield _links([links(open_)])
+
+
+def _links(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    return pa.record_batch({c: np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]]) for k, c in enumerate(("src", "dst"))})
+
+
+def _held(shingles: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(shingles.as_buffer(), np.uint64)
 
 
 def _in_cells(rows: DataFrame, reps: DataFrame, *order: str) -> DataFrame:
@@ -226,18 +251,18 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     pairs = checkpointed(pairs)
     held = sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch["x"], batch["y"]):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                p, q = _held(x), _held(y)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= LINK * (len(p) + len(q) - both))
-            yield batch.loc[keep, ["src", "dst"]]
+            yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
     one = pairs.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     two = one.join(held.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return saved(two.select(F.col("a").alias("src"), F.col("b").alias("dst"), "x", "y").mapInPandas(check, "src long, dst long"), "forest-links")
+    return saved(two.select(F.col("a").alias("src"), F.col("b").alias("dst"), "x", "y").mapInArrow(check, "src long, dst long"), "forest-links")
 
 
 def within_cells(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -245,7 +270,7 @@ def within_cells(docs: DataFrame, members: DataFrame) -> DataFrame:
     members = saved(members, "forest-likely")
     held = sets_of(docs, members.select(F.col("rep").alias("id")).distinct())
     rows = members.join(held.withColumnRenamed("id", "rep"), "rep").repartition("cell").sortWithinPartitions("cell")
-    return saved(rows.mapInPandas(_joined, "src long, dst long"), "forest-joined")
+    return saved(rows.mapInArrow(_joined, "src long, dst long"), "forest-joined")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -140,7 +140,7 @@ class Encoder:
                     ids.append(last[end])
                 end = back[end]
             self.held[word] = array("i", ids[::-1]).tobytes()
-        if len(allowed) > 2_000_000:
+        if len(allowed) > 500_000:
             allowed.clear()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -176,7 +176,7 @@ def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
     ids are those the vocabulary's own library gives. A null or empty text has none. round_trip says that decoding
     gives the text back (null: the empty text; U+2581 comes back as the space it stands for).
-    Tasks work on slices of about 4 million characters and share nothing but the vocabulary, which has a fixed size.
+    Tasks work on slices of about a million characters and share nothing but the vocabulary, which has a fixed size.
     """
     held = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
@@ -184,7 +184,7 @@ def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
         encoder, decoder = Encoder(held.value), Decoder(held.value)
         for batch in batches:
             ids, at = batch.column(0), 0
-            for texts in slices(batch.column(1).to_pylist()):
+            for texts in slices(batch.column(1).to_pylist(), 1 << 20):
                 codes = encoder.encode(texts)
                 same = [decoder.decode(np.frombuffer(c, np.int32)) == (t or "").replace(MARK, " ") for c, t in zip(codes, texts)]
                 sizes = np.array([len(c) // 4 for c in codes], np.int32)
