@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import quat as Q
 from .blocks import BLOCK_ROWS, running_steps, small
 from .quantiles import exact_quantiles
+from .slopes import median_slopes
 
 
 def magnitude_bands(
@@ -191,71 +189,6 @@ def mean_direction(df: DataFrame, *, keys: Sequence[str], vector: str) -> DataFr
     return mean.select(*keys, Q.unit(Q.vec(*[F.col(c) for c in "xyz"])).alias("direction"))
 
 
-def _count_at_most(x: np.ndarray, y: np.ndarray, slope: float) -> int:
-    """Pairs of points (x increasing) whose slope is at most ``slope``: inversions of y - slope x."""
-    z = y - slope * x
-    n = len(z)
-    total = 0
-    width = 1
-    at = np.arange(n)
-    while width < n:
-        block = at // (2 * width)
-        left = (at // width) % 2 == 0
-        # Right values come before equal left values, so an equal pair counts.
-        order = np.lexsort((left, z, block))
-        is_left = left[order]
-        seen = np.cumsum(is_left)
-        first = np.searchsorted(block[order], np.arange(block[-1] + 1), side="left")
-        before = np.where(first > 0, seen[np.maximum(first - 1, 0)], 0)
-        lefts = np.bincount(block, weights=left).astype(np.int64)
-        b = block[order]
-        remaining = lefts[b] - (seen - before[b])
-        total += int(remaining[~is_left].sum())
-        width *= 2
-    return total
-
-
-def _from_bits(bits: int) -> float:
-    return float(np.array([bits if bits >= 0 else -(2**63) - bits - 1], dtype=np.int64).view(np.float64)[0])
-
-
-def median_pair_slope(x: np.ndarray, y: np.ndarray) -> float | None:
-    """Median slope over all pairs with different x, without holding the pairs.
-
-    The wanted order statistics are found by bisection over doubles; each probe counts the pairs
-    below it by sorting.
-    """
-    order = np.lexsort((y, x))
-    x, y = x[order].astype(float), y[order].astype(float)
-    _, tied = np.unique(x, return_counts=True)
-    n = len(x)
-    pairs = n * (n - 1) // 2 - int((tied * (tied - 1) // 2).sum())
-    if pairs == 0:
-        return None
-    if n <= 600:
-        i, j = np.triu_indices(n, 1)
-        dx = x[j] - x[i]
-        keep = dx != 0
-        return float(np.median((y[j] - y[i])[keep] / dx[keep]))
-    # Pairs with equal x never invert when sorted by y, except exact duplicates, which always count.
-    _, same = np.unique(np.stack([x, y]), axis=1, return_counts=True)
-    always = int((same * (same - 1) // 2).sum())
-
-    def order_statistic(k: int) -> float:
-        low, high = -(2**62) * 2 + 2**52, 2**63 - 2**52 - 1
-        while low < high:
-            middle = (low + high) // 2
-            if _count_at_most(x, y, _from_bits(middle)) - always >= k:
-                high = middle
-            else:
-                low = middle + 1
-        return _from_bits(low)
-
-    if pairs % 2:
-        return order_statistic(pairs // 2 + 1)
-    return 0.5 * (order_statistic(pairs // 2) + order_statistic(pairs // 2 + 1))
-
-
 def robust_slopes(
     points: DataFrame,
     rows: DataFrame,
@@ -268,20 +201,14 @@ def robust_slopes(
 ) -> DataFrame:
     """A24. Median of the pairwise slopes between segment points; least squares below two segments.
 
-    Only one point per segment reaches a task, never the rows, and the pairs are not formed.
+    Only one point per segment is compared, never the rows, and the pairs are not formed. Two or more segments that all have
+    the same x have a NULL slope.
     """
     names = list(keys)
-    schema = T.StructType([points.schema[k] for k in names] + [T.StructField("_ts", T.DoubleType())])
-
-    def one_key(piece: pd.DataFrame) -> pd.DataFrame:
-        slope = median_pair_slope(piece[x].to_numpy(), piece[y].to_numpy()) if len(piece) > 1 else None
-        return pd.DataFrame([[*[piece[k].iloc[0] for k in names], slope]], columns=[*names, "_ts"])
-
-    pairwise = points.select(*names, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
-    pairwise = pairwise.groupBy(*names).applyInPandas(one_key, schema)
+    pairwise = median_slopes(points, keys=names, x=x, y=y).withColumnRenamed("slope", "_ts")
     counts = points.groupBy(*names).agg(F.count(F.lit(1)).alias("segments"))
     line = rows.groupBy(*names).agg(F.regr_slope(F.col(row_y), F.col(row_x)).alias("_ls"))
-    return counts.join(pairwise, names).join(line, names).select(
+    return counts.join(line, names).join(pairwise, names, "left").select(
         *names, "segments", F.when(F.col("segments") >= 2, F.col("_ts")).otherwise(F.col("_ls")).alias("slope")
     )
 

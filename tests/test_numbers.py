@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from motionframes.functions import quat as Q
-from motionframes.operators import gaps, rigid, stats, windows
+from motionframes.operators import gaps, rigid, windows
 from motionframes.operators.quantiles import exact_quantiles
+from motionframes.operators.slopes import crossed, inversions, median_slopes
 
 KEYS = {"keys": ["take"], "frame": "frame"}
 
@@ -34,16 +35,48 @@ def test_quantiles_of_large_groups_are_exact(spark):
             assert found[k][name] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
-def test_median_pair_slope_without_pairs():
+def median_of_all_pairs(x, y):
+    i, j = np.triu_indices(len(x), 1)
+    keep = x[j] != x[i]
+    return np.median((y[j] - y[i])[keep] / (x[j] - x[i])[keep]) if keep.any() else None
+
+
+@pytest.mark.parametrize("rows", [4096, 7])
+def test_median_slopes_of_all_keys_without_pairs(spark, rows):
     rng = np.random.default_rng(5)
-    for n in (601, 900):
+    keys = {}
+    for key, n in {"two": 2, "three": 3, "even": 300, "odd": 301}.items():
         x = np.round(rng.uniform(0, 50, n), 1)
-        y = 0.3 * x + rng.standard_cauchy(n)
-        i, j = np.triu_indices(n, 1)
-        keep = x[j] != x[i]
-        brute = np.median((y[j] - y[i])[keep] / (x[j] - x[i])[keep])
-        assert stats.median_pair_slope(x, y) == pytest.approx(brute, rel=1e-9, abs=1e-12)
-    assert stats.median_pair_slope(np.array([1.0, 1.0]), np.array([2.0, 3.0])) is None
+        keys[key] = x, 0.3 * x + rng.standard_cauchy(n)
+    x = np.repeat(np.round(rng.uniform(0, 9, 60), 1), 2)
+    keys["repeated"] = x, np.repeat(np.round(rng.uniform(0, 9, 60), 1), 2)
+    keys["flat"] = x, np.zeros(120)
+    keys["whole numbers far away"] = x + 1e6, np.round(3.0 * x)
+    for n in range(9, 25):
+        x = np.sort(rng.uniform(1e5, 2e6, n))
+        keys[f"small slopes {n}"] = x, rng.uniform(0, 100, n)
+    keys["upright"] = np.ones(4), np.arange(4.0)
+    lines = [(key, float(a), float(b)) for key, (x, y) in keys.items() for a, b in zip(x, y)]
+    lines += [("two", None, 1.0), ("two", float("nan"), 1.0), ("two", 1.0, float("inf")), ("none", None, None)]
+    df = spark.createDataFrame(lines, "k string, x double, y double")
+    found = {r.k: r.slope for r in median_slopes(df, keys=["k"], x="x", y="y", rows=rows).collect()}
+    assert set(found) == set(keys) - {"upright"}
+    for key, slope in found.items():
+        assert slope == pytest.approx(median_of_all_pairs(*keys[key]), rel=1e-14, abs=1e-300), key
+
+
+def test_crossed_pairs_by_rank():
+    rng = np.random.default_rng(6)
+    x = np.sort(np.round(rng.uniform(0, 9, 90), 1))
+    y = np.round(rng.uniform(0, 9, 90), 1)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    i, j = np.triu_indices(90, 1)
+    keep = x[j] > x[i]
+    slopes = (y[j] - y[i])[keep] / (x[j] - x[i])[keep]
+    probes = np.array([-3.3, -0.01, 0.01, 0.77, 5.1])
+    assert crossed(x, y, probes).tolist() == [int((slopes <= p).sum()) for p in probes]
+    assert inversions(np.array([[3, 1, 2, 0], [0, 1, 2, 3], [3, 2, 1, 0]])).tolist() == [5, 0, 6]
 
 
 def test_spherical_fill_follows_a_constant_rate(spark):
