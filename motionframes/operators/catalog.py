@@ -91,15 +91,48 @@ def changes_between(before: DataFrame, after: DataFrame, *, key: str, value: Seq
     )
 
 
-def as_of(current: DataFrame, journal: DataFrame, *, key: str, value: Sequence[str], sequence: int) -> DataFrame:
+def as_of(current: DataFrame, journal: DataFrame, *, key: str | Sequence[str], value: Sequence[str], sequence: int) -> DataFrame:
     """W25. The table right after journal record ``sequence``: the first later change of a key holds
-    the value it had; a key added later was not there."""
+    the value it had; a key added later was not there. All records of ``journal`` reached the table
+    (``as_of_story`` also reads journals with records that did not)."""
+    keys = [key] if isinstance(key, str) else list(key)
     later = journal.where(F.col("sequence") > sequence)
-    taken_back = later.groupBy(key).agg(F.min_by(F.struct("old"), F.col("sequence")).alias("_o"))
-    now = current.select(key, F.struct(*value).alias("_now"))
-    joined = now.join(taken_back, key, "full_outer")
+    taken_back = later.groupBy(*keys).agg(F.min_by(F.struct("old"), F.col("sequence")).alias("_o"))
+    now = current.select(*keys, F.struct(*value).alias("_now"))
+    joined = now.join(taken_back, keys, "full_outer")
     then = F.when(F.col("_o").isNotNull(), F.col("_o.old")).otherwise(F.col("_now"))
-    return joined.withColumn("_then", then).where(F.col("_then").isNotNull()).select(key, F.col("_then.*"))
+    return joined.withColumn("_then", then).where(F.col("_then").isNotNull()).select(*keys, F.col("_then.*"))
+
+
+def as_of_problems(records: DataFrame, digests: DataFrame, *, file: str, sequence: int, rows: int) -> DataFrame:
+    """W25. Files that can't be rebuilt as of record ``sequence``, and why.
+
+    The record must be in the journal and have reached the file, and every later one must be explained. Record 0 is the file
+    before its first write. ``digests`` has one row per file there is.
+    """
+    story = journal_story(records, digests, file=file, rows=rows)
+    mine, later = F.col("sequence") == sequence, F.col("sequence") > sequence
+    told = story.groupBy(file).agg(
+        F.max(F.when(mine, F.col("story"))).alias("_mine"), F.bool_or(later & (F.col("story") == "unexplained")).alias("_broken")
+    )
+    at_record = F.when(F.col("_mine").isNull(), "no such record").when(F.col("_mine") == "unapplied", "record was never applied")
+    at_record = at_record.when(F.col("_mine") == "unexplained", "record can't be explained")
+    problem = F.coalesce(*([at_record] if sequence else []), F.when(F.col("_broken"), "a later record can't be explained"))
+    return digests.select(file).join(told, file, "left").select(file, problem.alias("problem")).where("problem is not null")
+
+
+def as_of_story(
+    current: DataFrame, changes: DataFrame, records: DataFrame, digests: DataFrame, *, file: str, key: str, value: Sequence[str], sequence: int, rows: int
+) -> DataFrame:
+    """W25. Every file right after its record ``sequence``; only records that reached a file are taken back.
+
+    ``changes`` has the old and new value per file, sequence and key; ``records`` the digests before and after each write. Files in
+    ``as_of_problems`` are left out.
+    """
+    landed = journal_story(records, digests, file=file, rows=rows).where("story = 'applied'").select(file, "sequence")
+    taken_back = changes.where(F.col("sequence") > sequence).join(landed, [file, "sequence"], "left_semi")
+    then = as_of(current, taken_back, key=[file, key], value=value, sequence=sequence)
+    return then.join(as_of_problems(records, digests, file=file, sequence=sequence, rows=rows), file, "left_anti")
 
 
 def journal_story(journal: DataFrame, current: DataFrame, *, file: str, rows: int) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from motionframes.functions import text as X
 from motionframes.operators import catalog, diff, sets
+from motionframes.operators.blocks import dense_frames
 
 from .base import long, query, table
 
@@ -206,14 +208,60 @@ def w25_as_of_start(spark, folder):
     return catalog.as_of(now, log, key="asset_id", value=["sha256"], sequence=0)
 
 
+WRITES = """jr AS (SELECT l_orderkey AS file, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS sequence,
+  l_partkey % 3 AS slot, l_quantity::DOUBLE AS v FROM lineitem)"""
+
+
+def writes(spark, folder):
+    """Each line item as a write to one of three slots of its order; every fourth one did not land, and some orders were changed by other hands.
+
+    Returns the slots now, the journalled changes, the journal records and the orders' digests.
+    """
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    li = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "file")
+    lines = dense_frames(li, keys=["file"], order=order, frame="n").select(
+        "file", (F.col("n") + 1).alias("sequence"), (F.col("l_partkey") % 3).alias("slot"), F.col("l_quantity").cast("double").alias("v")
+    )
+    lines = lines.withColumn("landed", (F.col("file") + F.col("sequence")) % 4 != 0)
+    before = Window.orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.coalesce(F.count_if("landed").over(before.partitionBy("file")), F.lit(0))
+    old = F.last(F.when(F.col("landed"), F.struct("v")), ignorenulls=True).over(before.partitionBy("file", "slot"))
+    digest = lambda n: F.concat(F.lit("d"), n.cast("string"))
+    after = F.when(F.col("landed"), digest(state + 1)).otherwise("lost")
+    records = lines.select("file", "sequence", digest(state).alias("before"), after.alias("after"))
+    changes = lines.select("file", "sequence", "slot", old.alias("old"), F.struct("v").alias("new"))
+    now = lines.where("landed").groupBy("file", "slot").agg(F.max_by("v", "sequence").alias("v"))
+    final = F.when(F.col("file") % 50 == 0, "other").otherwise(digest(F.count_if("landed")))
+    return now, changes, records, lines.groupBy("file").agg(final.alias("digest"))
+
+
+@query(
+    "w25_as_of_story",
+    f"""WITH {WRITES}, good AS (SELECT file FROM jr GROUP BY file HAVING bool_or(sequence = 2 AND (file + 2) % 4 <> 0) AND file % 50 <> 0)
+    SELECT file, slot::BIGINT AS slot, arg_max(v, sequence) AS v FROM jr JOIN good USING (file) WHERE sequence <= 2 AND (file + sequence) % 4 <> 0 GROUP BY file, slot""",
+)
+def w25_as_of_story(spark, folder):
+    out = catalog.as_of_story(*writes(spark, folder), file="file", key="slot", value=["v"], sequence=2, rows=1000)
+    return out.select("file", long("slot").alias("slot"), "v")
+
+
+@query(
+    "w25_as_of_problems",
+    f"""WITH {WRITES}, n AS (SELECT file, max(sequence) AS m FROM jr GROUP BY file)
+    SELECT file, CASE WHEN m < 2 THEN 'no such record' WHEN m = 2 AND file % 50 = 0 THEN 'record can''t be explained' WHEN (file + 2) % 4 = 0 THEN 'record was never applied'
+      ELSE 'a later record can''t be explained' END AS problem FROM n WHERE m < 2 OR file % 50 = 0 OR (file + 2) % 4 = 0""",
+)
+def w25_as_of_problems(spark, folder):
+    _, _, records, digests = writes(spark, folder)
+    return catalog.as_of_problems(records, digests, file="file", sequence=2, rows=1000)
+
+
 RECORDS = """jr AS (SELECT l_orderkey AS file, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS sequence, l_partkey FROM lineitem),
 rec AS (SELECT file, sequence, 'd' || (sequence - 1) AS before, CASE WHEN (file + sequence) % 4 = 0 THEN 'lost' ELSE 'd' || sequence END AS after FROM jr)"""
 
 
 def journal_records(spark, folder):
     """Line items as journal records of their order: some writes never landed."""
-    from motionframes.operators.blocks import dense_frames
-
     li = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("file"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     n = dense_frames(li, keys=["file"], order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], frame="n")
     sequence = (F.col("n") + 1).alias("sequence")
