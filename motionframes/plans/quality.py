@@ -320,7 +320,7 @@ def conformance_findings(
 
 
 def limitation_problems(entries: DataFrame, *, id_: str, kinds: Sequence[str], severities: Sequence[str], statuses: Sequence[str], levels: Sequence[str]) -> DataFrame:
-    """Q11. Every way an entry breaks its schema."""
+    """Q11. Ways in which an entry's extracted columns break its schema; ``entry_problems`` reads whole entries."""
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
     outside = lambda c, values: ~F.coalesce(F.col(c).isin(*values), F.lit(False))
     rules = {
@@ -337,6 +337,54 @@ def limitation_problems(entries: DataFrame, *, id_: str, kinds: Sequence[str], s
     return entries.select(id_, F.explode(hits).alias("problem"))
 
 
+def entry_problems(
+    entries: DataFrame, *, file: str, position: str, entry: str, required: Sequence[str], optional: Sequence[str], scope_lists: Mapping[str, str | None],
+    kinds: Sequence[str], severities: Sequence[str], statuses: Sequence[str], levels: Sequence[str],
+) -> DataFrame:
+    """Q11. Every way in which limitation entries, given as JSON text by file and position, break their schema.
+
+    ``scope_lists`` names the scope's lists with the scope level that needs one filled. An entry that is no JSON object has that one
+    problem. Of the entries of a file with one id (or without), all but the first are duplicates.
+    """
+    value = lambda path: F.get_json_object(entry, f"$.{path}")
+    blank = lambda path: F.trim(F.coalesce(value(path), F.lit(""))) == ""
+    outside = lambda path, values: ~F.coalesce(value(path).isin(*values), F.lit(False))
+    listed = lambda path: F.try_variant_get("_v", f"$.{path}", "array<variant>")
+    fields = lambda path: F.map_keys(F.try_variant_get("_v", path, "map<string,variant>"))
+    strange = lambda c, known: F.array_sort(F.array_except(c, F.array(*[F.lit(k) for k in known])))
+    no_list = lambda path: value(path).isNotNull() & listed(path).isNull()
+    rows = entries.select(file, position, entry, F.try_parse_json(entry).alias("_v"), F.concat(F.lit("id "), value("id")).alias("_id"))
+    rows = rows.withColumns({"_fields": fields("$"), "_scope": fields("$.scope"), "_id": F.coalesce("_id", F.lit("none"))})
+    first = rows.where("_fields is not null").groupBy(file, "_id").agg(F.min(position).alias("_first"))
+    rows = rows.join(first, [file, "_id"], "left")
+    scoped = F.col("_scope").isNotNull()
+    rules = {
+        **{f"missing {name}": blank(name) for name in required if name != "scope"},
+        "unknown kind": outside("kind", kinds),
+        "unknown severity": outside("severity", severities),
+        "unknown status": outside("status", statuses),
+        "fixed without fixed_in": (value("status") == "fixed") & blank("fixed_in"),
+        "mitigated without mitigation": (value("status") == "mitigated") & blank("mitigation"),
+        "since is not a date": F.try_to_date(value("since"), "yyyy-MM-dd").isNull(),
+        "scope is not an object": ~scoped,
+        "unknown scope level": scoped & outside("scope.level", levels),
+        **{f"scope.{name} is not a list": scoped & no_list(f"scope.{name}") for name in scope_lists},
+        **{
+            f"scope.{name} is empty": (value("scope.level") == level) & (F.coalesce(F.trim(value(f"scope.{name}")), F.lit("")).isin("", "[]"))
+            for name, level in scope_lists.items() if level
+        },
+        "related is not a list": no_list("related"),
+        "duplicate id": F.col(position) > F.col("_first"),
+    }
+    hits = F.array_compact(F.array(*[F.when(F.coalesce(broken, F.lit(False)), F.lit(name)) for name, broken in rules.items()]))
+    named = lambda c, text: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda n: F.concat(F.lit(text), n))
+    unknown = named(strange(F.col("_fields"), [*required, *optional]), "unknown field ")
+    beyond = named(strange(F.col("_scope"), ["level", *scope_lists]), "unknown scope field ")
+    none = F.array(F.lit("entry is not an object"))
+    problems = F.when(F.col("_fields").isNull(), none).otherwise(F.concat(hits, unknown, beyond))
+    return rows.select(file, position, F.explode(problems).alias("problem"))
+
+
 # -- roll-up and small row rules ---------------------------------------------------------------
 
 

@@ -352,6 +352,38 @@ def q11_limitation_problems(spark, folder):
     )
 
 
+# How the parts' entries are written and which of them break a rule, for Spark and for DuckDB.
+ENTRY = """CASE WHEN k % 101 = 0 THEN '[' ELSE concat('{"id": "L', CASE WHEN k % 17 = 1 THEN k - 1 ELSE k END, '", "kind": "data", "severity": "major", "consequence": "c", "statement": "',
+  CASE WHEN k % 6 = 0 THEN ' ' ELSE 's' END, '"', CASE WHEN k % 10 = 0 THEN '' ELSE ', "evidence": "e"' END, CASE WHEN k % 9 = 0 THEN ', "note": 1' ELSE '' END,
+  CASE k % 8 WHEN 0 THEN ', "related": "a"' WHEN 1 THEN ', "related": ["a"]' ELSE '' END, ', "status": "', CASE k % 3 WHEN 0 THEN 'fixed' WHEN 1 THEN 'mitigated' ELSE 'later' END, '"',
+  CASE WHEN k % 2 = 0 THEN ', "fixed_in": "2"' ELSE ', "mitigation": "m"' END, ', "since": "2024-', CASE WHEN p_size > 40 THEN '13' ELSE '02' END, '-01", "scope": ',
+  CASE WHEN k % 13 = 0 THEN '"all"' ELSE concat('{"level": "', CASE k % 4 WHEN 0 THEN 'site' WHEN 1 THEN 'take' WHEN 2 THEN 'bundle' ELSE 'galaxy' END, '", "sites": ',
+    CASE k % 5 WHEN 0 THEN '[]' WHEN 1 THEN '"hip"' ELSE '["hip"]' END, CASE WHEN k % 7 = 0 THEN ', "takes": ["t"]' ELSE '' END, CASE WHEN k % 14 = 0 THEN ', "colour": 1' ELSE '' END, '}') END, '}') END"""
+
+
+@query(
+    "q11_entry_problems",
+    """WITH e AS (SELECT p_partkey AS k, p_size, p_partkey % 13 <> 0 AS o FROM part),
+    m AS (SELECT k, unnest(CASE WHEN k % 101 = 0 THEN ['entry is not an object'] ELSE [CASE WHEN k % 6 = 0 THEN 'missing statement' END, CASE WHEN k % 10 = 0 THEN 'missing evidence' END,
+      CASE WHEN k % 9 = 0 THEN 'unknown field note' END, CASE WHEN k % 8 = 0 THEN 'related is not a list' END, CASE WHEN k % 3 = 2 THEN 'unknown status' END,
+      CASE WHEN k % 3 = 0 AND k % 2 = 1 THEN 'fixed without fixed_in' END, CASE WHEN k % 3 = 1 AND k % 2 = 0 THEN 'mitigated without mitigation' END,
+      CASE WHEN p_size > 40 THEN 'since is not a date' END, CASE WHEN NOT o THEN 'scope is not an object' END, CASE WHEN o AND k % 4 = 3 THEN 'unknown scope level' END,
+      CASE WHEN o AND k % 5 = 1 THEN 'scope.sites is not a list' END, CASE WHEN o AND k % 4 = 0 AND k % 5 = 0 THEN 'scope.sites is empty' END,
+      CASE WHEN o AND k % 4 = 1 AND k % 7 <> 0 THEN 'scope.takes is empty' END, CASE WHEN o AND k % 14 = 0 THEN 'unknown scope field colour' END,
+      CASE WHEN k % 17 = 1 AND (k - 1) % 101 <> 0 AND k > 1 THEN 'duplicate id' END] END) AS problem FROM e)
+    SELECT k // 17 AS file, k AS position, problem FROM m WHERE problem IS NOT NULL""",
+)
+def q11_entry_problems(spark, folder):
+    parts = table(spark, folder, "part").withColumn("k", F.col("p_partkey").cast("bigint"))
+    entries = parts.select(F.expr("k div 17").alias("file"), F.col("k").alias("position"), F.expr(ENTRY).alias("entry"))
+    return quality.entry_problems(
+        entries, file="file", position="position", entry="entry",
+        required=["id", "kind", "severity", "scope", "statement", "consequence", "evidence", "status", "since"], optional=["mitigation", "related", "fixed_in"],
+        scope_lists={"sites": "site", "arrays": "array", "takes": "take", "subjects": None, "files": None},
+        kinds=["data", "method"], severities=["minor", "major"], statuses=["open", "fixed", "mitigated"], levels=["bundle", "take", "site", "array", "subject"],
+    )
+
+
 # ---- physics
 
 BANDS = {
