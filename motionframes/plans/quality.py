@@ -62,6 +62,23 @@ def expected_files(takes: DataFrame, artifacts: Mapping[str, str | None], *, key
 # -- level 0 ---------------------------------------------------------------------------------
 
 
+def root_findings(datasets: DataFrame, files: DataFrame, *, dataset: str, name: str, index: str, description: str) -> DataFrame:
+    """Q1. Datasets whose root lacks the index or, where there is one, any file whose name matches the pattern ``description``.
+
+    ``files`` has one row per file of a root. Without an index nothing else of a dataset is looked at (``indexed`` keeps the others).
+    """
+    seen = files.groupBy(dataset).agg(F.bool_or(F.col(name) == index).alias("_index"), F.bool_or(F.col(name).rlike(description)).alias("_text"))
+    has = lambda c: F.coalesce(F.col(c), F.lit(False))
+    joined = datasets.select(dataset).distinct().join(seen, dataset, "left")
+    rules = {f"missing {index}": ~has("_index"), "missing description": has("_index") & ~has("_text")}
+    return failed_rules(joined, rules, level="L0", check="structure", keep=[dataset])
+
+
+def indexed(rows: DataFrame, files: DataFrame, *, dataset: str, name: str, index: str) -> DataFrame:
+    """Q1. Rows of the datasets that have an index, the only ones whose takes are looked at."""
+    return rows.join(files.where(F.col(name) == index).select(dataset).distinct(), dataset, "left_semi")
+
+
 def structure_findings(index: DataFrame, stored: DataFrame, files: DataFrame, artifacts: Mapping[str, str | None], *, take: str) -> DataFrame:
     """Q1. Takes without storage, files an ok take lacks, and stored takes the index does not name.
 
@@ -294,11 +311,20 @@ def absolute_paths(leaves: DataFrame, *, keep: Sequence[str]) -> DataFrame:
     return hits.select(*finding("L4", "governance", "FAIL", F.concat(F.lit("absolute path at "), "path"), *keep))
 
 
-def governance_findings(manifests: DataFrame, leaves: DataFrame, *, take: str, spec_id: str, spec_version: str, scope: str) -> DataFrame:
-    """Q6. Unreadable manifests, lineage breaches and absolute paths."""
+def stated_field_rules(required: Mapping[str, str], optional: Mapping[str, str]) -> dict[str, Column]:
+    """Q6. Fields that must be there with one value, and fields that may be absent but hold no other value."""
+    absent = {f"missing {name}": F.col(name).isNull() for name in required}
+    return absent | {f"wrong {name}": F.col(name) != value for name, value in {**required, **optional}.items()}
+
+
+def governance_findings(
+    manifests: DataFrame, leaves: DataFrame, *, take: str, spec_id: str, spec_version: str, scope: str,
+    required: Mapping[str, str] | None = None, optional: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Q6. Unreadable manifests, lineage breaches, other fields with a prescribed value and absolute paths."""
     level = {"level": "L4", "check": "governance", "keep": [take]}
     unreadable = failed_rules(manifests, {"unreadable manifest": ~F.col("readable")}, **level)
-    lineage = failed_rules(manifests.where("readable"), governance_rules(spec_id, spec_version, scope), **level)
+    lineage = failed_rules(manifests.where("readable"), governance_rules(spec_id, spec_version, scope) | stated_field_rules(required or {}, optional or {}), **level)
     return sets.all_findings(unreadable, lineage, absolute_paths(leaves, keep=[take]))
 
 

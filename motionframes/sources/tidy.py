@@ -67,7 +67,7 @@ def read_orientations(spark: SparkSession, path: str, *, time: str) -> DataFrame
 
 
 def tidy_segments(raw: DataFrame, *, label: str, start: str, stop: str, velocity: str) -> DataFrame:
-    """S7. Labelled intervals; an empty velocity is null, an interval that does not advance is refused."""
+    """S7. Labelled intervals; an empty velocity is null; an interval that does not advance stays, joins by interval find nothing in it."""
     number = lambda c: F.expr(f"try_cast(nullif(trim(`{c}`), '') as double)")
     return raw.select(
         *[c for c in raw.columns if c not in (label, start, stop, velocity)],

@@ -79,6 +79,32 @@ def q6_governance_findings(spark, folder):
     return out.select(*FIND)
 
 
+STATED_SQL = """CASE WHEN doc_id % 6 <> 0 THEN CASE WHEN doc_id % 5 = 0 THEN 'released' ELSE 'trial' END END AS artifact_class,
+  CASE WHEN doc_id % 4 = 0 THEN 'none' WHEN doc_id % 4 = 1 THEN 'passed' END AS quality_gate, CASE WHEN doc_id % 7 = 0 THEN 'other' WHEN doc_id % 7 < 4 THEN 'spec' END AS spec_id"""
+
+STATED = ["artifact_class", "quality_gate", "spec_id"]
+
+
+@query(
+    "q6_stated_fields",
+    f"""WITH mf AS (SELECT doc_id AS take, {STATED_SQL} FROM documents),
+    ru AS (SELECT take, unnest([CASE WHEN artifact_class IS NULL THEN 'missing artifact_class' END, CASE WHEN artifact_class <> 'trial' THEN 'wrong artifact_class' END,
+      CASE WHEN quality_gate <> 'none' THEN 'wrong quality_gate' END, CASE WHEN spec_id <> 'spec' THEN 'wrong spec_id' END]) AS message FROM mf)
+    SELECT take, 'L4' AS level, 'FAIL' AS severity, message FROM ru WHERE message IS NOT NULL""",
+)
+def q6_stated_fields(spark, folder):
+    stated = spark.sql(f"SELECT doc_id AS take, {STATED_SQL} FROM {{documents}}", documents=table(spark, folder, "documents"))
+    names = ["distribution_scope", "spec_version", "contract_id"]
+    fixed = F.struct(F.lit("restricted").alias(names[0]), F.lit("tag-1").alias(names[1]), F.lit("c").alias(names[2]), *STATED)
+    texts = stated.select("take", F.to_json(fixed).alias("text"))
+    found = files.manifests(texts, keys=["take"], text="text", fields={n: f"$.{n}" for n in [*names, *STATED]})
+    out = quality.governance_findings(
+        found, X.json_leaves(texts, "take", document=F.col("text")), take="take", spec_id="spec", spec_version="tag-1", scope="restricted",
+        required={"artifact_class": "trial"}, optional={"quality_gate": "none"},
+    )
+    return out.select(*FIND)
+
+
 @query("p6_lineage_rules", f"WITH {RULES} SELECT take, message FROM ru WHERE message IS NOT NULL AND message NOT LIKE 'absolute%' AND message NOT LIKE 'unreadable%'")
 def p6_lineage_rules(spark, folder):
     rules = quality.governance_rules("spec", "tag-1", "restricted")
@@ -140,6 +166,19 @@ def stored(spark, folder):
     return dirs, listed
 
 
+@query(
+    "q1_root_findings",
+    """WITH f AS (SELECT s_suppkey AS dataset, CASE WHEN s_suppkey % 5 <> 0 THEN 'INDEX.json' END AS i, CASE WHEN s_suppkey % 3 = 0 THEN 'A_DATA_DESCRIPTION_1.md' ELSE 'notes.md' END AS d FROM supplier)
+    SELECT dataset, CASE WHEN i IS NULL THEN 'missing INDEX.json' ELSE 'missing description' END AS message FROM f WHERE i IS NULL OR d = 'notes.md'""",
+)
+def q1_root_findings(spark, folder):
+    datasets = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("dataset"))
+    described = F.when(F.col("dataset") % 3 == 0, "A_DATA_DESCRIPTION_1.md").otherwise("notes.md")
+    listed = datasets.select("dataset", F.explode(F.array_compact(F.array(F.when(F.col("dataset") % 5 != 0, "INDEX.json"), described))).alias("name"))
+    out = quality.root_findings(datasets, listed, dataset="dataset", name="name", index="INDEX.json", description=r"DATA_DESCRIPTION.*\.md$")
+    return out.select("dataset", "message")
+
+
 @query(
     "q1_structure_findings",
     f"""WITH {EXPECTED}, {STORED} SELECT take, 'missing take dir' AS message FROM cp WHERE status = 'ok' AND take NOT IN (SELECT take FROM sd)
