@@ -105,21 +105,24 @@ def _searcher(k: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all other rows for each query, ties to the smaller id.
 
-    vectors: vec_id and vector (array<long>); rows whose vector or id is null take no part, an empty
-    table gives no rows, fewer candidates than k give fewer rows. A repeated id is one candidate
-    per row, but a query never finds its own id. Scores are exact while sums stay below 2^53.
+    vectors: vec_id and vector (array<long>); rows whose id or vector is null and vectors that are empty or hold
+    a null take no part. A query meets vectors of its own length only. An empty table gives no rows, fewer
+    candidates than k give fewer rows. A repeated id is one candidate per row, but a query never finds its own id;
+    of the rows that share a query's id the smallest vector (in array order) asks. Other columns don't matter,
+    whatever their names. Scores are exact while sums stay below 2^53.
 
     Every shard (hash of the id, at most about SHARD_ROWS vectors) becomes a tree in its task. First each
     query asks its own shard only; the k-th result found there then bounds what it wants from all others.
     """
-    held = saved(vectors.where("vec_id is not null and vector is not null").select("vec_id", "vector", is_query.alias("q")), "kd-vectors")
+    usable = F.col("vec_id").isNotNull() & (F.size("vector") > 0) & F.forall("vector", lambda x: x.isNotNull())
+    held = saved(vectors.where(usable).select("vec_id", "vector", is_query.alias("q")), "kd-vectors")
     rows, asked = held.agg(F.count("*"), F.count_if("q")).first()
     shards, splits = max(MIN_SHARDS, -(-rows // SHARD_ROWS)), max(1, -(-asked // TASK_QUERIES))
     shard, split = F.pmod(F.xxhash64("vec_id"), F.lit(shards)), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(splits))
 
     def search(queries: DataFrame, shard_of: Column) -> DataFrame:
         none = [F.lit(-float("inf")).alias("kth"), F.lit(float("inf")).alias("kth_id")]
-        columns = [(F.col("s") * splits + F.col("p")).alias("cell"), "kind", "vec_id", "vector", "kth", "kth_id"]
+        columns = [F.xxhash64(F.col("s").cast("int"), F.col("p").cast("int"), F.size("vector")).alias("cell"), "kind", "vec_id", "vector", "kth", "kth_id"]
         everywhere = F.explode(F.sequence(F.lit(0), F.lit(splits - 1))).alias("p")
         own = held.select(shard.alias("s"), everywhere, F.lit(0).alias("kind"), "vec_id", "vector", *none).select(columns)
         ask = queries.select("*", shard_of.alias("s")).withColumns({"p": split, "kind": F.lit(1)}).select(columns)
@@ -127,7 +130,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         return dealt.mapInPandas(_searcher(k), "query_id long, vec_id long, score long")
 
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    queries = held.where("q").dropDuplicates(["vec_id"])
+    queries = held.where("q").groupBy("vec_id").agg(F.min("vector").alias("vector"))
     blank = queries.withColumns({"kth": F.lit(-float("inf")), "kth_id": F.lit(float("inf"))})
     home = saved(search(blank, shard), "kd-home")
     worst = home.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k)

@@ -31,8 +31,9 @@ _INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case runs of letters."""
-    return LETTERS.findall((text or "").lower())
+    """Lower-case runs of letters; numeric signs such as fractions and Roman numerals end a run."""
+    runs = LETTERS.findall((text or "").lower())
+    return [word for run in runs for word in ([run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
 def spans(word: str) -> list[str]:
@@ -215,7 +216,8 @@ def scorer(docs: DataFrame, model: Model):
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
     """docs plus lid (lang_pred, score). Null texts and those without a letter are `und` with score 0, as is everything
-    if there was nothing to learn from; ties go to the first language by name. lid is a reserved column name."""
+    if there was nothing to learn from; ties go to the first language by name. Whole texts are scored, however long;
+    repeated rows and ids get an answer each, an empty table none. lid is a reserved column name."""
     return docs.withColumn("lid", scorer(docs, model)(F.col("text").cast("string")))
 
 

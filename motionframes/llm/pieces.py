@@ -197,13 +197,15 @@ def encoded(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def decoded(frame: DataFrame, path: str = MODEL) -> DataFrame:
-    """(doc_id, text) for every row of frame (doc_id, ids); null ids give a null text, ids outside the vocabulary fail."""
+    """(doc_id, text) for every row of frame (doc_id, ids); null ids, a null among them or one outside the vocabulary give a null text."""
     held = frame.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(held.value)
         for batch in batches:
-            texts = [None if x is None else decoder.decode(np.array(x, np.int32)) for x in batch.column(1).to_pylist()]
+            known = range(len(decoder.bytes))
+            lists = [x if x is None or all(i in known for i in x) else None for x in batch.column(1).to_pylist()]
+            texts = [None if x is None else decoder.decode(np.array(x, np.int32)) for x in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return frame.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(run, "doc_id long, text string")

@@ -27,14 +27,21 @@ def _running(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def contiguous_shards(rows: DataFrame, order: list[str], shards: int) -> DataFrame:
     """rows (with a long column size >= 0) plus shard and slot: shards are stretches of the order.
 
-    Nulls come first in the order; rows with equal order columns may be told apart anyhow, so a run of
-    repeated rows can be cut by a shard's edge. Columns part, before, row and middle are reserved.
+    Nulls come first in the order; a null size counts as 0. Rows with equal order columns may be told apart anyhow,
+    so a run of repeated rows can be cut by a shard's edge. Columns shard and slot of rows are replaced; all other
+    names are free. An empty table gives no rows. Only sizes are read, so long texts cost what their rows cost.
 
     The rows are dealt by ranges of the order (a random last key splits even identical rows), each
     partition sums itself, and the partitions' totals (one number each) give the global prefix. A row
     belongs to the shard whose equal share of all bytes holds its middle byte, so a shard misses its
     target by less than the largest row. Sizes of 0 everywhere put all rows into shard 0.
     """
+    names = [n for n in rows.columns if n not in ("shard", "slot")]
+    kept = [f"c{i}" for i in range(len(names))]
+    order = [f"c{names.index(n)}" for n in order]
+    # Inside, the columns have numbers for names, so that none clashes.
+    rows = rows.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(names, kept)])
+    rows = rows.withColumn("size", F.coalesce(f"c{names.index('size')}", F.lit(0)).cast("long"))
     spark = rows.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PART_ROWS))
     keys = [*order, "salt"]
@@ -52,14 +59,14 @@ def contiguous_shards(rows: DataFrame, order: list[str], shards: int) -> DataFra
     middle = (2 * (F.col("before") + at(0)) + F.col("size")) * shards
     share = F.expr(f"middle div {max(1, 2 * held)}L")
     shard = F.least(F.lit(shards - 1), share).cast("int").alias("shard")
-    placed = local.withColumn("middle", middle).select(*rows.columns, shard, (F.col("row") + at(1)).alias("row"))
+    placed = local.withColumn("middle", middle).select(*kept, shard, (F.col("row") + at(1)).alias("row"))
     first = {r["shard"]: r["first"] for r in placed.groupBy("shard").agg(F.min("row").alias("first")).collect()}
     begin = F.element_at(F.lit([first.get(s, 0) for s in range(shards)]).cast("array<bigint>"), F.col("shard") + 1)
-    return placed.select(*rows.columns, "shard", (F.col("row") - begin).alias("slot"))
+    return placed.select(*[F.col(c).alias(n) for n, c in zip(names, kept)], "shard", (F.col("row") - begin).alias("slot"))
 
 
 def op9_prefix_sum_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """A null text has size 16 and the checksum of the empty text."""
+    """A null text has size 16 and the checksum of the empty text; a null or repeated id is a row like any other."""
     docs = table(spark, folder, "documents")
     rows = docs.select(
         "doc_id",

@@ -28,3 +28,9 @@ def test_few_and_no_rows(spark):
     assert kdtree.top_k(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0, 20).count() == 0
     few = spark.createDataFrame([(0, [1, 2]), (1, [3, 4])], schema)
     assert [tuple(r) for r in kdtree.top_k(few, F.col("vec_id") % 20 == 0, 20).collect()] == [(0, 1, 1, 11)]
+
+
+def test_lengths_nulls_and_repeated_query_ids(spark):
+    rows = [(0, [3, 1]), (0, [1, 2]), (1, [3, 4]), (2, [5]), (20, [2]), (40, []), (3, [1, None]), (60, [1, 1, 1])]
+    found = {tuple(r) for r in kdtree.top_k(spark.createDataFrame(rows, "vec_id long, vector array<long>"), F.col("vec_id") % 20 == 0, 20).collect()}
+    assert found == {(0, 1, 1, 11), (20, 1, 2, 10)}

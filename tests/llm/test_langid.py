@@ -71,3 +71,8 @@ def test_odd_rows(spark):
     nothing = langid.train(docs, F.lit(False))
     assert {r.lid.lang_pred for r in langid.identified(docs, nothing).collect()} == {"und"}
     assert langid.identified(docs.limit(0), nothing).count() == 0
+
+
+def test_numeric_signs_are_no_letters():
+    assert langid.words_of("½ ① Ⅷ ² 12 _") == []
+    assert langid.words_of("Un½deux ⅷ 三 x²y") == ["un", "deux", "三", "x", "y"]

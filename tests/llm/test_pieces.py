@@ -60,3 +60,9 @@ def test_odd_rows(spark):
     rows = [(None, "a b", "x"), (1, None, None), (1, None, None), (2, "", "")]
     found = pieces.encoded(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.doc_id or 0, r.n_ids, r.round_trip) for r in found) == [(0, 2, True), (1, 0, True), (1, 0, True), (2, 0, True)]
+
+
+def test_ids_outside_the_vocabulary(spark):
+    rows = [(1, [5, 10_000_000]), (2, [-1]), (3, [7, None]), (4, None), (5, [])]
+    found = {r.doc_id: r.text for r in pieces.decoded(spark.createDataFrame(rows, "doc_id long, ids array<int>")).collect()}
+    assert found == {1: None, 2: None, 3: None, 4: None, 5: ""}

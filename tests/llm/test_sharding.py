@@ -40,3 +40,11 @@ def test_query_with_null_and_empty_text(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, shard string").write.parquet(f"{tmp_path}/documents.parquet")
     found = {(r.doc_id, r["size"], r.text_crc32) for r in op9_prefix_sum_shards(spark, str(tmp_path)).collect()}
     assert found == {(1, 16, 0), (2, 16, 0), (3, 116, zlib.crc32(("é" * 50).encode()))}
+
+
+def test_names_that_clash_and_null_sizes(spark):
+    rows = [(1, 16, "a", 7, 8, 9), (2, None, "b", 7, 8, 9), (3, 16, "c", 7, 8, 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, size long, salt string, part int, shard int, row int")
+    found = contiguous_shards(frame, ["doc_id"], 2)
+    assert found.columns == ["doc_id", "size", "salt", "part", "row", "shard", "slot"]
+    assert [tuple(r) for r in found.orderBy("doc_id").collect()] == [(1, 16, "a", 7, 9, 0, 0), (2, None, "b", 7, 9, 1, 0), (3, 16, "c", 7, 9, 1, 1)]
