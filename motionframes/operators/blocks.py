@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 BLOCK_ROWS = 65_536
+#: Rows of one key that a single window may number.
+HOT_ROWS = 4_000_000
 
 Stage = Callable[[WindowSpec, WindowSpec], Mapping[str, Column]]
 
@@ -188,7 +190,7 @@ def dense_frames(
     order: Sequence[str],
     frame: str = "frame",
     minima: Mapping[str, Column] | None = None,
-    hot_rows: int = 4_000_000,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the rows of each key 0, 1, 2, ... in ``order``, nulls first. ``minima`` adds per-key minimum columns.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import running, small
+from .blocks import BLOCK_ROWS, HOT_ROWS, block_of, dense_frames, running, small
 from .quantiles import exact_quantiles
 
 
@@ -20,22 +20,22 @@ def nearest_in_time(
     id_: str,
     values: Sequence[str],
     tolerance: DataFrame,
-    block: int,
+    rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """J2. Each left row with the right row nearest in time (the earlier on a tie), or nulls.
 
-    ``time`` is an integer clock; ``id_`` orders rows of one side at one time. ``tolerance`` has one
-    ``tolerance`` per key. Both sides are laid on one time line and read backwards and forwards in
-    blocks of ``block`` clock units, so no key is gathered in one task.
+    ``time`` is an integer clock (a left row without it has nulls); ``id_`` orders rows of one side at one time. ``tolerance`` has one
+    ``tolerance`` per key. Both sides are laid on one time line, numbered along it and read backwards
+    and forwards in blocks of ``rows`` rows, so a key is split wherever its rows are dense.
     """
     right_row = F.struct(F.col(time).alias("at"), *values)
     sides = left.select(*keys, time, id_, F.lit(1).alias("_side"), F.lit(None).cast(
         right.select(right_row.alias("r")).schema["r"].dataType).alias("_r"))
-    sides = sides.unionByName(right.select(*keys, time, id_, F.lit(0).alias("_side"), right_row.alias("_r")))
-    scanned = running(
-        sides, keys=keys, frame=time, ties=["_side", id_], rows=block,
-        scans={"_before": ("last", F.col("_r")), "_after": ("next", F.col("_r"))},
-    ).where("_side = 1")
+    sides = sides.unionByName(right.where(F.col(time).isNotNull()).select(*keys, time, id_, F.lit(0).alias("_side"), right_row.alias("_r")))
+    sides = dense_frames(sides, keys=keys, order=[time, "_side", id_], frame="_at", hot_rows=hot_rows)
+    scans = {"_before": ("last", F.col("_r")), "_after": ("next", F.col("_r"))}
+    scanned = running(sides, keys=keys, frame="_at", rows=rows, scans=scans).where("_side = 1")
     back = F.col(time) - F.col("_before.at")
     ahead = F.col("_after.at") - F.col(time)
     nearest = F.when(F.col("_after").isNull() | (back <= ahead), F.col("_before")).otherwise(F.col("_after"))
@@ -46,11 +46,13 @@ def nearest_in_time(
     )
 
 
-def half_median_step(df: DataFrame, *, keys: Sequence[str], time: str, id_: str, block: int) -> DataFrame:
-    """J2. Half of the median time step of each key."""
-    stepped = running(
-        df, keys=keys, frame=time, ties=[id_], rows=block, scans={"_b": ("previous", F.col(time))}
-    ).withColumn("_step", F.col(time) - F.col("_b"))
+def half_median_step(
+    df: DataFrame, *, keys: Sequence[str], time: str, id_: str, rows: int = BLOCK_ROWS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """J2. Half of the median time step of each key, rows numbered by time and ``id_``."""
+    line = dense_frames(df, keys=keys, order=[time, id_], frame="_at", hot_rows=hot_rows)
+    stepped = running(line, keys=keys, frame="_at", rows=rows, scans={"_b": ("previous", F.col(time))})
+    stepped = stepped.withColumn("_step", F.col(time) - F.col("_b"))
     out = exact_quantiles(stepped, keys=keys, value="_step", probs={"_m": 0.5}, sized_by=df)
     return out.select(*keys, (F.col("_m") / 2).alias("tolerance"))
 
@@ -77,22 +79,42 @@ def missing_and_orphans(index: DataFrame, storage: DataFrame, *, on: Sequence[st
 
 
 def within_intervals(
-    samples: DataFrame, intervals: DataFrame, *, keys: Sequence[str], time: str, start: str, stop: str, width: float
+    samples: DataFrame,
+    intervals: DataFrame,
+    *,
+    keys: Sequence[str],
+    time: str,
+    start: str,
+    stop: str,
+    rows: int = 1024,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """J6. Samples with the half-open interval ``[start, stop)`` that holds them.
-
-    Both sides meet on the key and a time bucket of ``width``; an interval is copied to the buckets
-    it overlaps, so a long key is spread over its buckets.
+    """J6. Samples with every half-open interval ``[start, stop)`` that holds them.
+
+    Samples, starts and stops lie on one line per key and are numbered along it, starts and stops
+    before samples of their time. An interval then holds the samples between its two numbers. Both
+    sides meet on stretches of ``rows`` numbers, so the work follows the rows on the line however
+    dense they are: an interval is copied once per stretch it covers and compared with samples it
+    doesn't hold in its first and last stretch only. Rows without a key or time and intervals that
+    don't advance hold nothing; repeated intervals count each. Interval columns must be comparable.
     """
-    cut = lambda c: F.floor(F.col(c) / width)
-    last = F.greatest(cut(start), F.ceil(F.col(stop) / width) - 1)
-    copies = intervals.where(F.col(start) < F.col(stop)).withColumn("_bkt", F.explode(F.sequence(cut(start), last)))
-    return (
-        samples.withColumn("_bkt", cut(time))
-        .join(copies, [*keys, "_bkt"])
-        .where((F.col(time) >= F.col(start)) & (F.col(time) < F.col(stop)))
-        .drop("_bkt")
-    )
+    keys = list(keys)
+    spans = intervals.where(F.col(start) < F.col(stop)).groupBy(*intervals.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    span = F.struct(*[c for c in spans.columns if c not in keys]).alias("_span")
+    sample = F.struct(F.lit(1).alias("_one"), *[c for c in samples.columns if c not in keys]).alias("_sample")
+    edges = spans.select(*keys, span, F.explode(F.array(start, stop)).alias("_t"), F.lit(0).alias("_kind"))
+    points = samples.select(*keys, sample, F.col(time).alias("_t"), F.lit(1).alias("_kind"))
+    line = edges.unionByName(points, allowMissingColumns=True).dropna(subset=[*keys, "_t"])
+    line = dense_frames(line, keys=keys, order=["_t", "_kind"], frame="_at", hot_rows=hot_rows)
+    ends = line.where("_kind = 0").groupBy(*keys, "_span").agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    stretches = F.explode(F.sequence(block_of("_from", rows), block_of("_to", rows))).alias("_blk")
+    held = (
+        line.where("_kind = 1").withColumn("_blk", block_of("_at", rows)).select(*keys, "_blk", "_at", "_sample")
+        .join(ends.select("*", stretches), [*keys, "_blk"])
+        .where("_at > _from and _at < _to")
+        .withColumn("_copy", F.explode(F.expr("sequence(1L, _span._copies)")))
+    )
+    return held.select(*keys, "_sample.*", "_span.*").drop("_one", "_copies")
 
 
 def reconcile(listed: DataFrame, destination: DataFrame, origin: DataFrame, *, name: str, digest: str, verify_only: bool) -> DataFrame:

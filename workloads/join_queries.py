@@ -25,9 +25,9 @@ def j2_nearest_in_time(spark, folder):
     s = series(spark, folder)
     left = s.where("site = 'view'").select("take", "t_us", "event_id")
     right = s.where("site = 'click'").select("take", "t_us", "event_id", F.col("event_id").alias("matched"), F.col("x").alias("value"))
-    tolerance = joins.half_median_step(right, keys=["take"], time="t_us", id_="event_id", block=24 * HOUR_US)
+    tolerance = joins.half_median_step(right, keys=["take"], time="t_us", id_="event_id")
     out = joins.nearest_in_time(
-        left, right, keys=["take"], time="t_us", id_="event_id", values=["matched", "value"], tolerance=tolerance, block=24 * HOUR_US
+        left, right, keys=["take"], time="t_us", id_="event_id", values=["matched", "value"], tolerance=tolerance
     )
     return out.select("take", "event_id", "matched", r6("value").alias("value"))
 
@@ -80,7 +80,7 @@ def j6_within_intervals(spark, folder):
     s = series(spark, folder).withColumn("at", F.col("t_us") / 1e6)
     labels = s.groupBy("take", F.expr(f"t_us div {24 * HOUR_US}L").alias("label")).agg(F.min("at").alias("start"), F.max("at").alias("stop"))
     out = joins.within_intervals(
-        s.select("take", "event_id", "at"), labels, keys=["take"], time="at", start="start", stop="stop", width=6 * 3600.0
+        s.select("take", "event_id", "at"), labels, keys=["take"], time="at", start="start", stop="stop"
     )
     return out.select("take", "event_id", "label")
 
