@@ -135,34 +135,51 @@ def declared_keys(takes: DataFrame, spec: DataFrame, *, take: str) -> DataFrame:
 def array_spec_findings(observed: DataFrame, takes: DataFrame, spec: DataFrame, *, take: str) -> DataFrame:
     """Q3. Arrays against their declaration.
 
-    ``observed``: take, artifact, key, shape, dtype. ``takes``: take, artifact, capabilities.
-    ``spec``: artifact, key, dtype, axes, capability; an axis is a size or a free letter.
+    ``observed``: take, artifact, key, shape, dtype. ``takes``: take, artifact, capabilities (null: none).
+    ``spec``: artifact, key, dtype, axes, capability, a key once per artifact; an axis is a size or a free letter.
+
+    One grouping by take and artifact brings the arrays of an artifact, a short list, beside its capabilities;
+    all rules are array functions on that row.
     """
-    declared = declared_keys(takes, spec, take=take)
-    on = [take, "artifact", "key"]
-    missing = declared.where("_allowed").join(observed, on, "left_anti")
-    missing = missing.select(*finding("L1", "schema", "FAIL", F.concat(F.lit("missing-key:"), "key"), take))
-    seen = observed.join(declared, on, "left")
-    fits_rank = F.size("shape") == F.size("axes")
-    sizes = F.zip_with("axes", "shape", lambda a, s: ~a.isin(*FREE_AXES) & (a != s.cast("string")))
-    told = F.col("_allowed")
-    name = lambda text: F.concat(F.lit(text), "key")
-    hits = F.array_compact(
-        F.array(
-            F.when(told.isNull(), name("unexpected-key:")),
-            F.when(~told, name("forbidden-key:")),
-            F.when(told & (F.col("dtype") != F.col("_dtype")), name("dtype-mismatch:")),
-            F.when(told & ~fits_rank, name("rank-mismatch:")),
-            F.when(told & fits_rank & F.exists(sizes, lambda bad: bad), name("axis-size-mismatch:")),
+    cell = F.struct("key", "shape", "dtype")
+    mine = observed.select(take, "artifact", cell.alias("_cell"), F.lit(False).alias("_listed"))
+    listed = takes.select(take, "artifact", F.col("capabilities").alias("_caps"), F.lit(True).alias("_listed"))
+    grouped = mine.unionByName(listed, allowMissingColumns=True).groupBy(take, "artifact").agg(
+        F.collect_list("_cell").alias("_seen"), F.first("_caps", True).alias("_caps"), F.max("_listed").alias("_listed")
+    )
+    rules = small(spec.groupBy("artifact").agg(F.collect_set(F.struct("key", "dtype", "axes", "capability")).alias("_rules")))
+    none = F.array()
+    rows = grouped.join(rules, "artifact", "left").withColumns(
+        {"_rules": F.coalesce(F.when(F.col("_listed"), F.col("_rules")), none), "_caps": F.coalesce("_caps", none)}
+    )
+    allowed = lambda rule: rule["capability"].isNull() | F.array_contains("_caps", rule["capability"])
+    rule_of = lambda s: F.get(F.filter("_rules", lambda rule: rule["key"] == s["key"]), F.lit(0))
+    rows = rows.withColumn("_cells", F.transform("_seen", lambda s: F.struct(s.alias("s"), rule_of(s).alias("rule"))))
+    fits = lambda c: F.size(c["s"]["shape"]) == F.size(c["rule"]["axes"])
+    name = lambda text, key: F.concat(F.lit(text), key)
+
+    def problems(c: Column) -> Column:
+        known, told, key = c["rule"].isNotNull(), c["rule"].isNotNull() & allowed(c["rule"]), c["s"]["key"]
+        sizes = F.zip_with(c["rule"]["axes"], c["s"]["shape"], lambda axis, n: ~axis.isin(*FREE_AXES) & (axis != n.cast("string")))
+        return F.array_compact(
+            F.array(
+                F.when(~known, name("unexpected-key:", key)),
+                F.when(known & ~told, name("forbidden-key:", key)),
+                F.when(told & (c["s"]["dtype"] != c["rule"]["dtype"]), name("dtype-mismatch:", key)),
+                F.when(told & ~fits(c), name("rank-mismatch:", key)),
+                F.when(told & fits(c) & F.exists(sizes, lambda bad: bad), name("axis-size-mismatch:", key)),
+            )
         )
+
+    names = F.transform("_seen", lambda s: s["key"])
+    lacking = F.filter("_rules", lambda rule: allowed(rule) & ~F.array_contains(names, rule["key"]))
+    along = F.filter("_cells", lambda c: c["rule"].isNotNull() & allowed(c["rule"]) & fits(c) & F.array_contains(c["rule"]["axes"], "T"))
+    lengths = F.transform(along, lambda c: F.get(c["s"]["shape"], (F.array_position(c["rule"]["axes"], "T") - 1).cast("int")))
+    uneven = F.when(F.array_min(lengths) != F.array_max(lengths), F.array(name("free-axis-T-inconsistent:", F.col("artifact"))))
+    messages = F.concat(
+        F.transform(lacking, lambda rule: name("missing-key:", rule["key"])), F.flatten(F.transform("_cells", problems)), F.coalesce(uneven, none)
     )
-    wrong = seen.select(take, F.explode(hits).alias("_m")).select(*finding("L1", "schema", "FAIL", F.col("_m"), take))
-    length = F.element_at("shape", F.array_position("axes", "T").cast("int"))
-    free = seen.where(told & fits_rank & F.array_contains("axes", "T")).groupBy(take, "artifact").agg(
-        F.min(length).alias("_a"), F.max(length).alias("_b")
-    )
-    uneven = free.where("_a <> _b").select(*finding("L1", "schema", "FAIL", F.concat(F.lit("free-axis-T-inconsistent:"), "artifact"), take))
-    return missing.unionByName(wrong).unionByName(uneven)
+    return rows.select(take, F.explode(messages).alias("_m")).select(*finding("L1", "schema", "FAIL", F.col("_m"), take))
 
 
 def frame_count_findings(lengths: DataFrame, *, take: str, frames: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .archives import opened
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """S10. Path and length of every file below a folder; contents are not read."""
+    """S10. Path and length of every file below a folder; contents are not read. Spark's listing passes over files without bytes."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return files.select("path", "length")
 
@@ -34,6 +37,31 @@ def checksums(files: DataFrame, *, content: str, folder: Column) -> tuple[DataFr
     return hashed, totals
 
 
+def file_checksums(files: DataFrame, *, path: str, chunk: int = 1 << 20) -> DataFrame:
+    """S11. Digest and size of files of any size, by path: a task reads a file in pieces of ``chunk`` bytes.
+
+    A file that can't be read has no digest, and a ``problem``.
+    """
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name in batch["path"]:
+                digest, size = hashlib.sha256(), 0
+                try:
+                    with opened(name) as source:
+                        while piece := source.read(chunk):
+                            digest.update(piece)
+                            size += len(piece)
+                    rows.append((name, digest.hexdigest(), size, None))
+                except OSError as broken:
+                    rows.append((name, None, None, type(broken).__name__))
+            found = pd.DataFrame(rows, columns=["path", "sha256", "bytes", "problem"])
+            yield found.astype({"bytes": "Int64"})
+
+    return files.select(F.col(path).alias("path")).where("path is not null").mapInPandas(digests, "path string, sha256 string, bytes bigint, problem string")
+
+
 def sums_line(digest: Column, name: Column) -> Column:
     """S12. One checksum line; a name with a backslash or a line break is escaped and marked."""
     escaped = F.replace(F.replace(F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))

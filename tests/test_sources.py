@@ -13,6 +13,35 @@ def test_archive_headers(spark, tmp_path):
     assert rows == {"time": ([5], "f8"), "acc": ([5, 8, 3], "f4"), "names": ([2], "U"), "ok": ([5], "bool")}
 
 
+def test_broken_archives_and_other_members(spark, tmp_path):
+    import zipfile
+
+    np.savez(tmp_path / "whole.npz", time=np.arange(3.0))
+    with zipfile.ZipFile(tmp_path / "whole.npz", "a") as archive:
+        archive.writestr("readme.txt", "no array")
+        archive.writestr("cut.npy", b"\x93NUMPY\x01\x00")
+    (tmp_path / "torn.npz").write_bytes((tmp_path / "whole.npz").read_bytes()[:60])
+    found = archives.archive_headers(spark, str(tmp_path)).collect()
+    rows = {(r.path.rsplit("/", 1)[1], r.key, r.dtype, (r.problem or "").split(":")[0]) for r in found}
+    assert rows == {
+        ("whole.npz", "time", "f8", ""), ("whole.npz", "cut", None, "unreadable array"),
+        ("torn.npz", None, None, "unreadable archive"),
+    }
+
+
+def test_digests_of_files_in_pieces(spark, tmp_path):
+    import hashlib
+
+    held = {"a.bin": b"", "b.bin": b"x" * 1000, "c.bin": bytes(range(256)) * 5}
+    for name, data in held.items():
+        (tmp_path / name).write_bytes(data)
+    listed = files.list_files(spark, str(tmp_path)).select("path")
+    listed = listed.unionByName(spark.createDataFrame([(f"file:{tmp_path}/gone",), (f"{tmp_path}/a.bin",), (None,)], "path string"))
+    found = {r.path.rsplit("/", 1)[1]: (r.sha256, r.bytes, r.problem) for r in files.file_checksums(listed, path="path", chunk=7).collect()}
+    assert found.pop("gone") == (None, None, "FileNotFoundError")
+    assert found == {name: (hashlib.sha256(data).hexdigest(), len(data), None) for name, data in held.items()}
+
+
 def test_marker_and_orientation_files(spark, tmp_path):
     (tmp_path / "m.csv").write_text("time,A_x,A_y,A_z\n0.0,1000,2000,\n0.01,1,2,3\n")
     rows = tidy.read_markers(spark, str(tmp_path / "m.csv"), time="time").orderBy("time").collect()

@@ -28,6 +28,28 @@ def s1_observed_columns(spark, folder):
     )
 
 
+# Order keys per archive.
+ARCHIVE_KEYS = 4096
+
+
+@query(
+    "s1_archive_headers",
+    f"""WITH a AS (SELECT o_orderkey // {ARCHIVE_KEYS} AS archive, count(*) AS n FROM orders GROUP BY ALL),
+    k AS (SELECT unnest(['o_orderkey', 'o_totalprice', 'o_orderpriority']) AS key, unnest(['i8', 'f8', 'U']) AS dtype)
+    SELECT archive, key, dtype, 1 AS rank, n AS rows FROM a, k""",
+)
+def s1_archive_headers(spark, folder):
+    """Archives of all orders, one per range of keys, written by tasks and scanned by their headers."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority")
+    path = scratch(spark, "archives")
+    dealt = orders.withColumn("archive", F.expr(f"o_orderkey div {ARCHIVE_KEYS}L"))
+    written = archives.write_archives(dealt, bucket="archive", columns=["o_orderkey", "o_totalprice", "o_orderpriority"], folder=path, notes="orders")
+    written.agg(F.count(F.lit(1))).collect()
+    found = archives.archive_headers(spark, path).where("problem is null")
+    archive = F.regexp_extract("path", r"(-?\d+)\.npz$", 1).cast("bigint")
+    return found.select(archive.alias("archive"), "key", "dtype", F.size("shape").alias("rank"), F.get("shape", F.lit(0)).alias("rows"))
+
+
 @query("s2_load_columns", "SELECT o_orderkey, o_totalprice FROM orders")
 def s2_load_columns(spark, folder):
     return archives.load_columns(spark, f"{folder}/orders.parquet", ["o_orderkey", "gyro", "o_totalprice"])
