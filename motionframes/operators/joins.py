@@ -105,11 +105,13 @@ def within_intervals(
     edges = spans.select(*keys, span, F.explode(F.array(start, stop)).alias("_t"), F.lit(0).alias("_kind"))
     points = samples.select(*keys, sample, F.col(time).alias("_t"), F.lit(1).alias("_kind"))
     line = edges.unionByName(points, allowMissingColumns=True).dropna(subset=[*keys, "_t"])
+    # One column for both, so that the two readers of the line ask for the same and share its shuffle.
+    line = line.select(*keys, "_t", "_kind", F.array(F.struct("_sample", "_span")).alias("_row"))
     line = dense_frames(line, keys=keys, order=["_t", "_kind"], frame="_at", hot_rows=hot_rows)
-    ends = line.where("_kind = 0").groupBy(*keys, "_span").agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    ends = line.where("_kind = 0").select(*keys, F.col("_row")[0]["_span"].alias("_span"), "_at").groupBy(*keys, "_span").agg(F.min("_at").alias("_from"), F.max("_at").alias("_to"))
     stretches = F.explode(F.sequence(block_of("_from", rows), block_of("_to", rows))).alias("_blk")
     held = (
-        line.where("_kind = 1").withColumn("_blk", block_of("_at", rows)).select(*keys, "_blk", "_at", "_sample")
+        line.where("_kind = 1").withColumn("_blk", block_of("_at", rows)).select(*keys, "_blk", "_at", F.col("_row")[0]["_sample"].alias("_sample"))
         .join(ends.select("*", stretches), [*keys, "_blk"])
         .where("_at > _from and _at < _to")
         .withColumn("_copy", F.explode(F.expr("sequence(1L, _span._copies)")))
