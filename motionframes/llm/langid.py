@@ -33,6 +33,8 @@ _INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 def words_of(text: str | None) -> list[str]:
     """Lower-case runs of letters; numeric signs such as fractions and Roman numerals end a run."""
     runs = LETTERS.findall((text or "").lower())
+    if all(map(str.isalpha, runs)):
+        return runs
     return [word for run in runs for word in ([run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
