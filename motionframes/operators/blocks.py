@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 BLOCK_ROWS = 65_536
+#: Rows that a task takes from a shuffle which ``dealt`` sizes.
+TASK_ROWS = 500_000
 #: Rows of one key that a single window may number.
 HOT_ROWS = 4_000_000
 
@@ -183,6 +185,21 @@ def small(df: DataFrame, *, limit: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def task_count(sized_by: DataFrame, *, per_row: int = 1, rows: int = TASK_ROWS) -> int:
+    """How many tasks share a shuffle of ``per_row`` rows for each row of ``sized_by``; 0 where one could take them all.
+
+    Bytes of a shuffle say little of the rows in it: narrow rows pack so well that partitions merged up
+    to a size in bytes hold millions, and a task's sort or hash table grows with the table.
+    """
+    n = sized_by.count() * per_row
+    return 0 if n <= rows else max(-(-n // rows), int(sized_by.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """The rows dealt by ``keys`` over so many tasks, see ``task_count``."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def dense_frames(
     df: DataFrame,
     *,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from motionframes.operators.blocks import dealt, task_count
 from motionframes.sources import archives, files, tidy
 
 from .base import QUATS, SERIES, long, quats, query, r6, scratch, series, table
@@ -139,7 +140,8 @@ def s7_segments(spark, folder):
 
 
 def binding_texts(spark, folder):
-    li = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    li = dealt(lines, task_count(lines), "l_orderkey").groupBy("l_orderkey").agg(
         F.collect_list(F.struct(F.col("l_linenumber").alias("i"), F.col("l_partkey").cast("string").alias("m"))).alias("l")
     )
     markers = F.transform(F.array_sort("l"), lambda e: e["m"])
