@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import sets
-from ..operators.blocks import running_steps, small
+from ..operators.blocks import dealt, running_steps, small, task_count
 from ..operators.quantiles import exact_quantiles_of
 
 FREE_AXES = ("T", "N")
@@ -79,14 +79,19 @@ def indexed(rows: DataFrame, files: DataFrame, *, dataset: str, name: str, index
     return rows.join(files.where(F.col(name) == index).select(dataset).distinct(), dataset, "left_semi")
 
 
-def structure_findings(index: DataFrame, stored: DataFrame, files: DataFrame, artifacts: Mapping[str, str | None], *, take: str) -> DataFrame:
+def structure_findings(
+    index: DataFrame, stored: DataFrame, files: DataFrame, artifacts: Mapping[str, str | None], *, take: str, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Q1. Takes without storage, files an ok take lacks, and stored takes the index does not name.
 
-    ``index`` has status and capabilities; ``files`` has one row per stored file.
+    ``index`` has status and capabilities; ``files`` has one row per stored file. ``sized_by`` saves counting
+    ``files``: a table with about as many rows at least.
     """
+    tasks = max(task_count(files if sized_by is None else sized_by), task_count(index, per_row=len(artifacts)))
+    index, stored, files = dealt(index, tasks, take), dealt(stored, tasks, take), dealt(files, tasks, take, "file")
     ok = index.where("status = 'ok'")
     lost = ok.join(stored, take, "left_anti").select(*finding("L0", "structure", "FAIL", "missing take dir", take))
-    owed = expected_files(ok.join(stored, take, "left_semi"), artifacts, keys=[take])
+    owed = dealt(expected_files(ok.join(stored, take, "left_semi"), artifacts, keys=[take]), tasks, take, "file")
     absent = owed.join(files, [take, "file"], "left_anti")
     absent = absent.select(*finding("L0", "structure", "FAIL", F.concat(F.lit("missing deliverable "), "file"), take))
     orphan = stored.join(index, take, "left_anti").select(*finding("L0", "structure", "FAIL", "orphan take dir", take))

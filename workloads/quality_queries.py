@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from motionframes import schemas
 from motionframes.functions import text as X
 from motionframes.operators import sets, windows
+from motionframes.operators.blocks import dealt, task_count
 from motionframes.plans import quality
 from motionframes.sources import archives, files
 
@@ -157,7 +158,8 @@ fl AS (SELECT take, f AS file FROM sd, (VALUES ('manifest.json', 1), ('small', 1
 
 
 def stored(spark, folder):
-    kept = table(spark, folder, "lineitem").where("l_quantity < 45").select(F.col("l_orderkey").alias("take")).distinct()
+    lines = table(spark, folder, "lineitem")
+    kept = dealt(lines.where("l_quantity < 45").select(F.col("l_orderkey").alias("take")), task_count(lines), "take").distinct()
     extra = table(spark, folder, "orders").where("o_orderkey % 97 = 0").select((F.col("o_orderkey") + 1000000).alias("take"))
     dirs = kept.unionByName(extra)
     have = [("manifest.json", 1), ("small", 10), ("large", 11), ("reference", 3)]
@@ -187,7 +189,8 @@ def q1_root_findings(spark, folder):
 )
 def q1_structure_findings(spark, folder):
     dirs, listed = stored(spark, folder)
-    return quality.structure_findings(takes(spark, folder), dirs, listed, ARTIFACTS, take="take").select("take", "message")
+    lines = table(spark, folder, "lineitem")
+    return quality.structure_findings(takes(spark, folder), dirs, listed, ARTIFACTS, take="take", sized_by=lines).select("take", "message")
 
 
 @query(
