@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from motionframes.functions import text as X
 from motionframes.operators import joins
+from motionframes.operators.blocks import dealt, task_count
 from motionframes.plans import quality
 
 from .base import HOUR_US, SERIES, long, query, r6, series, table
@@ -65,10 +66,12 @@ def j4_missing_and_orphans(spark, folder):
     FROM orders WHERE o_orderstatus = 'F'""",
 )
 def j5_pairs(spark, folder):
-    fits = table(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))
-    plates = table(spark, folder, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
-    pairs = fits.join(plates, "id", "left_semi").withColumn("state", F.lit("pair"))
-    return pairs.unionByName(fits.join(plates, "id", "left_anti").withColumn("state", F.lit("missing")))
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    tasks = max(task_count(orders), task_count(lines))
+    fits = dealt(orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id")), tasks, "id")
+    plates = dealt(lines.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id")), tasks, "id")
+    paired = fits.join(plates.distinct().withColumn("state", F.lit("pair")), "id", "left")
+    return paired.withColumn("state", F.coalesce("state", F.lit("missing")))
 
 
 @query(
