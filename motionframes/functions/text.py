@@ -7,6 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.blocks import dealt, task_count
+from ..session import checkpoint_dir
+
+#: JSON documents that one task opens.
+DOCUMENTS = 50_000
 # Names that operating systems and sync clients leave behind.
 METADATA_NAMES = (".ds_store", ".localized", "desktop.ini", "thumbs.db")
 METADATA_PREFIX = "._"
@@ -138,12 +143,14 @@ def json_leaves(df: DataFrame, *keep: str, document: Column) -> DataFrame:
     objects and lists have no leaf, nor has a malformed or NULL document (a key named twice is malformed; what follows
     the document's end isn't looked at).
     Documents are parsed once and opened level by level, as many levels as the deepest one has; each level is
-    looked at, up to its first row, while the query is built.
+    checkpointed while the query is built, so none is opened again for the levels below it.
     """
+    checkpoint_dir(df.sparkSession)
+    df = dealt(df, task_count(df, rows=DOCUMENTS), *keep)
     rows = df.select(*keep, F.lit("").alias("path"), F.try_parse_json(document).alias("_v")).where("_v IS NOT NULL")
     levels = []
     while True:
-        typed = rows.withColumn("_t", F.schema_of_variant("_v"))
+        typed = rows.withColumn("_t", F.schema_of_variant("_v")).checkpoint()
         holds = F.col("_t").startswith("OBJECT<") | F.col("_t").startswith("ARRAY<")
         kind = (
             F.when(F.col("_t") == "STRING", "string")

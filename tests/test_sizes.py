@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from motionframes.functions import text as X
 from motionframes.operators.blocks import dealt, task_count
 from motionframes.plans import quality
 
@@ -23,3 +24,13 @@ def test_structure_findings_are_the_same_however_dealt(spark, monkeypatch):
     plain = found()
     monkeypatch.setattr(quality, "task_count", lambda df, **_: task_count(df, rows=4))
     assert found() == plain == found(sized_by=stored) and len(plain) > 10
+
+
+def test_leaves_of_spread_documents_come_from_checkpointed_levels(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f'{{"a": {{"b": [{i}, null]}}, "c": "x{i}"}}' if i % 7 else "{") for i in range(60)], "id long, doc string")
+    plain = sorted(map(tuple, X.json_leaves(docs, "id", document=F.col("doc")).collect()))
+    assert [r[1:] for r in plain if r[0] == 1] == [("a.b.0", "int", "1"), ("a.b.1", "null", "null"), ("c", "string", "x1")]
+    monkeypatch.setattr(X, "DOCUMENTS", 10)
+    spread = X.json_leaves(docs, "id", document=F.col("doc"))
+    assert sorted(map(tuple, spread.collect())) == plain
+    assert "parse_json" not in spread._jdf.queryExecution().optimizedPlan().toString()
