@@ -368,6 +368,10 @@ def limitation_problems(entries: DataFrame, *, id_: str, kinds: Sequence[str], s
     return entries.select(id_, F.explode(hits).alias("problem"))
 
 
+#: Limitation entries that one task checks.
+ENTRIES = 20_000
+
+
 def entry_problems(
     entries: DataFrame, *, file: str, position: str, entry: str, required: Sequence[str], optional: Sequence[str], scope_lists: Mapping[str, str | None],
     kinds: Sequence[str], severities: Sequence[str], statuses: Sequence[str], levels: Sequence[str],
@@ -386,6 +390,7 @@ def entry_problems(
     no_list = lambda path: value(path).isNotNull() & listed(path).isNull()
     rows = entries.select(file, position, entry, F.try_parse_json(entry).alias("_v"), F.concat(F.lit("id "), value("id")).alias("_id"))
     rows = rows.withColumns({"_fields": fields("$"), "_scope": fields("$.scope"), "_id": F.coalesce("_id", F.lit("none"))})
+    rows = dealt(rows, task_count(entries, rows=ENTRIES), file, "_id")
     first = rows.where("_fields is not null").groupBy(file, "_id").agg(F.min(position).alias("_first"))
     rows = rows.join(first, [file, "_id"], "left")
     scoped = F.col("_scope").isNotNull()

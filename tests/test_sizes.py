@@ -34,3 +34,15 @@ def test_leaves_of_spread_documents_come_from_checkpointed_levels(spark, monkeyp
     spread = X.json_leaves(docs, "id", document=F.col("doc"))
     assert sorted(map(tuple, spread.collect())) == plain
     assert "parse_json" not in spread._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_entries_in_one_partition_are_checked_by_many_tasks(spark, monkeypatch):
+    rows = [(i // 9, i, f'{{"id": "L{i % 4}", "kind": "data"}}' if i % 11 else "[") for i in range(90)]
+    entries = spark.createDataFrame(rows, "file long, position long, entry string").coalesce(1)
+    options = {"required": ["id", "kind"], "optional": [], "scope_lists": {}, "kinds": ["data"], "severities": [], "statuses": [], "levels": []}
+    check = lambda: quality.entry_problems(entries, file="file", position="position", entry="entry", **options)
+    plain = sorted(map(tuple, check().collect()))
+    monkeypatch.setattr(quality, "ENTRIES", 10)
+    many = check()
+    assert sorted(map(tuple, many.collect())) == plain
+    assert many.select(F.spark_partition_id().alias("p")).distinct().count() > 3

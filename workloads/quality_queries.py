@@ -416,7 +416,9 @@ ENTRY = """CASE WHEN k % 101 = 0 THEN '[' ELSE concat('{"id": "L', CASE WHEN k %
     SELECT k // 17 AS file, k AS position, problem FROM m WHERE problem IS NOT NULL""",
 )
 def q11_entry_problems(spark, folder):
-    parts = table(spark, folder, "part").withColumn("k", F.col("p_partkey").cast("bigint"))
+    part = table(spark, folder, "part").select("p_partkey", "p_size")
+    # The table's few files are spread before the entries are written.
+    parts = dealt(part, task_count(part, rows=quality.ENTRIES), "p_partkey").withColumn("k", F.col("p_partkey").cast("bigint"))
     entries = parts.select(F.expr("k div 17").alias("file"), F.col("k").alias("position"), F.expr(ENTRY).alias("entry"))
     return quality.entry_problems(
         entries, file="file", position="position", entry="entry",
