@@ -18,7 +18,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 #: Encoded words that a task remembers.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 
 
 class Vocabulary:
@@ -140,7 +140,7 @@ class Encoder:
                     ids.append(last[end])
                 end = back[end]
             self.held[word] = array("i", ids[::-1]).tobytes()
-        if len(allowed) > 500_000:
+        if len(allowed) > 250_000:
             allowed.clear()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

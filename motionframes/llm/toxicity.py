@@ -27,7 +27,7 @@ LETTERS, LETTER_DIM, LETTER_STATE, BUCKETS, WORD_DIM, STATE = 256, 12, 12, 1 <<
 BATCHES, BATCH, RATE, SEED = 200, 64, 0.01, 3
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.7
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -339,7 +339,7 @@ def scorer(docs: DataFrame, model: Model):
         m = held.value
         reader = Reader(m.network) if m.network else None
         for batch in batches:
-            yield pd.Series(np.concatenate([np.zeros(0), *(m.scores(reader, texts) for texts in slices(batch.tolist()))]))
+            yield pd.Series(np.concatenate([np.zeros(0), *(m.scores(reader, texts) for texts in slices(batch.tolist(), 1 << 20))]))
 
     return score
 
