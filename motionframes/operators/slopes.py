@@ -1,4 +1,4 @@
-"""Median of pairwise slopes without the pairs (A24): crossings are counted over ranges of points.
+"""Median of pairwise slopes (A24): a key of few points lists its pairs in one call, a larger one counts crossings over ranges of points.
 
 A pair of points with x_i < x_j has a slope of at most s exactly when the line y - s x puts j no higher than i. Sorted by that
 height (the larger x first on ties), such pairs are inversions of the order by x, so a slope's rank is a count of inversions.
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .blocks import attach, dense_frames
 
+#: Points of a key whose pairs are listed at once: two million slopes, 17 MB. Larger keys are counted, without their pairs.
+PAIRED_POINTS = 2048
+
 #: Points of a key, neighbours by x, that one task sorts at once.
 BLOCK_POINTS = 4096
 
@@ -24,6 +27,27 @@ BLOCK_POINTS = 4096
 BASE = 32
 
 
+def paired_median(x: np.ndarray, y: np.ndarray) -> float:
+    """Median of the slopes between points with different x; NaN without any."""
+    order = np.argsort(x)
+    x, y = x[order], y[order]
+    n, beyond = len(x), np.searchsorted(x, x, side="right")
+    slopes, at = np.empty(int((n - beyond).sum())), 0
+    if len(slopes) == 0:
+        return np.nan
+    with np.errstate(over="ignore", invalid="ignore"):
+        for i, j in enumerate(beyond):
+            np.divide(y[j:] - y[i], x[j:] - x[i], out=slopes[at : at + n - j])
+            at += n - j
+        low, high = (len(slopes) - 1) // 2, len(slopes) // 2
+        slopes.partition((low, high))
+        return slopes[low] if slopes[low] == slopes[high] else slopes[low] + (slopes[high] - slopes[low]) * 0.5
+
+
+def _paired_medians(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    return pd.Series([paired_median(np.asarray(x), np.asarray(y)) for x, y in zip(xs, ys)], dtype=float)
+
+
 def inversions(order: np.ndarray) -> np.ndarray:
     """Per row of a table of permutations, its pairs in which the larger number comes first."""
     rows, n = order.shape
@@ -222,19 +246,39 @@ def _narrowed(state: DataFrame) -> DataFrame:
     )
 
 
-def median_slopes(points: DataFrame, *, keys: Sequence[str], x: str, y: str, rows: int = BLOCK_POINTS) -> DataFrame:
+def median_slopes(
+    points: DataFrame, *, keys: Sequence[str], x: str, y: str, rows: int = BLOCK_POINTS, paired: int = PAIRED_POINTS
+) -> DataFrame:
     """Per key the median of the slopes between its points with different x (``slope``), exactly; an even number takes the mean of two.
 
-    Every round narrows all keys' brackets at once by the counts at some thirty slopes, so rounds grow with the logarithm of
-    the number of points. Blocks of ``rows`` points count their own pairs; pairs between blocks come from ranges of sorted
-    heights. No task holds a key and no pair is formed. Points without a finite x and y take no part; keys without two different
-    x have no row, neither have keys that are null.
+    The sizes of the keys are counted first. A key of at most ``paired`` points lists its slopes, so its work is bounded by that
+    number a point; larger keys are counted (``_counted``). Points without a finite x and y take no part; keys without two
+    different x have no row, neither have keys that are null.
     """
     checkpoint_dir(points.sparkSession)
     names = [f"_key{i}" for i in range(len(keys))]
     given = points.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     finite = (F.abs("x") < float("inf")) & (F.abs("y") < float("inf"))
-    placed = dense_frames(given.where(finite).dropna(subset=names), keys=names, order=["x", "y"], frame="pos").checkpoint()
+    given = given.where(finite).dropna(subset=names).checkpoint()
+    large = given.groupBy(*names).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > paired).select(*names)
+    none_large = large.isEmpty()
+    few = given if none_large else given.join(large, names, "left_anti")
+    median = F.pandas_udf(_paired_medians, "double")
+    listed = few.groupBy(*names).agg(F.collect_list(F.struct("x", "y")).alias("p"))
+    found = listed.select(*names, median(F.col("p.x"), F.col("p.y")).alias("slope")).where("slope is not null")
+    if not none_large:
+        found = found.unionByName(_counted(given.join(large, names, "left_semi"), names, rows))
+    return found.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "slope")
+
+
+def _counted(points: DataFrame, names: Sequence[str], rows: int) -> DataFrame:
+    """The medians of keys of any size, from finite points with the keys ``names``.
+
+    Every round narrows all keys' brackets at once by the counts at some thirty slopes, so rounds grow with the logarithm of
+    the number of points. Blocks of ``rows`` points count their own pairs; pairs between blocks come from ranges of sorted
+    heights. No task holds a key and no pair is formed.
+    """
+    placed = dense_frames(points, keys=names, order=["x", "y"], frame="pos").checkpoint()
     tied = placed.groupBy(*names, "x").agg(F.count(F.lit(1)).alias("m"), F.min("y").alias("a"), F.max("y").alias("b"))
     half = F.expr("(m * (m - 1)) div 2")
     sizes = tied.groupBy(*names).agg(F.sum("m").alias("m"), F.sum(half).alias("same"), (F.max("b") - F.min("a")).alias("high"))
@@ -278,4 +322,4 @@ def median_slopes(points: DataFrame, *, keys: Sequence[str], x: str, y: str, row
     for more in solved[1:]:
         found = found.unionByName(more)
     middle = F.when(F.col("even"), F.col("first") + (F.col("second") - F.col("first")) * 0.5).otherwise(F.col("first"))
-    return sizes.join(found, "id").select(*[F.col(n).alias(k) for n, k in zip(names, keys)], middle.alias("slope"))
+    return sizes.join(found, "id").select(*names, middle.alias("slope"))

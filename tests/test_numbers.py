@@ -65,6 +65,29 @@ def test_median_slopes_of_all_keys_without_pairs(spark, rows):
         assert slope == pytest.approx(median_of_all_pairs(*keys[key]), rel=1e-14, abs=1e-300), key
 
 
+def test_median_slopes_of_small_keys_need_no_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    keys = {k: (np.round(rng.uniform(0, 30, 3 + k), 1), rng.standard_cauchy(3 + k)) for k in range(40)}
+    df = spark.createDataFrame([(k, float(a), float(b)) for k, (x, y) in keys.items() for a, b in zip(x, y)], "k int, x double, y double")
+
+    def rounds(*_):
+        raise AssertionError("a small key is counted in rounds")
+
+    monkeypatch.setattr("motionframes.operators.slopes._next_slopes", rounds)
+    found = {r.k: r.slope for r in median_slopes(df, keys=["k"], x="x", y="y").collect()}
+    assert found == {k: pytest.approx(median_of_all_pairs(x, y), rel=1e-14) for k, (x, y) in keys.items()}
+
+
+@pytest.mark.parametrize("rows", [4096, 7])
+def test_median_slopes_of_counted_and_listed_keys(spark, rows):
+    rng = np.random.default_rng(9)
+    keys = {n: (np.round(rng.uniform(0, 30, n), 1), np.round(rng.standard_cauchy(n), 2)) for n in (2, 5, 24, 25, 26, 90, 131)}
+    keys[60] = np.ones(60), np.arange(60.0)
+    df = spark.createDataFrame([(k, float(a), float(b)) for k, (x, y) in keys.items() for a, b in zip(x, y)], "k int, x double, y double")
+    found = {r.k: r.slope for r in median_slopes(df, keys=["k"], x="x", y="y", rows=rows, paired=25).collect()}
+    assert found == {k: pytest.approx(median_of_all_pairs(x, y), rel=1e-14) for k, (x, y) in keys.items() if k != 60}
+
+
 def test_crossed_pairs_by_rank():
     rng = np.random.default_rng(6)
     x = np.sort(np.round(rng.uniform(0, 9, 90), 1))
