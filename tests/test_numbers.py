@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from motionframes.functions import quat as Q
-from motionframes.operators import gaps, rigid, windows
+from motionframes.operators import gaps, rigid, stats, windows
 from motionframes.operators.quantiles import exact_quantiles
 from motionframes.operators.slopes import crossed, inversions, median_slopes
 
@@ -78,6 +78,15 @@ def test_median_slopes_of_small_keys_need_no_rounds(spark, monkeypatch):
     assert found == {k: pytest.approx(median_of_all_pairs(x, y), rel=1e-14) for k, (x, y) in keys.items()}
 
 
+def test_drift_of_short_takes_is_removed_without_rounds(spark, monkeypatch):
+    monkeypatch.setattr("motionframes.operators.slopes._narrowed", None)
+    points = spark.range(60).selectExpr("id % 3 as take", "double(id div 3) as t", "(id % 3) * double(id div 3) + if(id < 9, 50, 0) as y")
+    rows = points.selectExpr("take", "bigint(t) as frame", "t + 4 as t_s", "y as x")
+    slopes = stats.robust_slopes(points, rows, keys=["take"], x="t", y="y", row_x="t_s", row_y="x")
+    out = windows.remove_linear_drift(rows, keys=["take"], frame="frame", time="t_s", value="x", slopes=slopes, out="level")
+    assert {(r.take, r.frame): r.level for r in out.collect()} == {(k, f): pytest.approx(50.0 * (f < 3)) for k in range(3) for f in range(20)}
+
+
 @pytest.mark.parametrize("rows", [4096, 7])
 def test_median_slopes_of_counted_and_listed_keys(spark, rows):
     rng = np.random.default_rng(9)
