@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import json_leaves
+from ..session import checkpoint_dir
+
 
 def compare_snapshots(a: DataFrame, b: DataFrame, *, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """J7, J21. Every key of either side as same, differs, only_a or only_b, with both sides' values."""
@@ -117,6 +120,24 @@ def subtree_digests(leaves: DataFrame, *, keys: Sequence[str], depth: int) -> Da
     return named.groupBy(*keys, "subtree").agg(_digest("_d").alias("digest"))
 
 
+def differing_subtrees(a: DataFrame, b: DataFrame, *, keys: Sequence[str], document: str, depth: int) -> DataFrame:
+    """A27. Path prefixes of up to ``depth`` parts below which two snapshots of JSON documents have different leaves.
+
+    These are the prefixes whose ``subtree_digests`` differ, found without digests: equal documents of a key are taken off both
+    sides unopened, then equal leaves, and only the leaves left over are spread over their prefixes.
+    """
+    checkpoint_dir(a.sparkSession)
+    sides = [side.select(*keys, F.col(document).alias("_doc"), F.lit(weight).cast("bigint").alias("_w")) for side, weight in ((a, 1), (b, -1))]
+    left_over = lambda df, *by: df.groupBy(*keys, *by).agg(F.sum("_w").alias("_w")).where("_w <> 0")
+    changed = left_over(sides[0].unionByName(sides[1]), "_doc").checkpoint()
+    leaves = json_leaves(changed, *keys, "_w", document=F.col("_doc"))
+    parts = F.split("path", r"\.")
+    lengths = F.sequence(F.lit(1), F.least(F.size(parts), F.lit(depth)))
+    prefixes = F.transform(lengths, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
+    differing = left_over(leaves, "path", "value").checkpoint()
+    return differing.select(*keys, F.explode(prefixes).alias("subtree")).distinct()
+
+
 def leaf_most(differing: DataFrame, *, keys: Sequence[str], path: str) -> DataFrame:
     """A27. Paths without another differing path below them: joined on each path's own prefixes."""
     parts = F.split(path, r"\.")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from motionframes.functions import text as X
+from motionframes.operators import diff
 from motionframes.operators.blocks import dealt, task_count
 from motionframes.plans import quality
 
@@ -36,6 +37,23 @@ def test_leaves_of_spread_documents_come_from_checkpointed_levels(spark, monkeyp
     assert "parse_json" not in spread._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_differing_subtrees_open_only_documents_that_differ(spark, monkeypatch):
+    docs = [f'{{"a": {{"b": {{"c": {{"d": {i % 7}, "e": [1, {i}]}}}}, "f": "x"}}, "g": null}}' for i in range(40)]
+    old = [(i if i else None, d) for i, d in enumerate(docs)] + [(3, '{"h": 1}'), (3, '{"h": 1}'), (41, '{"p": {"q": 1}}'), (42, "{")]
+    new = [(i if i else None, d.replace('"d": 3', '"d": 4').replace('"f": "x"', '"f": "y"' if i % 5 == 1 else '"f":  "x"')) for i, d in enumerate(docs) if i != 9]
+    new += [(3, '{"h": 1}'), (43, '{"g": []}'), (44, '{"g": [true]}')]
+    a, b = (spark.createDataFrame(rows, "k int, doc string") for rows in (old, new))
+    sides = [diff.subtree_digests(X.json_leaves(side, "k", document=F.col("doc")), keys=["k"], depth=3) for side in (a, b)]
+    by_digest = diff.compare_snapshots(*sides, keys=["k", "subtree"], values=["digest"]).where("verdict <> 'same' and k is not null")
+    opened = []
+    monkeypatch.setattr(diff, "json_leaves", lambda df, *keep, document: opened.append(df.count()) or X.json_leaves(df, *keep, document=document))
+    found = [tuple(r) for r in diff.differing_subtrees(a, b, keys=["k"], document="doc", depth=3).collect()]
+    assert len(set(found)) == len(found) and set(found) == {(r.k, r.subtree) for r in by_digest.collect()}
+    assert {(1, "a.f"), (3, "h"), (9, "a.b.c"), (10, "a.b.c"), (44, "g.0")} <= set(found) and (2, "a") not in found
+    same = spark.createDataFrame(old, "k int, doc string")
+    assert diff.differing_subtrees(a, same, keys=["k"], document="doc", depth=3).collect() == [] and opened[1] == 0
+
+
 def test_entries_in_one_partition_are_checked_by_many_tasks(spark, monkeypatch):
     rows = [(i // 9, i, f'{{"id": "L{i % 4}", "kind": "data"}}' if i % 11 else "[") for i in range(90)]
     entries = spark.createDataFrame(rows, "file long, position long, entry string").coalesce(1)

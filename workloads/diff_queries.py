@@ -431,8 +431,8 @@ def f17_row_hash(spark, folder):
     return table(spark, folder, "nation").select(long("n_nationkey").alias("k"), X.row_hash("n_regionkey", "n_nationkey", "n_name").alias("digest"))
 
 
-def trees(spark, folder):
-    """Two versions of a nested document per order, as leaves."""
+def documents_of_orders(spark, folder):
+    """Two versions of a nested document per order."""
     o = table(spark, folder, "orders")
     doc = lambda total, prio: F.to_json(
         F.struct(
@@ -441,10 +441,9 @@ def trees(spark, folder):
         )
     )
     total = F.col("o_totalprice").cast("string")
-    a = X.json_leaves(o, "o_orderkey", document=doc(total, F.col("o_orderpriority")))
     other = F.when(F.col("o_orderkey") % 6 == 0, F.lit("changed")).otherwise(F.col("o_orderpriority"))
-    b = X.json_leaves(o, "o_orderkey", document=doc(F.when(F.col("o_orderkey") % 10 == 0, F.lit("0")).otherwise(total), other))
-    return a, b
+    new = doc(F.when(F.col("o_orderkey") % 10 == 0, F.lit("0")).otherwise(total), other)
+    return o.select("o_orderkey", doc(total, F.col("o_orderpriority")).alias("doc")), o.select("o_orderkey", new.alias("doc"))
 
 
 @query(
@@ -452,11 +451,9 @@ def trees(spark, folder):
     "SELECT o_orderkey, 'head.who.prio' AS subtree FROM orders WHERE o_orderkey % 6 = 0 UNION ALL SELECT o_orderkey, 'body.total' FROM orders WHERE o_orderkey % 10 = 0",
 )
 def a27_leaf_most_differences(spark, folder):
-    a, b = trees(spark, folder)
-    left = diff.subtree_digests(a, keys=["o_orderkey"], depth=3)
-    right = diff.subtree_digests(b, keys=["o_orderkey"], depth=3)
-    differing = diff.compare_snapshots(left, right, keys=["o_orderkey", "subtree"], values=["digest"]).where("verdict <> 'same'")
-    return diff.leaf_most(differing.select("o_orderkey", "subtree"), keys=["o_orderkey"], path="subtree")
+    a, b = documents_of_orders(spark, folder)
+    differing = diff.differing_subtrees(a, b, keys=["o_orderkey"], document="doc", depth=3)
+    return diff.leaf_most(differing, keys=["o_orderkey"], path="subtree")
 
 
 @query(
@@ -465,7 +462,8 @@ def a27_leaf_most_differences(spark, folder):
     UNION ALL SELECT o_orderkey, 'head.who.prio', '<masked>' FROM orders UNION ALL SELECT o_orderkey, 'body.total', '<masked>' FROM orders)""",
 )
 def p10_masked_leaves(spark, folder):
-    return diff.masked(trees(spark, folder)[0], names=["prio", "total"]).select("o_orderkey", "path", "value")
+    leaves = X.json_leaves(documents_of_orders(spark, folder)[0], "o_orderkey", document=F.col("doc"))
+    return diff.masked(leaves, names=["prio", "total"]).select("o_orderkey", "path", "value")
 
 
 @query("p10_without_prefix", "SELECT page_id, replace(url, 'http://', '') AS value FROM pages")
