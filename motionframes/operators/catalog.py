@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import running
+from ..session import checkpoint_dir
+from .blocks import HOT_ROWS, running
 
 # A sequence number after every real one.
 END = 2**62
@@ -110,13 +111,18 @@ def as_of_problems(records: DataFrame, digests: DataFrame, *, file: str, sequenc
     The record must be in the journal and have reached the file, and every later one must be explained. Record 0 is the file
     before its first write. ``digests`` has one row per file there is.
     """
-    story = journal_story(records, digests, file=file, rows=rows)
+    return _problems(journal_story(records, digests, file=file, rows=rows), digests, file, sequence)
+
+
+def _problems(story: DataFrame, digests: DataFrame, file: str, sequence: int) -> DataFrame:
+    # A record's story as a number (1 applied, 2 unapplied, 3 unexplained): numbers are summed up without sorting.
     mine, later = F.col("sequence") == sequence, F.col("sequence") > sequence
-    told = story.groupBy(file).agg(
-        F.max(F.when(mine, F.col("story"))).alias("_mine"), F.bool_or(later & (F.col("story") == "unexplained")).alias("_broken")
+    told_as = F.when(F.col("story") == "applied", 1).when(F.col("story") == "unapplied", 2).otherwise(3)
+    told = story.where(mine | later).groupBy(file).agg(
+        F.max(F.when(mine, told_as)).alias("_mine"), F.bool_or(later & (F.col("story") == "unexplained")).alias("_broken")
     )
-    at_record = F.when(F.col("_mine").isNull(), "no such record").when(F.col("_mine") == "unapplied", "record was never applied")
-    at_record = at_record.when(F.col("_mine") == "unexplained", "record can't be explained")
+    at_record = F.when(F.col("_mine").isNull(), "no such record").when(F.col("_mine") == 2, "record was never applied")
+    at_record = at_record.when(F.col("_mine") == 3, "record can't be explained")
     problem = F.coalesce(*([at_record] if sequence else []), F.when(F.col("_broken"), "a later record can't be explained"))
     return digests.select(file).join(told, file, "left").select(file, problem.alias("problem")).where("problem is not null")
 
@@ -127,25 +133,32 @@ def as_of_story(
     """W25. Every file right after its record ``sequence``; only records that reached a file are taken back.
 
     ``changes`` has the old and new value per file, sequence and key; ``records`` the digests before and after each write. Files in
-    ``as_of_problems`` are left out.
+    ``as_of_problems`` are left out. The records' story is told once and checkpointed.
     """
-    landed = journal_story(records, digests, file=file, rows=rows).where("story = 'applied'").select(file, "sequence")
+    checkpoint_dir(records.sparkSession)
+    told = journal_story(records, digests, file=file, rows=rows).where(F.col("sequence") >= sequence)
+    story = told.select(file, "sequence", "story").checkpoint()
+    landed = story.where((F.col("sequence") > sequence) & (F.col("story") == "applied")).select(file, "sequence")
     taken_back = changes.where(F.col("sequence") > sequence).join(landed, [file, "sequence"], "left_semi")
     then = as_of(current, taken_back, key=[file, key], value=value, sequence=sequence)
-    return then.join(as_of_problems(records, digests, file=file, sequence=sequence, rows=rows), file, "left_anti")
+    return then.join(_problems(story, digests, file, sequence), file, "left_anti")
 
 
-def journal_story(journal: DataFrame, current: DataFrame, *, file: str, rows: int) -> DataFrame:
+def journal_story(journal: DataFrame, current: DataFrame, *, file: str, rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """W24. Which journalled writes reached the file.
 
     Walking back from the file's digest, the state left by every record is its own ``before``
     whatever happened to it. So the state a record meets is the next record's ``before``, or the
-    current digest for the newest: one look ahead, no fold.
+    current digest for the newest: one look ahead, no fold. The records of a file are counted first: while no file has more than
+    ``hot_rows`` of them one window per file looks ahead, otherwise blocks of ``rows`` sequence numbers do.
     """
     # The file's present digest follows its last record on the same line of records, so nothing is joined.
     end = current.select(file, F.lit(END).alias("sequence"), F.col("digest").alias("before"))
     line = journal.withColumn("sequence", F.col("sequence").cast("bigint")).unionByName(end, allowMissingColumns=True)
-    ahead = running(line, keys=[file], frame="sequence", scans={"_state": ("following", F.col("before"))}, rows=rows)
+    if journal.groupBy(file).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).isEmpty():
+        ahead = line.withColumn("_state", F.lead("before").over(Window.partitionBy(file).orderBy("sequence")))
+    else:
+        ahead = running(line, keys=[file], frame="sequence", scans={"_state": ("following", F.col("before"))}, rows=rows)
     return ahead.where(F.col("sequence") < END).withColumn(
         "story",
         F.when(F.col("after").eqNullSafe(F.col("_state")), "applied")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from motionframes.functions import text as X
-from motionframes.operators import diff
+from motionframes.operators import catalog, diff
 from motionframes.operators.blocks import dealt, task_count
 from motionframes.plans import quality
 
@@ -54,6 +54,37 @@ def test_differing_subtrees_open_only_documents_that_differ(spark, monkeypatch):
     assert diff.differing_subtrees(a, same, keys=["k"], document="doc", depth=3).collect() == [] and opened[1] == 0
 
 
+def test_a_journal_is_told_once_and_the_same_for_large_files(spark, monkeypatch):
+    digest = lambda n: None if n % 11 == 5 else f"d{n}"
+    lines, state = [], dict.fromkeys(range(8), 1)
+    for file, n in ((file, n) for file in range(6) for n in range(1, 9 + 3 * file)):
+        lines.append((file, 3 * n, digest(state[file]), digest(state[file] + 1) if (n + file) % 9 else "lost"))
+        state[file] += (n + file) % 4 > 0
+    records = spark.createDataFrame(lines, "file int, sequence long, before string, after string")
+    digests = spark.createDataFrame([(f, "other" if f == 2 else digest(state[f])) for f in (0, 1, 2, 3, 5, 7)], "file int, digest string")
+    told = lambda **more: sorted(map(str, catalog.journal_story(records, digests, file="file", rows=7, **more).collect()))
+    assert told() == told(hot_rows=9) == told(hot_rows=0) and len(told()) == len(lines)
+    stories = {story for story in ("applied", "unapplied", "unexplained") if any(f"'{story}'" in row for row in told())}
+    assert stories == {"applied", "unapplied", "unexplained"}
+
+    calls, tell = [], catalog.journal_story
+    monkeypatch.setattr(catalog, "journal_story", lambda *given, **named: calls.append(1) or tell(*given, **named))
+    changes = records.selectExpr("file", "sequence", "sequence % 2 as slot", "named_struct('v', sequence - 6) as old", "named_struct('v', sequence) as new")
+    now = changes.groupBy("file", "slot").agg(F.max("new.v").alias("v"))
+    for sequence in (0, 6, 9):
+        calls.clear()
+        options = {"file": "file", "sequence": sequence, "rows": 7}
+        then = {(r.file, r.slot): r.v for r in catalog.as_of_story(now, changes, records, digests, key="slot", value=["v"], **options).collect()}
+        assert len(calls) == 1
+        bad = {r.file for r in catalog.as_of_problems(records, digests, **options).collect()}
+        story = {(r.file, r.sequence): r.story for r in tell(records, digests, file="file", rows=7).collect()}
+        wanted = {(r.file, r.slot): r.v for r in now.collect() if r.file not in bad}
+        for (file, at), what in sorted(story.items(), reverse=True):
+            if file not in bad and at > sequence and what == "applied":
+                wanted[file, at % 2] = at - 6
+        assert then == wanted
+
+
 def test_entries_in_one_partition_are_checked_by_many_tasks(spark, monkeypatch):
     rows = [(i // 9, i, f'{{"id": "L{i % 4}", "kind": "data"}}' if i % 11 else "[") for i in range(90)]
     entries = spark.createDataFrame(rows, "file long, position long, entry string").coalesce(1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from motionframes.functions import text as X
 from motionframes.operators import catalog, diff, sets
 from motionframes.operators.blocks import dense_frames
+from motionframes.session import checkpoint_dir
 
 from .base import long, query, table
 
@@ -215,14 +216,16 @@ WRITES = """jr AS (SELECT l_orderkey AS file, row_number() OVER (PARTITION BY l_
 def writes(spark, folder):
     """Each line item as a write to one of three slots of its order; every fourth one did not land, and some orders were changed by other hands.
 
-    Returns the slots now, the journalled changes, the journal records and the orders' digests.
+    Returns the slots now, the journalled changes, the journal records and the orders' digests. The numbered lines are checkpointed:
+    each of the four is read from them.
     """
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     li = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "file")
     lines = dense_frames(li, keys=["file"], order=order, frame="n").select(
         "file", (F.col("n") + 1).alias("sequence"), (F.col("l_partkey") % 3).alias("slot"), F.col("l_quantity").cast("double").alias("v")
     )
-    lines = lines.withColumn("landed", (F.col("file") + F.col("sequence")) % 4 != 0)
+    checkpoint_dir(spark)
+    lines = lines.checkpoint().withColumn("landed", (F.col("file") + F.col("sequence")) % 4 != 0)
     before = Window.orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
     state = F.coalesce(F.count_if("landed").over(before.partitionBy("file")), F.lit(0))
     old = F.last(F.when(F.col("landed"), F.struct("v")), ignorenulls=True).over(before.partitionBy("file", "slot"))
