@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .blocks import attach, dense_frames
+from .blocks import attach, dealt, dense_frames, task_count
 
 #: Points of a key whose pairs are listed at once: two million slopes, 17 MB. Larger keys are counted, without their pairs.
 PAIRED_POINTS = 2048
 
+#: Points whose keys one task lists: with keys of the largest size 100 million slopes.
+LISTED_POINTS = 100_000
+
 #: Points of a key, neighbours by x, that one task sorts at once.
 BLOCK_POINTS = 4096
 
@@ -263,8 +266,9 @@ def median_slopes(
     large = given.groupBy(*names).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > paired).select(*names)
     none_large = large.isEmpty()
     few = given if none_large else given.join(large, names, "left_anti")
-    median = F.pandas_udf(_paired_medians, "double")
-    listed = few.groupBy(*names).agg(F.collect_list(F.struct("x", "y")).alias("p"))
+    # Said to be nondeterministic, or the filter below would compute every median again.
+    median = F.pandas_udf(_paired_medians, "double").asNondeterministic()
+    listed = dealt(few, task_count(given, rows=LISTED_POINTS), *names).groupBy(*names).agg(F.collect_list(F.struct("x", "y")).alias("p"))
     found = listed.select(*names, median(F.col("p.x"), F.col("p.y")).alias("slope")).where("slope is not null")
     if not none_large:
         found = found.unionByName(_counted(given.join(large, names, "left_semi"), names, rows))

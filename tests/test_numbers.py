@@ -74,8 +74,12 @@ def test_median_slopes_of_small_keys_need_no_rounds(spark, monkeypatch):
         raise AssertionError("a small key is counted in rounds")
 
     monkeypatch.setattr("motionframes.operators.slopes._next_slopes", rounds)
-    found = {r.k: r.slope for r in median_slopes(df, keys=["k"], x="x", y="y").collect()}
+    monkeypatch.setattr("motionframes.operators.slopes.LISTED_POINTS", 100)
+    out = median_slopes(df, keys=["k"], x="x", y="y")
+    assert out._jdf.queryExecution().sparkPlan().toString().count("ArrowEvalPython") == 1
+    found = {r.k: r.slope for r in out.collect()}
     assert found == {k: pytest.approx(median_of_all_pairs(x, y), rel=1e-14) for k, (x, y) in keys.items()}
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 3
 
 
 def test_drift_of_short_takes_is_removed_without_rounds(spark, monkeypatch):
