@@ -1,4 +1,4 @@
-"""Median of pairwise slopes (A24): a key of few points lists its pairs in one call, a larger one counts crossings over ranges of points.
+"""Median of pairwise slopes (A24): a key of bounded size goes through its pairs in one call, a larger one counts crossings over ranges of points.
 
 A pair of points with x_i < x_j has a slope of at most s exactly when the line y - s x puts j no higher than i. Sorted by that
 height (the larger x first on ties), such pairs are inversions of the order by x, so a slope's rank is a count of inversions.
@@ -17,10 +17,16 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .blocks import attach, dealt, dense_frames, task_count
 
-#: Points of a key whose pairs are listed at once: two million slopes, 17 MB. Larger keys are counted, without their pairs.
-PAIRED_POINTS = 2048
+#: Points of a key whose pairs one call goes through: at most 32,768 pairs a point. Larger keys are counted, without their pairs.
+PAIRED_POINTS = 65_536
 
-#: Points whose keys one task lists: with keys of the largest size 100 million slopes.
+#: Pairs of a key whose slopes are kept at once, 17 MB. Of more pairs only the slopes near the median are kept.
+KEPT_PAIRS = 2_100_000
+
+#: Slopes drawn for each point of a key with more pairs: they tell what is near its median.
+DRAWN = 64
+
+#: Points whose keys one task goes through.
 LISTED_POINTS = 100_000
 
 #: Points of a key, neighbours by x, that one task sorts at once.
@@ -30,21 +36,70 @@ BLOCK_POINTS = 4096
 BASE = 32
 
 
+def _near_median(x: np.ndarray, y: np.ndarray, beyond: np.ndarray, ranks: tuple[int, int]) -> tuple[float, float]:
+    """The slopes of two neighbouring ranks; a drawn bracket says which slopes are kept, and is widened if it misses a rank.
+
+    Slopes equal to an end of the bracket are only counted, so ties take no room.
+    """
+    n, rng = len(x), np.random.default_rng(0)
+    upto = np.cumsum(n - beyond)
+    pick = np.sort(rng.integers(0, upto[-1], DRAWN * n))
+    i = np.searchsorted(upto, pick, side="right")
+    j = n - (upto[i] - pick)
+    drawn = np.sort(np.r_[-np.inf, (y[j] - y[i]) / (x[j] - x[i]), np.inf])
+    # Five standard deviations of the median's place among the drawn.
+    reach = int(2.5 * len(drawn) ** 0.5) + 1
+    a, b = max(len(drawn) // 2 - reach, 0), min(len(drawn) // 2 + reach, len(drawn) - 1)
+    while True:
+        lo, hi = drawn[a], drawn[b]
+        under = upto_lo = upto_hi = 0
+        kept = []
+        for p, first in enumerate(beyond):
+            slopes = (y[first:] - y[p]) / (x[first:] - x[p])
+            under += np.count_nonzero(slopes < lo)
+            upto_lo += np.count_nonzero(slopes <= lo)
+            upto_hi += np.count_nonzero(slopes <= hi)
+            kept.append(slopes[(slopes > lo) & (slopes < hi)])
+        reach *= 8
+        if ranks[0] < under:
+            a = max(a - reach, 0)
+        elif ranks[1] >= upto_hi and b < len(drawn) - 1:
+            b = min(b + reach, len(drawn) - 1)
+        else:
+            break
+    inside = np.sort(np.concatenate(kept))
+
+    def at(rank: int) -> float:
+        place = rank - upto_lo
+        if place < 0:
+            return lo
+        if place < len(inside):
+            return inside[place]
+        return hi if rank < upto_hi else np.nan
+
+    return at(ranks[0]), at(ranks[1])
+
+
 def paired_median(x: np.ndarray, y: np.ndarray) -> float:
     """Median of the slopes between points with different x; NaN without any."""
     order = np.argsort(x)
     x, y = x[order], y[order]
     n, beyond = len(x), np.searchsorted(x, x, side="right")
-    slopes, at = np.empty(int((n - beyond).sum())), 0
-    if len(slopes) == 0:
+    pairs, at = int((n - beyond).sum()), 0
+    if pairs == 0:
         return np.nan
+    ranks = (pairs - 1) // 2, pairs // 2
     with np.errstate(over="ignore", invalid="ignore"):
-        for i, j in enumerate(beyond):
-            np.divide(y[j:] - y[i], x[j:] - x[i], out=slopes[at : at + n - j])
-            at += n - j
-        low, high = (len(slopes) - 1) // 2, len(slopes) // 2
-        slopes.partition((low, high))
-        return slopes[low] if slopes[low] == slopes[high] else slopes[low] + (slopes[high] - slopes[low]) * 0.5
+        if pairs > KEPT_PAIRS:
+            low, high = _near_median(x, y, beyond, ranks)
+        else:
+            slopes = np.empty(pairs)
+            for i, j in enumerate(beyond):
+                np.divide(y[j:] - y[i], x[j:] - x[i], out=slopes[at : at + n - j])
+                at += n - j
+            slopes.partition(ranks)
+            low, high = slopes[list(ranks)]
+        return low if low == high else low + (high - low) * 0.5
 
 
 def _paired_medians(xs: pd.Series, ys: pd.Series) -> pd.Series:
@@ -254,8 +309,8 @@ def median_slopes(
 ) -> DataFrame:
     """Per key the median of the slopes between its points with different x (``slope``), exactly; an even number takes the mean of two.
 
-    The sizes of the keys are counted first. A key of at most ``paired`` points lists its slopes, so its work is bounded by that
-    number a point; larger keys are counted (``_counted``). Points without a finite x and y take no part; keys without two
+    The sizes of the keys are counted first. A key of at most ``paired`` points goes through its pairs, so its work is bounded by
+    half that number a point; larger keys are counted (``_counted``). Points without a finite x and y take no part; keys without two
     different x have no row, neither have keys that are null.
     """
     checkpoint_dir(points.sparkSession)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from motionframes.functions import quat as Q
 from motionframes.operators import gaps, rigid, stats, windows
 from motionframes.operators.quantiles import exact_quantiles
-from motionframes.operators.slopes import crossed, inversions, median_slopes
+from motionframes.operators.slopes import _near_median, crossed, inversions, median_slopes, paired_median
 
 KEYS = {"keys": ["take"], "frame": "frame"}
 
@@ -91,6 +92,43 @@ def test_drift_of_short_takes_is_removed_without_rounds(spark, monkeypatch):
     assert {(r.take, r.frame): r.level for r in out.collect()} == {(k, f): pytest.approx(50.0 * (f < 3)) for k in range(3) for f in range(20)}
 
 
+def test_drift_of_takes_of_thousands_of_points_is_removed_without_rounds(spark, monkeypatch):
+    monkeypatch.setattr("motionframes.operators.slopes._narrowed", None)
+    points = spark.range(6600).selectExpr("id % 2 as take", "double(id div 2) as t", "(id % 2) * double(id div 2) + if(id < 900, 50, 0) as y")
+    rows = points.selectExpr("take", "bigint(t) as frame", "t + 4 as t_s", "y as x")
+    slopes = stats.robust_slopes(points, rows, keys=["take"], x="t", y="y", row_x="t_s", row_y="x")
+    out = windows.remove_linear_drift(rows, keys=["take"], frame="frame", time="t_s", value="x", slopes=slopes, out="level")
+    assert {(r.take, r.frame): r.level for r in out.collect()} == {(k, f): pytest.approx(50.0 * (f < 450)) for k in range(2) for f in range(3300)}
+
+
+def test_median_of_many_pairs_keeps_few_slopes():
+    rng = np.random.default_rng(10)
+    n = 3000
+    lines = [
+        (rng.uniform(0, 30, n), rng.standard_cauchy(n)), (np.arange(n + 1.0), rng.normal(size=n + 1)), (rng.uniform(0, 30, n), np.zeros(n)),
+        (rng.uniform(0, 30, n), 1.0 * rng.integers(0, 2, n)), (1.0 * rng.integers(0, 2, n), rng.normal(size=n)), (np.arange(n) * 1.0, np.arange(n) * 2.0),
+    ]
+    for x, y in lines:
+        expected = median_of_all_pairs(x, y)
+        tracemalloc.start()
+        assert paired_median(x, y) == pytest.approx(expected, rel=1e-14, abs=1e-300)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8 * (n * (n - 1) // 2) / 2
+
+
+def test_a_bracket_that_misses_is_widened():
+    rng = np.random.default_rng(11)
+    for y in (rng.standard_cauchy(400), 1.0 * rng.integers(0, 3, 400)):
+        x = np.sort(np.round(rng.uniform(0, 30, 400), 1))
+        i, j = np.triu_indices(400, 1)
+        i, j = i[x[i] < x[j]], j[x[i] < x[j]]
+        slopes = np.sort((y[j] - y[i]) / (x[j] - x[i]))
+        beyond = np.searchsorted(x, x, side="right")
+        for low in (0, 5, len(slopes) // 3, len(slopes) // 2, len(slopes) - 9, len(slopes) - 2):
+            assert _near_median(x, y, beyond, (low, low + 1)) == (slopes[low], slopes[low + 1])
+
+
 @pytest.mark.parametrize("rows", [4096, 7])
 def test_median_slopes_of_counted_and_listed_keys(spark, rows):
     rng = np.random.default_rng(9)
